@@ -1,7 +1,8 @@
 """The query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Report columns: doubles are rounded to 6 decimals so results compare exactly
-with the SQL oracle (sums in different orders differ in the last bits).
+Every query reads the driver tables through an adapter and runs over all rows.
+Report columns: doubles are rounded to 6 decimals so results compare exactly with
+the SQL oracle (sums in different orders differ in the last bits).
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickroll.operators import encode, folds, items, labels, predict, profile, target
 from clickroll.operators import features as feat
-from clickroll.sources.adapters import clickstream_source
+from clickroll.session import scratch_path
+from clickroll.sources import files
+from clickroll.sources.adapters import clickstream_source, lineitem_source
 
 
 def report(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -26,17 +30,360 @@ def report(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def q_session_features_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = clickstream_source(spark, sf_dir)
-    return report(feat.session_features_v1(src.events))
+# ---------------------------------------------------------------- shared pieces
 
+def _src(spark, sf_dir):
+    return clickstream_source(spark, sf_dir)
 
-def q_session_features_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = clickstream_source(spark, sf_dir)
-    return report(feat.session_features_v2(src.events))
+
+def _features_split(src, version="v2"):
+    fn = feat.session_features_v2 if version == "v2" else feat.session_features_v1
+    return feat.split_features(fn(src.events, with_split_flags=True))
+
+
+def _labels_a(src):
+    return labels.labels_first_per_session(src.labeled)
+
+
+def _money(df, col="session_value"):
+    """The raw target is money with two decimals: averaged exactly as DECIMAL(18,2)."""
+    return df.withColumn(col, F.col(col).cast("decimal(18,2)"))
+
+
+def _labels_b(src):
+    return labels.labels_first_per_user_session(src.labeled)
+
+
+def _frame_session_key(src):
+    """Labels (variant A) + last non-null items on the session + train features on
+    (session, user): the 5-fold trainer's frame."""
+    tr_feat, _ = _features_split(src)
+    last = items.last_items_nonnull(src.train)
+    return (_labels_a(src).join(last, "user_session", "left")
+            .join(tr_feat, ["user_session", "user_id"], "left"))
+
+
+def _frame_user_session_key(src):
+    """Labels (variant B) + train features + last row items on (user, session), with
+    the -1 sentinel for missing ids: the CV-ensemble and full-train frame."""
+    tr_feat, _ = _features_split(src)
+    last = items.last_items_row(src.train)
+    fr = (_labels_b(src).join(tr_feat, ["user_id", "user_session"], "left")
+          .join(last, ["user_id", "user_session"], "left"))
+    return items.fill_sentinel(fr, ["last_product_id", "last_category_id"])
+
+
+def _test_frame_user_session_key(src):
+    _, te_feat = _features_split(src)
+    last = items.last_items_row(src.test)
+    fr = te_feat.join(last, ["user_id", "user_session"], "left")
+    return items.fill_sentinel(fr, ["last_product_id", "last_category_id"])
+
+
+def _test_frame_session_key(src):
+    _, te_feat = _features_split(src)
+    return te_feat.join(items.last_items_nonnull(src.test), "user_session", "left")
+
+
+# ---------------------------------------------------------------- queries
+
+def q_events_union_split(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    allrows = src.labeled.unionByName(src.test, allowMissingColumns=True)
+    return (allrows.where(F.col("user_session").isNotNull())
+            .groupBy("split", "user_session")
+            .agg(F.count(F.lit(1)).alias("n_events"), F.count("session_value").alias("n_labeled")))
+
+
+def q_scan_csv_roundtrip(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    path = scratch_path(spark, "events-csv")
+    cols = ["event_id", "user_id", "user_session", "event_type", "product_id", "category_id",
+            "event_time", "session_value"]
+    files.write_events_csv(src.labeled.withColumnRenamed("row_no", "event_id").select(*cols), path)
+    schema = T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+        T.StructField("user_session", T.StringType()), T.StructField("event_type", T.StringType()),
+        T.StructField("product_id", T.LongType()), T.StructField("category_id", T.LongType()),
+        T.StructField("event_time", T.TimestampNTZType()), T.StructField("session_value", T.DoubleType())])
+    return report(files.read_events_csv(spark, path, schema).drop("row_no"))
+
+
+def q_feature_parquet_roundtrip(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    path = scratch_path(spark, "features-v1")
+    files.write_feature_table(feat.tag_splits(feat.session_features_v1(src.events, with_split_flags=True)),
+                              path, partition_by="split")
+    return report(spark.read.parquet(path))
+
+
+def q_session_features_v1(spark, sf_dir):
+    return report(feat.session_features_v1(_src(spark, sf_dir).events))
+
+
+def q_session_features_v2(spark, sf_dir):
+    return report(feat.session_features_v2(_src(spark, sf_dir).events))
+
+
+def q_session_features_v2_orders(spark, sf_dir):
+    return report(feat.session_features_v2(lineitem_source(spark, sf_dir).events))
+
+
+def q_event_type_codes(spark, sf_dir):
+    return feat.event_type_codes(_src(spark, sf_dir).events)
+
+
+def q_session_repeats(spark, sf_dir):
+    ev = _src(spark, sf_dir).events.where(F.col("user_session").isNotNull())
+    return feat.session_id_profiles(ev)
+
+
+def q_session_first_last(spark, sf_dir):
+    f = feat.session_features_v2(_src(spark, sf_dir).events)
+    return f.select("user_session", "first_event_type_code", "last_event_type_code")
+
+
+def q_session_time(spark, sf_dir):
+    f = feat.session_features_v2(_src(spark, sf_dir).events)
+    return report(f.select("user_session", "session_duration_seconds", "events_per_minute"))
+
+
+def q_event_entropy(spark, sf_dir):
+    f = feat.session_features_v2(_src(spark, sf_dir).events)
+    return report(f.select("user_session", "event_type_entropy"))
+
+
+def q_features_train(spark, sf_dir):
+    return report(_features_split(_src(spark, sf_dir))[0])
+
+
+def q_features_test(spark, sf_dir):
+    return report(_features_split(_src(spark, sf_dir))[1])
+
+
+def q_labels_first_per_session(spark, sf_dir):
+    return report(_labels_a(_src(spark, sf_dir)))
+
+
+def q_labels_first_per_user_session(spark, sf_dir):
+    return report(_labels_b(_src(spark, sf_dir)))
+
+
+def q_last_items_nonnull(spark, sf_dir):
+    return items.last_items_nonnull(_src(spark, sf_dir).train)
+
+
+def q_last_items_row(spark, sf_dir):
+    return items.last_items_row(_src(spark, sf_dir).train)
+
+
+def q_training_frame_session_key(spark, sf_dir):
+    return report(_frame_session_key(_src(spark, sf_dir)))
+
+
+def q_training_frame_user_session_key(spark, sf_dir):
+    return report(_frame_user_session_key(_src(spark, sf_dir)))
+
+
+def q_target_log_clip(spark, sf_dir):
+    lab = _labels_a(_src(spark, sf_dir))
+    return report(target.log_target(lab, "session_value", "y", clip_negative=True)
+                  .select("user_session", "y"))
+
+
+def q_target_log(spark, sf_dir):
+    lab = _labels_b(_src(spark, sf_dir))
+    return report(target.log_target(lab, "session_value", "y", clip_negative=False)
+                  .select("user_id", "user_session", "y"))
+
+
+def q_target_inverse(spark, sf_dir):
+    lab = target.log_target(_labels_a(_src(spark, sf_dir)), "session_value", "y")
+    return report(target.inverse_target(lab, "y", "session_value_back")
+                  .select("user_session", "y", "session_value_back"))
+
+
+def q_winsorize_upper(spark, sf_dir):
+    lab = _labels_a(_src(spark, sf_dir))
+    return report(target.winsorize_upper(lab, "session_value", 0.995, out="session_value_w")
+                  .select("user_session", "session_value_w"))
+
+
+def q_winsorize_two_sided(spark, sf_dir):
+    lab = _labels_b(_src(spark, sf_dir))
+    return report(target.winsorize_two_sided(lab, "session_value", 0.995, out="session_value_w")
+                  .select("user_id", "user_session", "session_value_w"))
+
+
+def q_tail_stats(spark, sf_dir):
+    return report(profile.tail_stats(_labels_a(_src(spark, sf_dir))))
+
+
+def q_tail_counts(spark, sf_dir):
+    return report(profile.tail_counts(_labels_a(_src(spark, sf_dir))))
+
+
+def q_heavy_users(spark, sf_dir):
+    return profile.heavy_users(_labels_a(_src(spark, sf_dir)))
+
+
+def q_session_user_counts(spark, sf_dir):
+    return profile.session_user_counts(_labels_a(_src(spark, sf_dir)))
+
+
+def q_group_folds(spark, sf_dir):
+    return folds.group_folds(_labels_a(_src(spark, sf_dir)), "user_id", 5, 42) \
+        .select("user_session", "user_id", "fold")
+
+
+def q_balanced_group_folds(spark, sf_dir):
+    return folds.balanced_group_folds(_labels_b(_src(spark, sf_dir)), "user_id", 10) \
+        .select("user_id", "user_session", "fold")
+
+
+def q_group_holdout(spark, sf_dir):
+    return folds.group_holdout(_labels_b(_src(spark, sf_dir)), "user_id", 0.1, 2025) \
+        .select("user_id", "user_session", "is_holdout")
+
+
+def q_baseline_cv(spark, sf_dir):
+    f = folds.group_folds(_money(_labels_a(_src(spark, sf_dir))), "user_id", 5, 42)
+    return report(folds.baseline_cv(f))
+
+
+def q_baseline_submission(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    mean = encode.global_mean(_money(_labels_a(src)), "session_value")
+    return report(predict.constant_prediction(src.template, mean))
+
+
+def _user_backoff_raw(src):
+    lab = _money(_labels_a(src))
+    _, te = _features_split(src)
+    spec = [encode.EncodingSpec("user_id", "user_backoff", "session_value")]
+    tr, te = encode.full_train_encodings(lab, te, spec, "session_value")
+    return tr.withColumn("session_value", F.col("session_value").cast("double")), te
+
+
+def q_user_backoff_raw(spark, sf_dir):
+    tr, te = _user_backoff_raw(_src(spark, sf_dir))
+    out = (tr.select("user_session", F.lit("train").alias("role"), "user_backoff")
+           .unionByName(te.select("user_session", F.lit("test").alias("role"), "user_backoff")))
+    return report(out)
+
+
+def q_user_backoff_log(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    lab = target.log_target(_labels_b(src), "session_value", "y", clip_negative=False)
+    _, te = _features_split(src)
+    enc = encode.mean_by_key(lab, "user_id", "y", "default")
+    tr = encode.apply_encoding(lab, enc, "user_id", "user_backoff_y", None)
+    te = encode.apply_encoding(te, enc, "user_id", "user_backoff_y", encode.global_mean(lab, "y"))
+    out = (tr.select("user_id", "user_session", F.lit("train").alias("role"), "user_backoff_y")
+           .unionByName(te.select("user_id", "user_session", F.lit("test").alias("role"), "user_backoff_y")))
+    return report(out)
+
+
+def _item_encoding_raw(src):
+    fr = _money(_labels_a(src)).join(items.last_items_nonnull(src.train), "user_session", "left")
+    te = _test_frame_session_key(src)
+    specs = [encode.EncodingSpec("last_product_id", "te_prod", "session_value"),
+             encode.EncodingSpec("last_category_id", "te_cat", "session_value")]
+    return encode.full_train_encodings(fr, te, specs, "session_value")
+
+
+def q_item_encoding_raw(spark, sf_dir):
+    tr, te = _item_encoding_raw(_src(spark, sf_dir))
+    cols = ["user_session", "te_prod", "te_cat"]
+    return report(tr.select(*cols, F.lit("train").alias("role"))
+                  .unionByName(te.select(*cols, F.lit("test").alias("role"))))
+
+
+def _log_frames(src, winsorize_p: float = 0.0):
+    fr = _frame_user_session_key(src)
+    fr = target.winsorize_two_sided(fr, "session_value", winsorize_p, out="y_w")
+    fr = target.log_target(fr, "y_w", "y", clip_negative=False).drop("y_w")
+    return fr, _test_frame_user_session_key(src)
+
+
+def q_item_encoding_log(spark, sf_dir):
+    fr, te = _log_frames(_src(spark, sf_dir))
+    specs = [encode.EncodingSpec("last_product_id", "te_last_prod_y", "y", "sentinel"),
+             encode.EncodingSpec("last_category_id", "te_last_cat_y", "y", "sentinel")]
+    tr, te = encode.full_train_encodings(fr, te, specs, "y")
+    cols = ["user_id", "user_session", "te_last_prod_y", "te_last_cat_y"]
+    return report(tr.select(*cols, F.lit("train").alias("role"))
+                  .unionByName(te.select(*cols, F.lit("test").alias("role"))))
+
+
+LOG_SPECS = [encode.EncodingSpec("user_id", "user_backoff_y", "y", "default"),
+             encode.EncodingSpec("last_product_id", "te_last_prod_y", "y", "sentinel"),
+             encode.EncodingSpec("last_category_id", "te_last_cat_y", "y", "sentinel")]
+
+
+def q_fold_encodings(spark, sf_dir):
+    fr, te = _log_frames(_src(spark, sf_dir))
+    fr = folds.group_folds(fr, "user_id", 5, 42)
+    out = encode.fold_encodings(fr, te, LOG_SPECS, 5, "y", "fold", keep=("user_id", "user_session"))
+    return report(out)
+
+
+def q_fill_template(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    _, te = _user_backoff_raw(src)
+    pred = te.select("user_session", F.col("user_backoff").alias("session_value"))
+    mean = encode.global_mean(_money(_labels_a(src)), "session_value")
+    return report(predict.fill_template(src.template, pred, mean))
+
+
+def q_blend_two(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    _, te_user = _user_backoff_raw(src)
+    _, te_item = _item_encoding_raw(src)
+    a = te_user.select("user_session", F.col("user_backoff").alias("session_value"))
+    b = te_item.select("user_session", F.col("te_prod").alias("session_value"))
+    return report(predict.blend([a, b], [0.5, 0.5]))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "events_union_split": q_events_union_split,
+    "scan_csv_roundtrip": q_scan_csv_roundtrip,
+    "feature_parquet_roundtrip": q_feature_parquet_roundtrip,
     "session_features_v1": q_session_features_v1,
     "session_features_v2": q_session_features_v2,
+    "session_features_v2_orders": q_session_features_v2_orders,
+    "event_type_codes": q_event_type_codes,
+    "session_repeats": q_session_repeats,
+    "session_first_last": q_session_first_last,
+    "session_time": q_session_time,
+    "event_entropy": q_event_entropy,
+    "features_train": q_features_train,
+    "features_test": q_features_test,
+    "labels_first_per_session": q_labels_first_per_session,
+    "labels_first_per_user_session": q_labels_first_per_user_session,
+    "last_items_nonnull": q_last_items_nonnull,
+    "last_items_row": q_last_items_row,
+    "training_frame_session_key": q_training_frame_session_key,
+    "training_frame_user_session_key": q_training_frame_user_session_key,
+    "target_log_clip": q_target_log_clip,
+    "target_log": q_target_log,
+    "target_inverse": q_target_inverse,
+    "winsorize_upper": q_winsorize_upper,
+    "winsorize_two_sided": q_winsorize_two_sided,
+    "tail_stats": q_tail_stats,
+    "tail_counts": q_tail_counts,
+    "heavy_users": q_heavy_users,
+    "session_user_counts": q_session_user_counts,
+    "group_folds": q_group_folds,
+    "balanced_group_folds": q_balanced_group_folds,
+    "group_holdout": q_group_holdout,
+    "baseline_cv": q_baseline_cv,
+    "baseline_submission": q_baseline_submission,
+    "user_backoff_raw": q_user_backoff_raw,
+    "user_backoff_log": q_user_backoff_log,
+    "item_encoding_raw": q_item_encoding_raw,
+    "item_encoding_log": q_item_encoding_log,
+    "fold_encodings": q_fold_encodings,
+    "fill_template": q_fill_template,
+    "blend_two": q_blend_two,
 }

@@ -75,6 +75,18 @@ def write_feature_table(df: DataFrame, path: str, partition_by=None) -> str:
     return path
 
 
+# Timestamp text layout with microseconds (Spark's CSV default keeps milliseconds).
+TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def write_events_csv(df: DataFrame, path: str) -> str:
+    """Headered CSV without index; timestamps keep their microseconds."""
+    (df.write.mode("overwrite").option("header", True)
+       .option("timestampNTZFormat", TIMESTAMP_TEXT).option("timestampFormat", TIMESTAMP_TEXT)
+       .csv(path))
+    return path
+
+
 def write_predictions_csv(pred: DataFrame, path: str, order_col: str = "row_no",
                           columns=("user_session", "session_value")) -> str:
     """Prediction file in template order: a range-partitioned global sort, so part
