@@ -64,52 +64,64 @@ def full_train_encodings(train: DataFrame, test: DataFrame, specs, default_targe
 
 
 def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str = "y",
-                   fold_col: str = "fold", keep=("user_session",)) -> DataFrame:
-    """Encodings of every fold in one pass.
+                   fold_col="fold", keep=("user_session",)) -> DataFrame:
+    """Encodings of every fold (of every seed) in one pass.
 
     For fold f, a key's encoding is the mean target over train rows outside fold f;
     keys absent there (and missing keys) get the mean target over all rows outside f.
-    Output: one row per (row, fold) with ``role`` = 'fit' (row's fold != f),
-    'val' (row's fold == f) or 'test', the row's ``keep`` columns, its target and fold,
-    and one column per spec.
+    ``fold_col`` is one column name, or a mapping ``{seed: column}`` for repeated
+    fold assignments; every (seed, fold) pair becomes conditional sums in the same
+    aggregation. Output: one row per (row, [seed,] fold) with ``role`` = 'fit'
+    (row's fold != f), 'val' (row's fold == f) or 'test', the ``keep`` columns, the
+    target, ``row_fold`` and one column per spec.
     """
-    folds = list(range(1, k + 1))
+    multi = isinstance(fold_col, dict)
+    fcols = dict(fold_col) if multi else {None: fold_col}
+    pairs = [(s, f) for s in fcols for f in range(1, k + 1)]
+    tag = {p: f"{'' if p[0] is None else p[0]}_{p[1]}" for p in pairs}
     y = F.col(target)
 
     def fold_sums(df: DataFrame, keys) -> DataFrame:
         aggs = [F.sum(y).alias("_s"), F.count(y).alias("_c")]
-        for f in folds:
-            inf = F.col(fold_col) == f
-            aggs += [F.sum(F.when(inf, y)).alias(f"_s{f}"), F.count(F.when(inf, y)).alias(f"_c{f}")]
-        return (df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs))
+        for (s, f) in pairs:
+            inf = F.col(fcols[s]) == f
+            aggs += [F.sum(F.when(inf, y)).alias(f"_s{tag[(s, f)]}"),
+                     F.count(F.when(inf, y)).alias(f"_c{tag[(s, f)]}")]
+        return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
-    def complement_means(stats: DataFrame, prefix: str) -> list[Column]:
-        return [((F.col("_s") - F.coalesce(F.col(f"_s{f}"), F.lit(0.0)))
-                 / F.nullif(F.col("_c") - F.col(f"_c{f}"), F.lit(0))).alias(f"{prefix}{f}")
-                for f in folds]
+    def complement_means(prefix: str) -> list[Column]:
+        return [((F.col("_s") - F.coalesce(F.col(f"_s{tag[p]}"), F.lit(0.0)))
+                 / F.nullif(F.col("_c") - F.col(f"_c{tag[p]}"), F.lit(0))).alias(f"{prefix}{tag[p]}")
+                for p in pairs]
 
-    tot = fold_sums(train.where(y.isNotNull()), [])
-    defaults = tot.select(*complement_means(tot, "_g"))            # one row, K columns
+    src = train.where(y.isNotNull())
+    tot = fold_sums(src, [])
+    defaults = tot.select(*complement_means("_g"))                 # one row
 
     cols = list(dict.fromkeys([*keep, *[s.key for s in specs]]))
-    tr = train.select(*cols, target, fold_col).withColumn("_role", F.lit("train"))
-    te = test.select(*cols).withColumn(target, F.lit(None).cast("double")) \
-        .withColumn(fold_col, F.lit(None).cast("bigint")).withColumn("_role", F.lit("test"))
-    rows = tr.unionByName(te)
-    for s in specs:
-        src = train.where(y.isNotNull())
-        if s.null_key == "default":
-            src = src.where(F.col(s.key).isNotNull())
-        st = fold_sums(src, [s.key])
-        st = st.select(s.key, *complement_means(st, f"_{s.out}_"))
-        rows = rows.join(st, s.key, "left")
+    fold_names = list(dict.fromkeys(fcols.values()))
+    tr = train.select(*cols, target, *fold_names).withColumn("_role", F.lit("train"))
+    te = test.select(*cols).withColumn(target, F.lit(None).cast("double"))
+    for c in fold_names:
+        te = te.withColumn(c, F.lit(None).cast("bigint"))
+    rows = tr.unionByName(te.withColumn("_role", F.lit("test")))
+    for sp in specs:
+        s_src = src.where(F.col(sp.key).isNotNull()) if sp.null_key == "default" else src
+        st = fold_sums(s_src, [sp.key])
+        rows = rows.join(st.select(sp.key, *complement_means(f"_{sp.out}_")), sp.key, "left")
     rows = rows.crossJoin(F.broadcast(defaults))
-    fan = rows.withColumn("_f", F.explode(F.array(*[F.lit(f) for f in folds])))
-    pick = lambda prefix: F.element_at(F.array(*[F.col(f"{prefix}{f}") for f in folds]), F.col("_f"))
+    # fan out: one row per (seed, fold); the index selects that pair's columns
+    fan = rows.withColumn("_p", F.explode(F.sequence(F.lit(1), F.lit(len(pairs)))))
+    pick = lambda prefix: F.element_at(F.array(*[F.col(f"{prefix}{tag[p]}") for p in pairs]), F.col("_p"))
+    seed_of = F.element_at(F.array(*[F.lit(p[0] if p[0] is not None else 0) for p in pairs]), F.col("_p"))
+    fold_of = F.element_at(F.array(*[F.lit(p[1]) for p in pairs]), F.col("_p")).cast("bigint")
+    row_fold = F.element_at(F.array(*[F.col(fcols[p[0]]) for p in pairs]), F.col("_p"))
     role = (F.when(F.col("_role") == "test", F.lit("test"))
-            .when(F.col(fold_col) == F.col("_f"), F.lit("val")).otherwise(F.lit("fit")))
-    out = [*[F.col(c) for c in keep], F.col(target), F.col(fold_col).alias("row_fold"),
-           F.col("_f").cast("bigint").alias(fold_col), role.alias("role")]
-    for s in specs:
-        out.append(F.coalesce(pick(f"_{s.out}_"), pick("_g")).alias(s.out))
+            .when(row_fold == fold_of, F.lit("val")).otherwise(F.lit("fit")))
+    out = [*[F.col(c) for c in keep], F.col(target), row_fold.cast("bigint").alias("row_fold")]
+    if multi:
+        out.append(seed_of.cast("bigint").alias("seed"))
+    out += [fold_of.alias("fold"), role.alias("role")]
+    for sp in specs:
+        out.append(F.coalesce(pick(f"_{sp.out}_"), pick("_g")).alias(sp.out))
     return fan.select(*out)

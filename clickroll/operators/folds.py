@@ -17,24 +17,30 @@ BUCKET_BITS = 10     # 1,024 rank buckets
 HASH_BITS = 60       # 15 hex digits of md5
 
 
-def seeded_hash(col: Column, seed: int) -> Column:
-    """Non-negative 60-bit hash of ``group|seed`` (md5, so SQL engines agree)."""
-    key = F.concat(F.coalesce(col.cast("string"), F.lit("<null>")), F.lit(f"|{seed}"))
+def seeded_hash(col: Column, seed) -> Column:
+    """Non-negative 60-bit hash of ``group|seed`` (md5, so SQL engines agree); ``seed``
+    may be a number or a column."""
+    sd = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    key = F.concat(F.coalesce(col.cast("string"), F.lit("<null>")), F.lit("|"), sd)
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
 
 
-def ordered_index(df: DataFrame, bucket_cols, order_cols, broadcast_offsets: bool = True) -> DataFrame:
-    """Adds ``_idx`` (0-based global position in ``bucket_cols, order_cols`` order) and
-    ``_n`` (row count). ``bucket_cols`` must be monotone in the order."""
-    counts = df.groupBy(*bucket_cols).agg(F.count(F.lit(1)).alias("_bn"))
-    before = Window.orderBy(*bucket_cols).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*bucket_cols,
+def ordered_index(df: DataFrame, bucket_cols, order_cols, broadcast_offsets: bool = True,
+                  group_cols=()) -> DataFrame:
+    """Adds ``_idx`` (0-based position in ``bucket_cols, order_cols`` order) and ``_n``
+    (row count), both within each ``group_cols`` group (independent orderings, e.g. one
+    per seed). ``bucket_cols`` must be monotone in the order."""
+    group_cols, bucket_cols = list(group_cols), list(bucket_cols)
+    keys = group_cols + bucket_cols
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"))
+    before = Window.partitionBy(*group_cols).orderBy(*bucket_cols).rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*keys,
                          F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"),
-                         F.sum("_bn").over(Window.partitionBy()).alias("_n"))
-    inner = Window.partitionBy(*bucket_cols).orderBy(*order_cols)
+                         F.sum("_bn").over(Window.partitionBy(*group_cols)).alias("_n"))
+    inner = Window.partitionBy(*keys).orderBy(*order_cols)
     ranked = df.withColumn("_r", F.row_number().over(inner) - 1)
     offs = F.broadcast(offs) if broadcast_offsets else offs
-    return (ranked.join(offs, list(bucket_cols))
+    return (ranked.join(offs, keys)
             .withColumn("_idx", (F.col("_off") + F.col("_r")).cast("bigint"))
             .drop("_off", "_r"))
 
@@ -71,6 +77,23 @@ def group_folds(labels: DataFrame, group_col: str = "user_id", k: int = 5, seed:
     return labels.join(g, labels[group_col].eqNullSafe(g[group_col]), "left").drop(g[group_col])
 
 
+def group_folds_by_seed(labels: DataFrame, group_col: str = "user_id", k: int = 5,
+                        seeds=(42,), prefix: str = "fold_") -> DataFrame:
+    """``group_folds`` for several seeds in one ranking pass: the distinct groups are
+    fanned out to one row per seed and ranked per seed. Adds ``fold_<seed>`` columns."""
+    seeds = [int(s) for s in seeds]
+    g = labels.select(F.col(group_col).alias("_g")).distinct()
+    gs = g.select("_g", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("_seed"))
+    gs = (gs.withColumn("_h", seeded_hash(F.col("_g"), F.col("_seed")))
+          .withColumn("_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)))
+    r = ordered_index(gs, ["_b"], ["_h", "_g"], group_cols=["_seed"])
+    r = r.withColumn("_fold", _block_of(F.col("_idx"), F.col("_n"), k) + 1)
+    wide = r.groupBy("_g").agg(*[F.max(F.when(F.col("_seed") == s, F.col("_fold"))).alias(f"{prefix}{s}")
+                                 for s in seeds])
+    wide = wide.withColumnRenamed("_g", group_col)
+    return labels.join(wide, labels[group_col].eqNullSafe(wide[group_col]), "left").drop(wide[group_col])
+
+
 def balanced_group_folds(labels: DataFrame, group_col: str = "user_id", k: int = 10,
                          seed: int = 0) -> DataFrame:
     """Size-balanced group K-fold: groups ranked by size (descending, then hash) are

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickroll.operators import encode, folds, items, labels, predict, profile, target
+from clickroll.operators import encode, ensemble, folds, items, labels, predict, profile, target
 from clickroll.operators import features as feat
 from clickroll.session import scratch_path
 from clickroll.sources import files
@@ -345,6 +345,63 @@ def q_blend_two(spark, sf_dir):
     return report(predict.blend([a, b], [0.5, 0.5]))
 
 
+# Booster seeds of the reference's CV ensemble.
+ENSEMBLE_SEEDS = (2025, 2027, 2031)
+
+
+def _standin_scores(src, seeds, k: int = 5) -> DataFrame:
+    """Deterministic stand-in model: a row's score for fold f is its last product's
+    fold-f encoding. Lets the OOF / test averaging be checked against SQL."""
+    fr, te = _log_frames(src)
+    f = folds.group_folds_by_seed(fr, "user_id", k, seeds)
+    enc = encode.fold_encodings(f, te, LOG_SPECS, k, "y", {s: f"fold_{s}" for s in seeds},
+                                keep=("user_id", "user_session"))
+    return enc.select("user_id", "user_session", "seed", "fold", "role", "y",
+                      F.col("te_last_prod_y").alias("pred"))
+
+
+def q_oof_scores(spark, sf_dir):
+    sc = _standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS)
+    return report(ensemble.oof_average(sc, keys=("user_id", "user_session")))
+
+
+def q_test_avg_log(spark, sf_dir):
+    sc = _standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS)
+    return report(ensemble.test_average(sc, keys=("user_id", "user_session"), space="log"))
+
+
+def q_test_avg_linear(spark, sf_dir):
+    sc = _standin_scores(_src(spark, sf_dir), (42,))
+    return report(ensemble.test_average(sc, keys=("user_id", "user_session"), space="linear"))
+
+
+def _gbt_params():
+    from clickroll.plans.modeling import GBTParams
+    return GBTParams(max_iter=20, max_depth=5)
+
+
+def q_gbt_fulltrain(spark, sf_dir):
+    from clickroll.plans import modeling
+    out, _ = modeling.fulltrain(_src(spark, sf_dir), _gbt_params(), winsorize_p=0.995)
+    return report(out)
+
+
+def q_gbt_group_cv(spark, sf_dir):
+    from clickroll.plans import modeling
+    sc = modeling.cv_scores(_src(spark, sf_dir), k=5, seeds=(42,), params=_gbt_params(),
+                            fold_method="group", fold_seed=42)
+    return report(ensemble.oof_average(sc, keys=("user_id", "user_session")))
+
+
+def q_gbt_seed_ensemble(spark, sf_dir):
+    from clickroll.plans import modeling
+    src = _src(spark, sf_dir)
+    sc = modeling.cv_scores(src, k=10, seeds=ENSEMBLE_SEEDS, params=_gbt_params(), fold_method="balanced")
+    pred = ensemble.test_average(sc, keys=("user_session",), space="log")
+    default = encode.global_mean(_labels_b(src), "session_value")
+    return report(predict.fill_template(src.template, pred, default))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_union_split": q_events_union_split,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
@@ -386,4 +443,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_encodings": q_fold_encodings,
     "fill_template": q_fill_template,
     "blend_two": q_blend_two,
+    "oof_scores": q_oof_scores,
+    "test_avg_log": q_test_avg_log,
+    "test_avg_linear": q_test_avg_linear,
+    "gbt_fulltrain": q_gbt_fulltrain,
+    "gbt_group_cv": q_gbt_group_cv,
+    "gbt_seed_ensemble": q_gbt_seed_ensemble,
 }

@@ -189,6 +189,34 @@ te_sk AS (SELECT fte.user_session, n.last_product_id, n.last_category_id FROM ft
 LOG_FRAME = """fr_log AS (SELECT *, CASE WHEN session_value > -1 THEN ln(1 + session_value) END AS y FROM frame_uk)"""
 
 
+def _standin(seeds) -> list[str]:
+    """CTEs scoring each row with its last product's fold encoding, per seed."""
+    ctes = [FRAME_UK, TEST_UK, LOG_FRAME, "fl AS (SELECT range AS f FROM range(1, 6))"]
+    parts = []
+    for s in seeds:
+        ctes += [
+            _group_folds(f"gf{s}", "lab_b", 5, s),
+            f"trf{s} AS (SELECT f.*, g.fold FROM fr_log f JOIN gf{s} g ON f.user_id = g.g)",
+            f"pe{s} AS (SELECT fl.f, t.last_product_id, avg(t.y) AS m FROM trf{s} t, fl "
+            f"WHERE t.fold <> fl.f AND t.y IS NOT NULL GROUP BY ALL)",
+            f"gd{s} AS (SELECT fl.f, avg(t.y) AS m FROM trf{s} t, fl WHERE t.fold <> fl.f AND t.y IS NOT NULL "
+            f"GROUP BY ALL)",
+            f"""sc{s} AS (
+  SELECT t.user_id, t.user_session, {s} AS seed, fl.f AS fold,
+         CASE WHEN t.fold = fl.f THEN 'val' ELSE 'fit' END AS role, t.y, coalesce(pe.m, gd.m) AS pred
+  FROM trf{s} t CROSS JOIN fl
+  LEFT JOIN pe{s} pe ON pe.f = fl.f AND pe.last_product_id = t.last_product_id
+  LEFT JOIN gd{s} gd ON gd.f = fl.f
+  UNION ALL
+  SELECT t.user_id, t.user_session, {s}, fl.f, 'test', NULL, coalesce(pe.m, gd.m)
+  FROM test_uk t CROSS JOIN fl
+  LEFT JOIN pe{s} pe ON pe.f = fl.f AND pe.last_product_id = t.last_product_id
+  LEFT JOIN gd{s} gd ON gd.f = fl.f)"""]
+        parts.append(f"SELECT * FROM sc{s}")
+    ctes.append("scores AS (" + " UNION ALL ".join(parts) + ")")
+    return ctes
+
+
 def _spark_round(sql: str) -> str:
     """Rewrite every ``round(x, 6)`` to round HALF_UP on the shortest decimal form of the
     double, which is how Spark rounds doubles; DuckDB's own double rounding can land on
@@ -415,4 +443,13 @@ SELECT a.user_session, round(0.5 * a.v + 0.5 * b.v, 6) AS session_value
 FROM (SELECT fte.user_session, coalesce(um.m, ga.g) AS v FROM fte LEFT JOIN um USING (user_id), ga) a
 JOIN (SELECT t.user_session, coalesce(pm.m, ga.g) AS v FROM te_sk t LEFT JOIN pm USING (last_product_id), ga) b
   USING (user_session)""", USER_MEAN_RAW, ITEM_RAW)
+    q["oof_scores"] = _q("""
+SELECT user_id, user_session, round(avg(pred), 6) AS oof, round(any_value(y), 6) AS y
+FROM scores WHERE role = 'val' GROUP BY user_id, user_session""", *_standin((2025, 2027, 2031)))
+    q["test_avg_log"] = _q("""
+SELECT user_id, user_session, round(exp(avg(pred)) - 1, 6) AS session_value
+FROM scores WHERE role = 'test' GROUP BY user_id, user_session""", *_standin((2025, 2027, 2031)))
+    q["test_avg_linear"] = _q("""
+SELECT user_id, user_session, round(avg(exp(pred) - 1), 6) AS session_value
+FROM scores WHERE role = 'test' GROUP BY user_id, user_session""", *_standin((42,)))
     return q
