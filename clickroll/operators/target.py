@@ -31,20 +31,36 @@ def exact_quantiles(df: DataFrame, col: str, probs) -> list[float | None]:
     if n == 0:
         return [None for _ in probs]
     acc = int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.ceil(BRACKET * 2 * n / BAND_ROWS))))
-    eps = BRACKET / acc
     ranks = []
     for p in probs:
         h = (n - 1) * p
         k0 = int(math.floor(h))
         ranks.append((k0, min(k0 + 1, n - 1), h - k0))
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
+    eps = BRACKET / acc
+    for _ in range(8):
+        hits = _bracket_hits(v, n, ranks, eps, acc)
+        if hits is not None:
+            break
+        eps *= 4          # a bracket missed its rank: widen and retry
+    else:
+        hits = _bracket_hits(v, n, ranks, 2.0, acc)
+    out = []
+    for (k0, k1, frac), got in zip(ranks, hits):
+        x0, x1 = got[k0], got[k1]
+        out.append(x0 + frac * (x1 - x0))
+    return out
+
+
+def _bracket_hits(v: DataFrame, n: int, ranks, eps: float, acc: int):
+    """Values at the needed ranks, or None when a sketch bracket missed one."""
+    # bracket in rank space: a value of rank <= k0 below, of rank >= k1 above
+    lo_p = [min(1.0, max(0.0, (k0 - 1) / n - eps)) for k0, _, _ in ranks]
+    hi_p = [min(1.0, max(0.0, (k1 + 2) / n + eps)) for _, k1, _ in ranks]
     b = v.agg(F.percentile_approx("v", lo_p + hi_p, acc).alias("b"), F.min("v").alias("mn"),
               F.max("v").alias("mx")).first()
-    bounds = list(b["b"])
-    los = [b["mn"] if p <= eps else x for p, x in zip(probs, bounds[:len(probs)])]
-    his = [b["mx"] if p >= 1 - eps else x for p, x in zip(probs, bounds[len(probs):])]
-
+    m = len(ranks)
+    los = [b["mn"] if p <= 0.0 else x for p, x in zip(lo_p, b["b"][:m])]
+    his = [b["mx"] if p >= 1.0 else x for p, x in zip(hi_p, b["b"][m:])]
     # rows below each bracket, and the (value, count) histogram inside the brackets
     below = v.agg(*[F.count_if(F.col("v") < F.lit(lo)).alias(f"b{i}") for i, lo in enumerate(los)]).first()
     in_any = None
@@ -57,26 +73,25 @@ def exact_quantiles(df: DataFrame, col: str, probs) -> list[float | None]:
     band = hist.select("v", "c", F.explode(F.array_compact(tags)).alias("i"))
     w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     band = band.withColumn("cum", F.sum("c").over(w))
-    base = F.element_at(F.array(*[F.lit(int(below[f"b{i}"])) for i in range(len(probs))]), F.col("i") + 1)
+    base = F.element_at(F.array(*[F.lit(int(below[f"b{i}"])) for i in range(m)]), F.col("i") + 1)
     band = band.withColumn("start", base + F.col("cum") - F.col("c")).withColumn("end", base + F.col("cum"))
-    need = []
+    cond = None
     for i, (k0, k1, _) in enumerate(ranks):
         for k in {k0, k1}:
-            need.append((F.col("i") == i) & (F.col("start") <= k) & (F.col("end") > k))
-    cond = need[0]
-    for c in need[1:]:
-        cond = cond | c
-    hits = band.where(cond).select("i", "v", "start", "end").collect()   # at most 2 rows per p
-    out = []
-    for i, (k0, k1, frac) in enumerate(ranks):
-        def at(k):
-            for r in hits:
+            c = (F.col("i") == i) & (F.col("start") <= k) & (F.col("end") > k)
+            cond = c if cond is None else (cond | c)
+    rows = band.where(cond).select("i", "v", "start", "end").collect()   # at most 2 rows per p
+    found = []
+    for i, (k0, k1, _) in enumerate(ranks):
+        got = {}
+        for k in {k0, k1}:
+            for r in rows:
                 if r["i"] == i and r["start"] <= k < r["end"]:
-                    return r["v"]
-            raise RuntimeError(f"quantile bracket missed rank {k} for p={probs[i]}")
-        x0, x1 = at(k0), at(k1)
-        out.append(x0 + frac * (x1 - x0))
-    return out
+                    got[k] = r["v"]
+            if k not in got:
+                return None
+        found.append(got)
+    return found
 
 
 def log_target(df: DataFrame, col: str = "session_value", out: str = "y",
