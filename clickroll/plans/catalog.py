@@ -17,7 +17,7 @@ from clickroll.operators import encode, ensemble, folds, items, labels, predict,
 from clickroll.operators import features as feat
 from clickroll.session import scratch_path
 from clickroll.sources import files
-from clickroll.sources.adapters import clickstream_source, lineitem_source
+from clickroll.sources.adapters import clickstream_contract, clickstream_source, lineitem_source
 
 
 def report(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -125,6 +125,21 @@ def q_session_features_v2(spark, sf_dir):
     return report(feat.session_features_v2(_src(spark, sf_dir).events))
 
 
+def q_streaming_session_features_v1(spark, sf_dir):
+    """v1 features maintained by the file stream (available-now trigger), read back."""
+    from clickroll.streaming import start_session_feature_stream
+    src = _src(spark, sf_dir)
+    types, _ = feat.event_type_domain(src.events)
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stream = clickstream_contract(
+        spark.readStream.schema(raw.schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")).drop("value")
+    base = scratch_path(spark, "stream")
+    q = start_session_feature_stream(spark, stream, f"{base}/store", f"{base}/features",
+                                     f"{base}/checkpoint", types, version="v1")
+    q.awaitTermination()
+    return report(spark.read.parquet(f"{base}/features").drop("_bucket"))
+
+
 def q_session_features_v2_orders(spark, sf_dir):
     return report(feat.session_features_v2(lineitem_source(spark, sf_dir).events))
 
@@ -409,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_features_v1": q_session_features_v1,
     "session_features_v2": q_session_features_v2,
     "session_features_v2_orders": q_session_features_v2_orders,
+    "streaming_session_features_v1": q_streaming_session_features_v1,
     "event_type_codes": q_event_type_codes,
     "session_repeats": q_session_repeats,
     "session_first_last": q_session_first_last,

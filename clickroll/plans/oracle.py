@@ -280,6 +280,7 @@ v1 AS (SELECT *, """ + ", ".join(f"round(event_type_count_{t} / session_event_co
         "session_event_count, unique_product_count, unique_category_count, "
         + ", ".join(f"event_type_count_{t}, event_type_ratio_{t}" for t in TYPES_A)
         + ", 'test' AS split FROM v1 WHERE in_test")
+    q["streaming_session_features_v1"] = q["session_features_v1"]
     q["session_features_v2"] = _q("SELECT * FROM feat")
     q["session_features_v2_orders"] = f"WITH {EV_B},{_v2_ctes(TYPES_B)}\nSELECT * FROM feat"
     q["event_type_codes"] = _q("""

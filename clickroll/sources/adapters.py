@@ -73,13 +73,9 @@ def _template(test_events: DataFrame) -> DataFrame:
             .withColumn("session_value", F.lit(0.0)))
 
 
-def clickstream_source(spark: SparkSession, sf_dir: str) -> EventSource:
-    """Adapter A over ``events``: a session is one user's day of events.
-
-    ``session_value`` is the session's sum of ``value`` (summed as DECIMAL(18,2), so it
-    is exact) repeated on each train row.
-    """
-    raw = read_table(spark, sf_dir, "events")
+def clickstream_contract(raw: DataFrame) -> DataFrame:
+    """Row-wise mapping of the ``events`` table to the contract (plus ``value``);
+    works on batch and streaming frames alike."""
     et = F.lower(F.col("event_type"))
     product = F.get_json_object("props", "$.k").cast("bigint")
     ev = raw.select(
@@ -95,6 +91,16 @@ def clickstream_source(spark: SparkSession, sf_dir: str) -> EventSource:
          .otherwise(F.lit("test")).alias("split"),
         F.col("value"),
     )
+    return ev
+
+
+def clickstream_source(spark: SparkSession, sf_dir: str) -> EventSource:
+    """Adapter A over ``events``: a session is one user's day of events.
+
+    ``session_value`` is the session's sum of ``value`` (summed as DECIMAL(18,2), so it
+    is exact) repeated on each train row.
+    """
+    ev = clickstream_contract(read_table(spark, sf_dir, "events"))
     events = ev.drop("value")
     train = ev.where(F.col("split") == "train")
     # One row per session from a partially aggregated sum; joined back on the key
