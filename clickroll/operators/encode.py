@@ -24,6 +24,21 @@ class EncodingSpec:
     null_key: str = "default"  # "default": missing key -> default; "sentinel": key already filled
 
 
+def _grouped(train: DataFrame, specs, aggs):
+    """All keys' aggregates plus the grand total in ONE pass: GROUPING SETS over each
+    spec key and the empty set. Returns ({key: frame}, total_frame)."""
+    keys = list(dict.fromkeys(s.key for s in specs))
+    n = len(keys)
+    g = (train.groupingSets([[k] for k in keys] + [[]], *keys)
+         .agg(*aggs, F.grouping_id().alias("_gid")))
+    everything = (1 << n) - 1
+    per_key = {k: g.where(F.col("_gid") == everything - (1 << (n - 1 - i))).drop("_gid")
+               .select(k, *[c for c in g.columns if c not in keys and c != "_gid"])
+               for i, k in enumerate(keys)}
+    total = g.where(F.col("_gid") == everything).select(*[c for c in g.columns if c not in keys and c != "_gid"])
+    return per_key, total
+
+
 def mean_by_key(frame: DataFrame, key: str, target: str, null_key: str = "default") -> DataFrame:
     rows = frame.where(F.col(target).isNotNull())
     if null_key == "default":
@@ -55,11 +70,22 @@ def full_train_encodings(train: DataFrame, test: DataFrame, specs, default_targe
                          fill_train: bool = True):
     """In-sample encodings for train rows and their application to test rows.
     Returns (train_encoded, test_encoded)."""
-    g = global_mean(train, default_target)
+    targets = {s.target for s in specs}
+    if targets == {default_target}:
+        y = F.col(default_target)
+        per_key, total = _grouped(train, specs,
+                                  [F.avg(y).cast("double").alias("_mean")])
+        g = total.withColumnRenamed("_mean", "_default")
+        encs = {}
+        for s in specs:
+            e = per_key[s.key]
+            encs[s.out] = e.where(F.col(s.key).isNotNull()) if s.null_key == "default" else e
+    else:
+        g = global_mean(train, default_target)
+        encs = {s.out: mean_by_key(train, s.key, s.target, s.null_key) for s in specs}
     for s in specs:
-        enc = mean_by_key(train, s.key, s.target, s.null_key)
-        train = apply_encoding(train, enc, s.key, s.out, g if fill_train else None)
-        test = apply_encoding(test, enc, s.key, s.out, g)
+        train = apply_encoding(train, encs[s.out], s.key, s.out, g if fill_train else None)
+        test = apply_encoding(test, encs[s.out], s.key, s.out, g)
     return train, test
 
 
@@ -81,21 +107,18 @@ def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str
     tag = {p: f"{'' if p[0] is None else p[0]}_{p[1]}" for p in pairs}
     y = F.col(target)
 
-    def fold_sums(df: DataFrame, keys) -> DataFrame:
-        aggs = [F.sum(y).alias("_s"), F.count(y).alias("_c")]
-        for (s, f) in pairs:
-            inf = F.col(fcols[s]) == f
-            aggs += [F.sum(F.when(inf, y)).alias(f"_s{tag[(s, f)]}"),
-                     F.count(F.when(inf, y)).alias(f"_c{tag[(s, f)]}")]
-        return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-
     def complement_means(prefix: str) -> list[Column]:
         return [((F.col("_s") - F.coalesce(F.col(f"_s{tag[p]}"), F.lit(0.0)))
                  / F.nullif(F.col("_c") - F.col(f"_c{tag[p]}"), F.lit(0))).alias(f"{prefix}{tag[p]}")
                 for p in pairs]
 
     src = train.where(y.isNotNull())
-    tot = fold_sums(src, [])
+    sum_aggs = [F.sum(y).alias("_s"), F.count(y).alias("_c")]
+    for (s_, f) in pairs:
+        inf = F.col(fcols[s_]) == f
+        sum_aggs += [F.sum(F.when(inf, y)).alias(f"_s{tag[(s_, f)]}"),
+                     F.count(F.when(inf, y)).alias(f"_c{tag[(s_, f)]}")]
+    per_key, tot = _grouped(src, specs, sum_aggs)
     defaults = tot.select(*complement_means("_g"))                 # one row
 
     cols = list(dict.fromkeys([*keep, *[s.key for s in specs]]))
@@ -106,8 +129,8 @@ def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str
         te = te.withColumn(c, F.lit(None).cast("bigint"))
     rows = tr.unionByName(te.withColumn("_role", F.lit("test")))
     for sp in specs:
-        s_src = src.where(F.col(sp.key).isNotNull()) if sp.null_key == "default" else src
-        st = fold_sums(s_src, [sp.key])
+        st = per_key[sp.key]
+        st = st.where(F.col(sp.key).isNotNull()) if sp.null_key == "default" else st
         rows = rows.join(st.select(sp.key, *complement_means(f"_{sp.out}_")), sp.key, "left")
     rows = rows.crossJoin(F.broadcast(defaults))
     # fan out: one row per (seed, fold); the index selects that pair's columns

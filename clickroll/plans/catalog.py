@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from clickroll.operators import encode, ensemble, folds, items, labels, predict, profile, target
 from clickroll.operators import features as feat
-from clickroll.session import scratch_path
+from clickroll.session import materialize, scratch_path
 from clickroll.sources import files
 from clickroll.sources.adapters import clickstream_contract, clickstream_source, lineitem_source
 
@@ -36,13 +36,26 @@ def _src(spark, sf_dir):
     return clickstream_source(spark, sf_dir)
 
 
+def _shared(src, key, build):
+    """A frame several stages of one query read: built once, checkpointed, reused."""
+    if key not in src.extras:
+        src.extras[key] = materialize(build())
+    return src.extras[key]
+
+
 def _features_split(src, version="v2"):
     fn = feat.session_features_v2 if version == "v2" else feat.session_features_v1
-    return feat.split_features(fn(src.events, with_split_flags=True))
+    f_all = _shared(src, f"features_{version}", lambda: fn(src.events, with_split_flags=True))
+    return feat.split_features(f_all)
 
 
 def _labels_a(src):
-    return labels.labels_first_per_session(src.labeled)
+    return _shared(src, "labels_a", lambda: labels.labels_first_per_session(src.labeled))
+
+
+def _labels_b(src, shared: bool = True):
+    build = lambda: labels.labels_first_per_user_session(src.labeled)
+    return _shared(src, "labels_b", build) if shared else build()
 
 
 def _money(df, col="session_value"):
@@ -50,10 +63,6 @@ def _money(df, col="session_value"):
     return df.withColumn(col, F.col(col).cast("decimal(18,2)"))
 
 
-def _labels_b(src):
-    return labels.labels_first_per_user_session(src.labeled)
-
-
 def _frame_session_key(src):
     """Labels (variant A) + last non-null items on the session + train features on
     (session, user): the 5-fold trainer's frame."""
@@ -66,11 +75,13 @@ def _frame_session_key(src):
 def _frame_user_session_key(src):
     """Labels (variant B) + train features + last row items on (user, session), with
     the -1 sentinel for missing ids: the CV-ensemble and full-train frame."""
-    tr_feat, _ = _features_split(src)
-    last = items.last_items_row(src.train)
-    fr = (_labels_b(src).join(tr_feat, ["user_id", "user_session"], "left")
-          .join(last, ["user_id", "user_session"], "left"))
-    return items.fill_sentinel(fr, ["last_product_id", "last_category_id"])
+    def build():
+        tr_feat, _ = _features_split(src)
+        last = items.last_items_row(src.train)
+        fr = (_labels_b(src, shared=False).join(tr_feat, ["user_id", "user_session"], "left")
+              .join(last, ["user_id", "user_session"], "left"))
+        return items.fill_sentinel(fr, ["last_product_id", "last_category_id"])
+    return _shared(src, "frame_uk", build)
 
 
 def _test_frame_user_session_key(src):
@@ -262,7 +273,7 @@ def q_group_holdout(spark, sf_dir):
 
 
 def q_baseline_cv(spark, sf_dir):
-    f = folds.group_folds(_money(_labels_a(_src(spark, sf_dir))), "user_id", 5, 42)
+    f = materialize(folds.group_folds(_money(_labels_a(_src(spark, sf_dir))), "user_id", 5, 42))
     return report(folds.baseline_cv(f))
 
 
@@ -338,7 +349,7 @@ LOG_SPECS = [encode.EncodingSpec("user_id", "user_backoff_y", "y", "default"),
 
 def q_fold_encodings(spark, sf_dir):
     fr, te = _log_frames(_src(spark, sf_dir))
-    fr = folds.group_folds(fr, "user_id", 5, 42)
+    fr = materialize(folds.group_folds(fr, "user_id", 5, 42))
     out = encode.fold_encodings(fr, te, LOG_SPECS, 5, "y", "fold", keep=("user_id", "user_session"))
     return report(out)
 
@@ -368,7 +379,7 @@ def _standin_scores(src, seeds, k: int = 5) -> DataFrame:
     """Deterministic stand-in model: a row's score for fold f is its last product's
     fold-f encoding. Lets the OOF / test averaging be checked against SQL."""
     fr, te = _log_frames(src)
-    f = folds.group_folds_by_seed(fr, "user_id", k, seeds)
+    f = materialize(folds.group_folds_by_seed(fr, "user_id", k, seeds))
     enc = encode.fold_encodings(f, te, LOG_SPECS, k, "y", {s: f"fold_{s}" for s in seeds},
                                 keep=("user_id", "user_session"))
     return enc.select("user_id", "user_session", "seed", "fold", "role", "y",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clickroll.operators import encode, ensemble, folds, labels, predict, profile
 from clickroll.operators import features as feat
+from clickroll.session import materialize
 from clickroll.sources import files
 
 
@@ -55,7 +56,7 @@ def read_features(spark: SparkSession, out_dir: str, versions=("v2", "v1")):
 def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Global-mean baseline: per-fold CV report and a constant submission file.
     Returns the metrics frame (name, fold, value)."""
-    lab = labels.require_non_empty(labels.labels_first_per_session(src.labeled))
+    lab = materialize(labels.require_non_empty(labels.labels_first_per_session(src.labeled)))
     money = lab.withColumn("session_value", F.col("session_value").cast("decimal(18,2)"))
     cv = folds.baseline_cv(folds.group_folds(money, "user_id", k, seed))
     mean = encode.global_mean(money, "session_value")
@@ -69,7 +70,7 @@ def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
 
 def profile_report(src) -> DataFrame:
     """Label profile as (name, fold=NULL, value)."""
-    lab = labels.labels_first_per_session(src.labeled)
+    lab = materialize(labels.labels_first_per_session(src.labeled))
     stats = profile.tail_stats(lab)
     counts = profile.tail_counts(lab)
     heavy = profile.heavy_users(lab)

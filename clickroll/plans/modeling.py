@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from clickroll.functions.schema import feature_columns, numeric_only
 from clickroll.operators import encode, ensemble, folds, items, labels, predict, target
 from clickroll.operators import features as feat
-from clickroll.session import checkpoint_dir
+from clickroll.session import checkpoint_dir, materialize
 
 KEY_COLUMNS = ("user_id", "user_session")
 NON_FEATURES = ("user_id", "user_session", "session_value", "y", "last_product_id", "last_category_id",
@@ -76,6 +76,7 @@ def model_frames(src, winsorize_p: float = 0.0):
     te = te_feat.join(items.last_items_row(src.test, sentinel=False), list(KEY_COLUMNS), "left")
     tr = items.fill_sentinel(tr, ["last_product_id", "last_category_id"])
     te = items.fill_sentinel(te, ["last_product_id", "last_category_id"])
+    tr = materialize(tr)      # read by the quantiles, fold ranking, encodings and the fit
     tr = target.winsorize_two_sided(tr, "session_value", winsorize_p, out="_yw")
     tr = target.log_target(tr, "_yw", "y", clip_negative=False).drop("_yw")
     return tr, te

@@ -59,3 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     token = next(tempfile._get_candidate_names())  # unique, no file created
     return f"{base.rstrip('/')}/{name}-{os.getpid()}-{token}"
+
+
+def materialize(df):
+    """Write a frame that several later stages read to the shared checkpoint folder
+    (reliable ``checkpoint``) and cut its lineage: consumers read it back instead of
+    recomputing its whole plan, and a lost executor does not trigger a recompute
+    from the raw tables."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
