@@ -47,7 +47,7 @@ def mean_by_key(frame: DataFrame, key: str, target: str, null_key: str = "defaul
 
 
 def global_mean(frame: DataFrame, target: str, alias: str = "_default") -> DataFrame:
-    """One-row frame: the mean target (cross-joined as a broadcast of one row).
+    """One-row frame: the mean target, used through ``.scalar()`` as a scalar subquery.
     A DECIMAL target (money) is averaged exactly."""
     return frame.agg(F.avg(target).cast("double").alias(alias))
 
@@ -59,10 +59,9 @@ def apply_encoding(frame: DataFrame, enc: DataFrame, key: str, out: str,
     if default is None:
         return j
     if isinstance(default, DataFrame):
-        d = default.withColumnRenamed(default.columns[0], "_default")
-        return (j.crossJoin(F.broadcast(d))
-                .withColumn(out, F.coalesce(F.col(out), F.col("_default"))).drop("_default"))
-    d = default if isinstance(default, Column) else F.lit(float(default))
+        d = default.select(default.columns[0]).scalar()       # one-row frame -> scalar subquery
+    else:
+        d = default if isinstance(default, Column) else F.lit(float(default))
     return j.withColumn(out, F.coalesce(F.col(out), d))
 
 
@@ -75,7 +74,7 @@ def full_train_encodings(train: DataFrame, test: DataFrame, specs, default_targe
         y = F.col(default_target)
         per_key, total = _grouped(train, specs,
                                   [F.avg(y).cast("double").alias("_mean")])
-        g = total.withColumnRenamed("_mean", "_default")
+        g = total.select("_mean")
         encs = {}
         for s in specs:
             e = per_key[s.key]
@@ -119,7 +118,8 @@ def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str
         sum_aggs += [F.sum(F.when(inf, y)).alias(f"_s{tag[(s_, f)]}"),
                      F.count(F.when(inf, y)).alias(f"_c{tag[(s_, f)]}")]
     per_key, tot = _grouped(src, specs, sum_aggs)
-    defaults = tot.select(*complement_means("_g"))                 # one row
+    # per-(seed, fold) defaults: one row -> one array-valued scalar subquery
+    defaults = tot.select(F.array(*complement_means("_g")).alias("_defaults")).scalar()
 
     cols = list(dict.fromkeys([*keep, *[s.key for s in specs]]))
     fold_names = list(dict.fromkeys(fcols.values()))
@@ -132,7 +132,6 @@ def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str
         st = per_key[sp.key]
         st = st.where(F.col(sp.key).isNotNull()) if sp.null_key == "default" else st
         rows = rows.join(st.select(sp.key, *complement_means(f"_{sp.out}_")), sp.key, "left")
-    rows = rows.crossJoin(F.broadcast(defaults))
     # fan out: one row per (seed, fold); the index selects that pair's columns
     fan = rows.withColumn("_p", F.explode(F.sequence(F.lit(1), F.lit(len(pairs)))))
     pick = lambda prefix: F.element_at(F.array(*[F.col(f"{prefix}{tag[p]}") for p in pairs]), F.col("_p"))
@@ -146,5 +145,5 @@ def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str
         out.append(seed_of.cast("bigint").alias("seed"))
     out += [fold_of.alias("fold"), role.alias("role")]
     for sp in specs:
-        out.append(F.coalesce(pick(f"_{sp.out}_"), pick("_g")).alias(sp.out))
+        out.append(F.coalesce(pick(f"_{sp.out}_"), F.element_at(defaults, F.col("_p"))).alias(sp.out))
     return fan.select(*out)

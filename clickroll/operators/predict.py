@@ -22,18 +22,17 @@ def fill_template(template: DataFrame, pred: DataFrame, default, key: str = "use
     t = template.select(key, "row_no")
     j = t.join(p, key, "left")
     if isinstance(default, DataFrame):
-        d = default.select(F.col(default.columns[0]).alias("_default"))
-        j = j.crossJoin(F.broadcast(d))
-        v = F.coalesce(F.col("_pred"), F.col("_default"))
+        v = F.coalesce(F.col("_pred"), default.select(default.columns[0]).scalar())
     else:
         v = F.coalesce(F.col("_pred"), F.lit(float(default)))
     return j.select(key, v.cast("double").alias(value), "row_no")
 
 
 def constant_prediction(template: DataFrame, value_frame: DataFrame, value: str = "session_value") -> DataFrame:
-    """Every template row gets the single value of ``value_frame`` (one row)."""
-    d = value_frame.select(F.col(value_frame.columns[0]).cast("double").alias(value))
-    return template.select("user_session", "row_no").crossJoin(F.broadcast(d))
+    """Every template row gets the single value of ``value_frame`` (one row, read as a
+    scalar subquery)."""
+    d = value_frame.select(F.col(value_frame.columns[0]).cast("double")).scalar()
+    return template.select("user_session", "row_no", d.alias(value))
 
 
 def blend(sets, weights=None, key: str = "user_session", value: str = "session_value") -> DataFrame:

@@ -63,7 +63,7 @@ def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
     sub = predict.constant_prediction(src.template, mean)
     files.write_predictions_csv(sub, f"{out_dir.rstrip('/')}/baseline_v0_mean")
     per_fold = metrics_frame(cv, ["train_mean", "val_mse", "n_tr", "n_va"], "fold")
-    overall = metrics_frame(cv.limit(1).crossJoin(mean.withColumnRenamed(mean.columns[0], "global_mean")),
+    overall = metrics_frame(cv.limit(1).withColumn("global_mean", mean.select(mean.columns[0]).scalar()),
                             ["cv_mean_mse", "global_mean"])
     return per_fold.unionByName(overall)
 
@@ -75,7 +75,7 @@ def profile_report(src) -> DataFrame:
     counts = profile.tail_counts(lab)
     heavy = profile.heavy_users(lab)
     ns = profile.session_user_counts(lab)
-    wide = ns.crossJoin(stats).crossJoin(counts).crossJoin(heavy)   # one row each
+    wide = ns.select("*", *[f.select(c).scalar().alias(c) for f in (stats, counts, heavy) for c in f.columns])
     return metrics_frame(wide, wide.columns)
 
 
