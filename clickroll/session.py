@@ -37,6 +37,27 @@ def build_session(master: str | None = None, app_name: str = "clickroll",
     return spark
 
 
+def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: int = 256 << 20,
+               shuffle_fraction: float = 0.2) -> dict:
+    """Partition sizing for a given input volume (e.g. 100 TB on 1,000 executors).
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` so a task's
+    share fits in executor memory. Shuffles carry projected, partially aggregated rows,
+    about ``shuffle_fraction`` of the scanned bytes; the initial shuffle partition count
+    is sized from that, and adaptive execution coalesces small partitions at run time
+    and splits skewed ones.
+    """
+    parts = max(executors_cores * 2, int(input_bytes * shuffle_fraction) // target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
