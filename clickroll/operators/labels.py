@@ -12,9 +12,10 @@ def labels_first_per_session(labeled: DataFrame, target: str = "session_value")
     row per map task in the shuffle."""
     ev = labeled.where(F.col("user_session").isNotNull() & F.col("user_id").isNotNull()
                        & F.col(target).isNotNull())
-    first = F.min_by(F.struct(F.col("user_id").alias("u"), F.col(target).alias("y")), F.col("row_no"))
-    return (ev.groupBy("user_session").agg(first.alias("_f"))
-            .select("user_session", F.col("_f.u").alias("user_id"), F.col("_f.y").alias(target)))
+    # row_no is a unique input position, so both picks come from the same (first) row;
+    # scalar values and a scalar ordering keep the aggregate in the hash map
+    return (ev.groupBy("user_session")
+            .agg(F.min_by("user_id", "row_no").alias("user_id"), F.min_by(target, "row_no").alias(target)))
 
 
 def labels_first_per_user_session(labeled: DataFrame, target: str = "session_value") -> DataFrame:
