@@ -49,22 +49,21 @@ def _map_names(col, mapping: dict, default=None):
 
 @dataclass
 class EventSource:
-    """Events plus the derived label rows and the prediction template."""
+    """Events, their train / test parts, the labelled train rows and the template.
+
+    ``train`` and ``test`` filter the raw rows before the contract projection, so the
+    split predicate reaches the parquet scan (row-group skipping on the time column)
+    instead of a derived ``split = 'train'`` test on every row.
+    """
 
     events: DataFrame
+    train: DataFrame
+    test: DataFrame
     labeled: DataFrame          # train rows with session_value
     template: DataFrame         # user_session, session_value, row_no
     name: str = "events"
     extras: dict = field(default_factory=dict)
 
-    @property
-    def train(self) -> DataFrame:
-        return self.events.where(F.col("split") == "train")
-
-    @property
-    def test(self) -> DataFrame:
-        return self.events.where(F.col("split") == "test")
-
 
 def _template(test_events: DataFrame) -> DataFrame:
     """Distinct test sessions, ordered by their first event; target column pre-filled."""
@@ -100,17 +99,18 @@ def clickstream_source(spark: SparkSession, sf_dir: str) -> EventSource:
     ``session_value`` is the session's sum of ``value`` (summed as DECIMAL(18,2), so it
     is exact) repeated on each train row.
     """
-    ev = clickstream_contract(read_table(spark, sf_dir, "events"))
-    events = ev.drop("value")
-    train = ev.where(F.col("split") == "train")
+    raw = read_table(spark, sf_dir, "events")
+    cut = F.lit(CLICKSTREAM_TEST_FROM).cast("timestamp_ntz")
+    events = clickstream_contract(raw).drop("value")
+    train_v = clickstream_contract(raw.where(F.col("ts") < cut))
+    test = clickstream_contract(raw.where((F.col("ts") >= cut) | F.col("ts").isNull())).drop("value")
     # One row per session from a partially aggregated sum; joined back on the key
     # (AQE splits a hot session's partition on the event side).
-    sums = (train.groupBy("user_session")
+    sums = (train_v.groupBy("user_session")
             .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("session_value")))
-    labeled = train.drop("value").join(sums, "user_session", "left").select(*CONTRACT_COLUMNS, "session_value")
-    return EventSource(events=events, labeled=labeled,
-                       template=_template(events.where(F.col("split") == "test")),
-                       name="clickstream")
+    labeled = train_v.drop("value").join(sums, "user_session", "left").select(*CONTRACT_COLUMNS, "session_value")
+    return EventSource(events=events, train=train_v.drop("value"), test=test, labeled=labeled,
+                       template=_template(test), name="clickstream")
 
 
 def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
@@ -128,20 +128,22 @@ def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
     row_no = F.struct(*[F.col(c) for c in (
         "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")])
-    ev = j.select(
-        row_no.alias("row_no"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_orderkey").cast("string").alias("user_session"),
-        _map_names(F.col("l_returnflag"), LINEITEM_TYPE_NAMES).alias("event_type"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("p_brand").alias("category_id"),
-        F.col("l_shipdate").alias("event_time"),
-        F.when(F.col("o_orderdate") < F.lit(LINEITEM_TEST_FROM).cast("timestamp_ntz"), F.lit("train"))
-         .otherwise(F.lit("test")).alias("split"),
-        F.col("o_totalprice").alias("session_value"),
-    )
-    events = ev.drop("session_value")
-    labeled = ev.where(F.col("split") == "train")
-    return EventSource(events=events, labeled=labeled,
-                       template=_template(events.where(F.col("split") == "test")),
-                       name="lineitem")
+    cut = F.lit(LINEITEM_TEST_FROM).cast("timestamp_ntz")
+
+    def contract(rows):
+        return rows.select(
+            row_no.alias("row_no"),
+            F.col("o_custkey").alias("user_id"),
+            F.col("l_orderkey").cast("string").alias("user_session"),
+            _map_names(F.col("l_returnflag"), LINEITEM_TYPE_NAMES).alias("event_type"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("p_brand").alias("category_id"),
+            F.col("l_shipdate").alias("event_time"),
+            F.when(F.col("o_orderdate") < cut, F.lit("train")).otherwise(F.lit("test")).alias("split"),
+            F.col("o_totalprice").alias("session_value"),
+        )
+    events = contract(j).drop("session_value")
+    labeled = contract(j.where(F.col("o_orderdate") < cut))
+    test = contract(j.where((F.col("o_orderdate") >= cut) | F.col("o_orderdate").isNull())).drop("session_value")
+    return EventSource(events=events, train=labeled.drop("session_value"), test=test, labeled=labeled,
+                       template=_template(test), name="lineitem")
