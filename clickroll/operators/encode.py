@@ -88,28 +88,37 @@ def full_train_encodings(train: DataFrame, test: DataFrame, specs, default_targe
     return train, test
 
 
-def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str = "y",
-                   fold_col="fold", keep=("user_session",)) -> DataFrame:
-    """Encodings of every fold (of every seed) in one pass.
+@dataclass(frozen=True)
+class FoldLayout:
+    """The (seed, fold) pairs of a wide fold-encoding frame, in array order."""
+    pairs: tuple           # ((seed or None, fold), ...)
+    fold_cols: dict        # seed -> row-fold column
+
+    def index(self, seed, fold) -> int:
+        return self.pairs.index((seed, fold)) + 1   # 1-based, for element_at
+
+
+def fold_encodings_wide(train: DataFrame, test: DataFrame, specs, k: int, target: str = "y",
+                        fold_col="fold", keep=("user_session",)):
+    """Encodings of every fold (of every seed) in one pass, one row per input row.
 
     For fold f, a key's encoding is the mean target over train rows outside fold f;
     keys absent there (and missing keys) get the mean target over all rows outside f.
-    ``fold_col`` is one column name, or a mapping ``{seed: column}`` for repeated
-    fold assignments; every (seed, fold) pair becomes conditional sums in the same
-    aggregation. Output: one row per (row, [seed,] fold) with ``role`` = 'fit'
-    (row's fold != f), 'val' (row's fold == f) or 'test', the ``keep`` columns, the
-    target, ``row_fold`` and one column per spec.
+    ``fold_col`` is one column name, or a mapping ``{seed: column}`` for repeated fold
+    assignments; every (seed, fold) pair becomes conditional sums in the same
+    aggregation. Each spec's output is an array over the pairs (``FoldLayout`` order),
+    so the frame stays as long as the input: ``fan_out`` turns it into one row per pair.
+    Returns (frame, layout); the frame has ``keep``, the target, the row-fold
+    columns, ``_is_test`` and one array column per spec.
     """
-    multi = isinstance(fold_col, dict)
-    fcols = dict(fold_col) if multi else {None: fold_col}
-    pairs = [(s, f) for s in fcols for f in range(1, k + 1)]
+    fcols = dict(fold_col) if isinstance(fold_col, dict) else {None: fold_col}
+    pairs = tuple((s, f) for s in fcols for f in range(1, k + 1))
     tag = {p: f"{'' if p[0] is None else p[0]}_{p[1]}" for p in pairs}
     y = F.col(target)
 
-    def complement_means(prefix: str) -> list[Column]:
+    def complement_means() -> list[Column]:
         return [((F.col("_s") - F.coalesce(F.col(f"_s{tag[p]}"), F.lit(0.0)))
-                 / F.nullif(F.col("_c") - F.col(f"_c{tag[p]}"), F.lit(0))).alias(f"{prefix}{tag[p]}")
-                for p in pairs]
+                 / F.nullif(F.col("_c") - F.col(f"_c{tag[p]}"), F.lit(0))) for p in pairs]
 
     src = train.where(y.isNotNull())
     sum_aggs = [F.sum(y).alias("_s"), F.count(y).alias("_c")]
@@ -118,32 +127,55 @@ def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str
         sum_aggs += [F.sum(F.when(inf, y)).alias(f"_s{tag[(s_, f)]}"),
                      F.count(F.when(inf, y)).alias(f"_c{tag[(s_, f)]}")]
     per_key, tot = _grouped(src, specs, sum_aggs)
-    # per-(seed, fold) defaults: one row -> one array-valued scalar subquery
-    defaults = tot.select(F.array(*complement_means("_g")).alias("_defaults")).scalar()
+    # per-pair defaults: one row -> one array-valued scalar subquery
+    defaults = tot.select(F.array(*complement_means()).alias("_defaults")).scalar()
 
     cols = list(dict.fromkeys([*keep, *[s.key for s in specs]]))
     fold_names = list(dict.fromkeys(fcols.values()))
-    tr = train.select(*cols, target, *fold_names).withColumn("_role", F.lit("train"))
+    tr = train.select(*cols, target, *fold_names).withColumn("_is_test", F.lit(False))
     te = test.select(*cols).withColumn(target, F.lit(None).cast("double"))
     for c in fold_names:
         te = te.withColumn(c, F.lit(None).cast("bigint"))
-    rows = tr.unionByName(te.withColumn("_role", F.lit("test")))
+    rows = tr.unionByName(te.withColumn("_is_test", F.lit(True)))
     for sp in specs:
         st = per_key[sp.key]
         st = st.where(F.col(sp.key).isNotNull()) if sp.null_key == "default" else st
-        rows = rows.join(st.select(sp.key, *complement_means(f"_{sp.out}_")), sp.key, "left")
-    # fan out: one row per (seed, fold); the index selects that pair's columns
-    fan = rows.withColumn("_p", F.explode(F.sequence(F.lit(1), F.lit(len(pairs)))))
-    pick = lambda prefix: F.element_at(F.array(*[F.col(f"{prefix}{tag[p]}") for p in pairs]), F.col("_p"))
-    seed_of = F.element_at(F.array(*[F.lit(p[0] if p[0] is not None else 0) for p in pairs]), F.col("_p"))
-    fold_of = F.element_at(F.array(*[F.lit(p[1]) for p in pairs]), F.col("_p")).cast("bigint")
-    row_fold = F.element_at(F.array(*[F.col(fcols[p[0]]) for p in pairs]), F.col("_p"))
-    role = (F.when(F.col("_role") == "test", F.lit("test"))
+        rows = rows.join(st.select(sp.key, F.array(*complement_means()).alias(f"_{sp.out}")), sp.key, "left")
+    n = len(pairs)
+    rows = rows.withColumn("_defaults", defaults)       # the subquery runs once
+    filled = [F.array(*[F.coalesce(F.element_at(F.col(f"_{sp.out}"), i), F.element_at(F.col("_defaults"), i))
+                        for i in range(1, n + 1)]).alias(sp.out) for sp in specs]
+    out = rows.select(*keep, target, *fold_names, "_is_test", *filled)
+    return out, FoldLayout(pairs, fcols)
+
+
+def pair_role(layout: FoldLayout, seed, fold) -> Column:
+    """Role of a wide-frame row for one (seed, fold) model: fit / val / test."""
+    return (F.when(F.col("_is_test"), F.lit("test"))
+            .when(F.col(layout.fold_cols[seed]) == fold, F.lit("val")).otherwise(F.lit("fit")))
+
+
+def fan_out(wide: DataFrame, layout: FoldLayout, specs, target: str = "y", keep=("user_session",)) -> DataFrame:
+    """One row per (row, [seed,] fold) with ``role``, ``row_fold`` and the pair's encodings."""
+    multi = layout.pairs[0][0] is not None
+    fan = wide.withColumn("_p", F.explode(F.sequence(F.lit(1), F.lit(len(layout.pairs)))))
+    seed_of = F.element_at(F.array(*[F.lit(p[0] if p[0] is not None else 0) for p in layout.pairs]), F.col("_p"))
+    fold_of = F.element_at(F.array(*[F.lit(p[1]) for p in layout.pairs]), F.col("_p")).cast("bigint")
+    row_fold = F.element_at(F.array(*[F.col(layout.fold_cols[p[0]]) for p in layout.pairs]), F.col("_p"))
+    role = (F.when(F.col("_is_test"), F.lit("test"))
             .when(row_fold == fold_of, F.lit("val")).otherwise(F.lit("fit")))
     out = [*[F.col(c) for c in keep], F.col(target), row_fold.cast("bigint").alias("row_fold")]
     if multi:
         out.append(seed_of.cast("bigint").alias("seed"))
     out += [fold_of.alias("fold"), role.alias("role")]
-    for sp in specs:
-        out.append(F.coalesce(pick(f"_{sp.out}_"), F.element_at(defaults, F.col("_p"))).alias(sp.out))
+    out += [F.element_at(F.col(sp.out), F.col("_p")).alias(sp.out) for sp in specs]
     return fan.select(*out)
+
+
+def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str = "y",
+                   fold_col="fold", keep=("user_session",)) -> DataFrame:
+    """Long form of ``fold_encodings_wide``: one row per (row, [seed,] fold) with
+    ``role`` = 'fit' (row's fold != f), 'val' (row's fold == f) or 'test', the ``keep``
+    columns, the target, ``row_fold`` and one column per spec."""
+    wide, layout = fold_encodings_wide(train, test, specs, k, target, fold_col, keep)
+    return fan_out(wide, layout, specs, target, keep)

@@ -137,18 +137,23 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
         tr = folds.balanced_group_folds(tr, "user_id", k)
     else:
         tr = folds.group_folds(tr, "user_id", k, fold_seed)
-    enc = encode.fold_encodings(tr, te, _encoding_specs(), k, "y", "fold",
-                                keep=(*KEY_COLUMNS, *cols))
+    specs = _encoding_specs()
+    wide, layout = encode.fold_encodings_wide(tr, te, specs, k, "y", "fold", keep=(*KEY_COLUMNS, *cols))
     all_cols = [*cols, *ENCODED]
-    checkpoint_dir(tr.sparkSession)
-    vec = assemble(enc, all_cols).select(*KEY_COLUMNS, "y", "fold", "role", "features").checkpoint()
+    # the compact frame (one row per session, encodings as per-fold arrays) is what is
+    # checkpointed; each fold's frame is derived from it lazily
+    wide = materialize(wide)
 
     def fit_one(job):
         s, f = job
-        part = vec.where(F.col("fold") == f)
+        p = layout.index(None, f)
+        part = wide.select(*KEY_COLUMNS, "y", encode.pair_role(layout, None, f).alias("role"), *cols,
+                           *[F.element_at(F.col(c), p).alias(c) for c in ENCODED])
+        part = assemble(part, all_cols).select(*KEY_COLUMNS, "y", "role", "features")
         model = replace(params, seed=int(s)).regressor("y").fit(part.where(F.col("role") == "fit"))
         sc = model.transform(part.where(F.col("role") != "fit"))
-        return sc.select(*KEY_COLUMNS, F.lit(int(s)).alias("seed"), "fold", "role", "y", "pred")
+        return sc.select(*KEY_COLUMNS, F.lit(int(s)).alias("seed"), F.lit(f).cast("bigint").alias("fold"),
+                         "role", "y", "pred")
 
     jobs = [(s, f) for s in seeds for f in range(1, k + 1)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
