@@ -27,13 +27,13 @@ def detect_time_column(columns, candidates=TIME_CANDIDATES) -> str | None:
 
 
 def feature_columns(columns, exclude, extra=()) -> list[str]:
-    """All columns minus ``exclude`` plus ``extra``, de-duplicated in order."""
+    """[P2] All columns minus ``exclude`` plus ``extra``, de-duplicated in order."""
     out = [c for c in columns if c not in set(exclude)] + list(extra)
     return list(dict.fromkeys(out))
 
 
 def numeric_only(df: DataFrame, cols) -> tuple[DataFrame, list[str], list[str]]:
-    """Keep numeric feature columns, booleans become 0/1 ints; report the dropped ones."""
+    """[P12] Keep numeric feature columns, booleans become 0/1 ints; report the dropped ones."""
     types = {f.name: f.dataType for f in df.schema.fields}
     kept, dropped, out = [], [], df
     for c in cols:

@@ -47,14 +47,14 @@ def mean_by_key(frame: DataFrame, key: str, target: str, null_key: str = "defaul
 
 
 def global_mean(frame: DataFrame, target: str, alias: str = "_default") -> DataFrame:
-    """One-row frame: the mean target, used through ``.scalar()`` as a scalar subquery.
+    """[A7 A7b A8 A8b] One-row frame: the mean target, used through ``.scalar()`` as a scalar subquery.
     A DECIMAL target (money) is averaged exactly."""
     return frame.agg(F.avg(target).cast("double").alias(alias))
 
 
 def apply_encoding(frame: DataFrame, enc: DataFrame, key: str, out: str,
                    default: DataFrame | Column | float | None) -> DataFrame:
-    """``frame[key] -> mean``; unseen or missing keys get ``default``."""
+    """[J7] ``frame[key] -> mean``; unseen or missing keys get ``default``."""
     j = frame.join(enc.withColumnRenamed("_mean", out), key, "left")
     if default is None:
         return j
@@ -67,7 +67,7 @@ def apply_encoding(frame: DataFrame, enc: DataFrame, key: str, out: str,
 
 def full_train_encodings(train: DataFrame, test: DataFrame, specs, default_target: str,
                          fill_train: bool = True):
-    """In-sample encodings for train rows and their application to test rows.
+    """[V7] In-sample encodings for train rows and their application to test rows.
     Returns (train_encoded, test_encoded)."""
     targets = {s.target for s in specs}
     if targets == {default_target}:
@@ -100,7 +100,7 @@ class FoldLayout:
 
 def fold_encodings_wide(train: DataFrame, test: DataFrame, specs, k: int, target: str = "y",
                         fold_col="fold", keep=("user_session",)):
-    """Encodings of every fold (of every seed) in one pass, one row per input row.
+    """[V6] Encodings of every fold (of every seed) in one pass, one row per input row.
 
     For fold f, a key's encoding is the mean target over train rows outside fold f;
     keys absent there (and missing keys) get the mean target over all rows outside f.
@@ -174,7 +174,7 @@ def fan_out(wide: DataFrame, layout: FoldLayout, specs, target: str = "y", keep=
 
 def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str = "y",
                    fold_col="fold", keep=("user_session",)) -> DataFrame:
-    """Long form of ``fold_encodings_wide``: one row per (row, [seed,] fold) with
+    """[V6] Long form of ``fold_encodings_wide``: one row per (row, [seed,] fold) with
     ``role`` = 'fit' (row's fold != f), 'val' (row's fold == f) or 'test', the ``keep``
     columns, the target, ``row_fold`` and one column per spec."""
     wide, layout = fold_encodings_wide(train, test, specs, k, target, fold_col, keep)

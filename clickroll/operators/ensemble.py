@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def oof_average(scores: DataFrame, keys=("user_session",), pred: str = "pred",
                 target: str | None = "y") -> DataFrame:
-    """Each train row is validated once per seed; its OOF score is the mean over seeds."""
+    """[V8] Each train row is validated once per seed; its OOF score is the mean over seeds."""
     v = scores.where(F.col("role") == "val")
     aggs = [F.avg(pred).alias("oof")]
     if target:
@@ -22,7 +22,7 @@ def oof_average(scores: DataFrame, keys=("user_session",), pred: str = "pred",
 
 def test_average(scores: DataFrame, keys=("user_session",), pred: str = "pred",
                  space: str = "log") -> DataFrame:
-    """Test rows scored by every (seed, fold) model.
+    """[V9 V9b] Test rows scored by every (seed, fold) model.
 
     ``space="log"``: average the log-scale scores, then ``expm1``.
     ``space="linear"``: ``expm1`` each score, then average.
@@ -38,7 +38,7 @@ def test_average(scores: DataFrame, keys=("user_session",), pred: str = "pred",
 
 
 def fold_scores(scores: DataFrame, pred: str = "pred", target: str = "y") -> DataFrame:
-    """MSE and RMSE per (seed, fold) on validation rows, with the unweighted mean over folds."""
+    """[A15 A16] MSE and RMSE per (seed, fold) on validation rows, with the unweighted mean over folds."""
     from pyspark.sql import Window
     v = scores.where(F.col("role") == "val")
     per = v.groupBy("seed", "fold").agg(F.avg((F.col(target) - F.col(pred)) ** 2).alias("mse"),
@@ -48,6 +48,6 @@ def fold_scores(scores: DataFrame, pred: str = "pred", target: str = "y") -> Dat
 
 
 def pooled_score(oof: DataFrame, pred: str = "oof", target: str = "y") -> DataFrame:
-    """Pooled out-of-fold MSE / RMSE (one row)."""
+    """[A14 A15] Pooled out-of-fold MSE / RMSE (one row)."""
     return (oof.agg(F.avg((F.col(target) - F.col(pred)) ** 2).alias("oof_mse"))
             .withColumn("oof_rmse", F.sqrt("oof_mse")))

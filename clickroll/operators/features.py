@@ -24,7 +24,7 @@ RATIO_PREFIX = "event_type_ratio_"
 
 
 def event_type_domain(events: DataFrame, max_types: int = MAX_EVENT_TYPES):
-    """(pivot values, code domain) of the event types.
+    """[A2 W6] (pivot values, code domain) of the event types.
 
     The domain is bounded by construction (it becomes the pivot's columns); the
     guard raises instead of building a frame of unbounded width.
@@ -39,7 +39,7 @@ def event_type_domain(events: DataFrame, max_types: int = MAX_EVENT_TYPES):
 
 
 def event_type_codes(events: DataFrame) -> DataFrame:
-    """Dense code per event type (string form, missing -> 'nan'), lexical order from 0.
+    """[W6] Dense code per event type (string form, missing -> 'nan'), lexical order from 0.
 
     The window runs on the distinct type set only, which is tiny.
     """
@@ -50,7 +50,7 @@ def event_type_codes(events: DataFrame) -> DataFrame:
 
 
 def code_lookup(col: Column, domain) -> Column:
-    """Event type -> code from a literal map of the (small) domain; unknown -> -1."""
+    """[J10] Event type -> code from a literal map of the (small) domain; unknown -> -1."""
     if not domain:
         return F.lit(-1).cast("bigint")
     m = F.create_map(*[x for i, t in enumerate(domain) for x in (F.lit(t), F.lit(i).cast("bigint"))])
@@ -58,7 +58,7 @@ def code_lookup(col: Column, domain) -> Column:
 
 
 def order_key(time_col: str | None) -> Column:
-    """In-session order: parsed time ascending with missing times last, ties by input position."""
+    """[W1 W1b] In-session order: parsed time ascending with missing times last, ties by input position."""
     if time_col is None:
         return F.col("row_no")
     return F.struct(F.col(time_col).isNull().alias("t_missing"), F.col(time_col).alias("t"),
@@ -66,7 +66,7 @@ def order_key(time_col: str | None) -> Column:
 
 
 def first_non_null(col: str, order: Column) -> Column:
-    """pandas ``first``: the earliest non-null value (null orderings are skipped)."""
+    """[A1 W1] pandas ``first``: the earliest non-null value (null orderings are skipped)."""
     return F.min_by(F.col(col), F.when(F.col(col).isNotNull(), order))
 
 
@@ -87,7 +87,7 @@ def _parsed_time(events: DataFrame, time_col: str | None) -> DataFrame:
 
 def session_id_profiles(events: DataFrame, product_col: str = "product_id",
                         category_col: str = "category_id") -> DataFrame:
-    """Per session: distinct products / categories and the largest repeat count of each.
+    """[A5] Per session: distinct products / categories and the largest repeat count of each.
 
     One GROUPING SETS aggregate over (session, product) and (session, category), then a
     session-level aggregate. Missing ids are neither distinct values nor repeats; a
@@ -130,7 +130,7 @@ def _fill_numeric(df: DataFrame, skip=("user_session",)) -> DataFrame:
 
 
 def session_features_v1(events: DataFrame, types=None, with_split_flags: bool = False) -> DataFrame:
-    """v1: first user (input order), event count, distinct products / categories,
+    """[A1 A2 J1 F1 F16 P10 P13] v1: first user (input order), event count, distinct products / categories,
     a count and a ratio per event type."""
     ev = events.where(F.col("user_session").isNotNull())
     if types is None:
@@ -157,7 +157,7 @@ def session_features_v1(events: DataFrame, types=None, with_split_flags: bool =
 def session_features_v2(events: DataFrame, types=None, codes=None,
                         time_col: str | None = "event_time",
                         with_split_flags: bool = False) -> DataFrame:
-    """v2 = v1 + buyer flag, unique / revisit / repeat ratios, event-type entropy, guarded
+    """[A1-A4 F1-F9 W1 W2 W6 J2 J10 P7 P13 P14] v2 = v1 + buyer flag, unique / revisit / repeat ratios, event-type entropy, guarded
     buy / cart / view ratios, first and last event-type codes and, with a time
     column, duration and events per minute."""
     ev = _parsed_time(events.where(F.col("user_session").isNotNull()), time_col)
@@ -214,7 +214,7 @@ def session_features_v2(events: DataFrame, types=None, codes=None,
 
 
 def split_features(features_with_flags: DataFrame):
-    """Train / test feature tables; a session present in both splits goes to both."""
+    """[J6 U2] Train / test feature tables; a session present in both splits goes to both."""
     keep = [c for c in features_with_flags.columns if c not in ("_in_train", "_in_test")]
     tr = features_with_flags.where(F.col("_in_train")).select(*keep)
     te = features_with_flags.where(F.col("_in_test")).select(*keep)
@@ -222,7 +222,7 @@ def split_features(features_with_flags: DataFrame):
 
 
 def tag_splits(features_with_flags: DataFrame) -> DataFrame:
-    """One row per (session, split it occurs in), for a single partitioned write."""
+    """[J6 P5 S6] One row per (session, split it occurs in), for a single partitioned write."""
     keep = [c for c in features_with_flags.columns if c not in ("_in_train", "_in_test")]
     splits = F.array_compact(F.array(F.when(F.col("_in_train"), F.lit("train")),
                                      F.when(F.col("_in_test"), F.lit("test"))))

@@ -63,7 +63,7 @@ def _distinct_groups(labels: DataFrame, group_col: str, seed: int) -> DataFrame:
 
 def group_folds(labels: DataFrame, group_col: str = "user_id", k: int = 5, seed: int = 42,
                 method: str = "exact") -> DataFrame:
-    """Seeded group K-fold: groups in seeded-hash order split into K consecutive blocks.
+    """[V1 W5] Seeded group K-fold: groups in seeded-hash order split into K consecutive blocks.
 
     ``method="exact"`` reproduces the block sizes of a shuffled ``array_split``;
     ``method="hash"`` (``pmod`` of the hash) needs no ranking and no join, with sizes
@@ -79,7 +79,7 @@ def group_folds(labels: DataFrame, group_col: str = "user_id", k: int = 5, seed:
 
 def group_folds_by_seed(labels: DataFrame, group_col: str = "user_id", k: int = 5,
                         seeds=(42,), prefix: str = "fold_") -> DataFrame:
-    """``group_folds`` for several seeds in one ranking pass: the distinct groups are
+    """[V1 M4] ``group_folds`` for several seeds in one ranking pass: the distinct groups are
     fanned out to one row per seed and ranked per seed. Adds ``fold_<seed>`` columns."""
     seeds = [int(s) for s in seeds]
     g = labels.select(F.col(group_col).alias("_g")).distinct()
@@ -96,7 +96,7 @@ def group_folds_by_seed(labels: DataFrame, group_col: str = "user_id", k: int =
 
 def balanced_group_folds(labels: DataFrame, group_col: str = "user_id", k: int = 10,
                          seed: int = 0) -> DataFrame:
-    """Size-balanced group K-fold: groups ranked by size (descending, then hash) are
+    """[V2] Size-balanced group K-fold: groups ranked by size (descending, then hash) are
     dealt to folds in a snake order 1..k, k..1, ... so large groups spread evenly.
     Unseeded in the reference; ``seed`` only orders equal-sized groups."""
     sizes = (labels.groupBy(F.col(group_col).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
@@ -113,7 +113,7 @@ def balanced_group_folds(labels: DataFrame, group_col: str = "user_id", k: int =
 
 def group_holdout(labels: DataFrame, group_col: str = "user_id", test_size: float = 0.1,
                   seed: int = 2025) -> DataFrame:
-    """One group hold-out: the first ceil(test_size * groups) groups in seeded-hash
+    """[V3] One group hold-out: the first ceil(test_size * groups) groups in seeded-hash
     order. Adds boolean ``is_holdout``."""
     g = ordered_index(_distinct_groups(labels, group_col, seed), ["_b"], ["_h", "_g"])
     hold = F.col("_idx") < F.ceil(F.col("_n") * F.lit(float(test_size)))
@@ -122,7 +122,7 @@ def group_holdout(labels: DataFrame, group_col: str = "user_id", test_size: floa
 
 
 def baseline_cv(folded: DataFrame, target: str = "session_value") -> DataFrame:
-    """Global-mean predictor per fold: train mean over the other folds, validation MSE.
+    """[V4 A6 A14 A16 P17] Global-mean predictor per fold: train mean over the other folds, validation MSE.
 
     One pass for all folds: per-fold sums (K rows) give each fold's complement mean,
     which is broadcast (K rows) back to the labels. Output: fold, train_mean, val_mse,

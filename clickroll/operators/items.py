@@ -9,7 +9,7 @@ from clickroll.operators.features import _parsed_time, last_non_null, order_key
 
 
 def last_items_nonnull(events: DataFrame, time_col: str | None = "event_time") -> DataFrame:
-    """Per session, the last non-missing product and category in time order
+    """[A5 W1] Per session, the last non-missing product and category in time order
     (missing times last, ties by input position)."""
     ev = _parsed_time(events.where(F.col("user_session").isNotNull()), time_col)
     order = order_key(time_col)
@@ -20,7 +20,7 @@ def last_items_nonnull(events: DataFrame, time_col: str | None = "event_time") -
 
 def last_items_row(events: DataFrame, time_col: str | None = "event_time",
                    sentinel: bool = True) -> DataFrame:
-    """Per (user, session), product and category of the whole last row in time order;
+    """[W3 W1b P9] Per (user, session), product and category of the whole last row in time order;
     missing values stay missing unless ``sentinel`` turns them into -1."""
     ev = events.where(F.col("user_id").isNotNull() & F.col("user_session").isNotNull())
     order = order_key(time_col)
@@ -34,7 +34,7 @@ def last_items_row(events: DataFrame, time_col: str | None = "event_time",
 
 
 def fill_sentinel(df: DataFrame, cols, value: int = -1) -> DataFrame:
-    """Missing id -> -1 (numeric ids) or '-1' (text ids)."""
+    """[P15] Missing id -> -1 (numeric ids) or '-1' (text ids)."""
     from pyspark.sql import types as T
     types = {f.name: f.dataType for f in df.schema.fields}
     for c in cols:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def labels_first_per_session(labeled: DataFrame, target: str = "session_value") -> DataFrame:
-    """Variant A: drop rows missing session, user or target; keep each session's first
+    """[W4 P3] Variant A: drop rows missing session, user or target; keep each session's first
     row in input order. ``min_by`` is partially aggregated, so a hot session costs one
     row per map task in the shuffle."""
     ev = labeled.where(F.col("user_session").isNotNull() & F.col("user_id").isNotNull()
@@ -19,7 +19,7 @@ def labels_first_per_session(labeled: DataFrame, target: str = "session_value")
 
 
 def labels_first_per_user_session(labeled: DataFrame, target: str = "session_value") -> DataFrame:
-    """Variant B: first row per (user, session) in input order; missing keys form their
+    """[W4b] Variant B: first row per (user, session) in input order; missing keys form their
     own group and a missing first target stays missing."""
     return (labeled.groupBy("user_id", "user_session")
             .agg(F.min_by(F.col(target), F.col("row_no")).alias(target))
@@ -27,6 +27,7 @@ def labels_first_per_user_session(labeled: DataFrame, target: str = "session_val
 
 
 def require_non_empty(df: DataFrame, what: str = "label set") -> DataFrame:
+    """[P4] Fail on an empty label set (one-row probe, not a count)."""
     if df.isEmpty():
         raise ValueError(f"empty {what}")
     return df

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def dedupe_predictions(pred: DataFrame, key: str = "user_session", value: str = "session_value",
                        order_col: str | None = "row_no") -> DataFrame:
-    """One prediction per key; with repeated keys the last one (input order) wins."""
+    """[J8] One prediction per key; with repeated keys the last one (input order) wins."""
     if order_col is None or order_col not in pred.columns:
         return pred.groupBy(key).agg(F.max(value).alias(value))
     return pred.groupBy(key).agg(F.max_by(F.col(value), F.col(order_col)).alias(value))
@@ -16,7 +16,7 @@ def dedupe_predictions(pred: DataFrame, key: str = "user_session", value: str =
 
 def fill_template(template: DataFrame, pred: DataFrame, default, key: str = "user_session",
                   value: str = "session_value") -> DataFrame:
-    """Template rows in template order with the predicted value, else ``default``
+    """[J8 J8b S7] Template rows in template order with the predicted value, else ``default``
     (a number or a one-row frame)."""
     p = pred.select(key, F.col(value).alias("_pred"))
     t = template.select(key, "row_no")
@@ -29,14 +29,14 @@ def fill_template(template: DataFrame, pred: DataFrame, default, key: str = "use
 
 
 def constant_prediction(template: DataFrame, value_frame: DataFrame, value: str = "session_value") -> DataFrame:
-    """Every template row gets the single value of ``value_frame`` (one row, read as a
+    """[V5] Every template row gets the single value of ``value_frame`` (one row, read as a
     scalar subquery)."""
     d = value_frame.select(F.col(value_frame.columns[0]).cast("double")).scalar()
     return template.select("user_session", "row_no", d.alias(value))
 
 
 def blend(sets, weights=None, key: str = "user_session", value: str = "session_value") -> DataFrame:
-    """Weighted blend of prediction sets on their common keys (inner joins)."""
+    """[J9 F14] Weighted blend of prediction sets on their common keys (inner joins)."""
     sets = list(sets)
     weights = list(weights) if weights is not None else [1.0 / len(sets)] * len(sets)
     out = None

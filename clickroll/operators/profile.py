@@ -13,7 +13,7 @@ PROFILE_NAMES = ["q000", "q025", "q050", "q075", "q090", "q095", "q099", "q0995"
 
 
 def tail_stats(labels: DataFrame, target: str = "session_value") -> DataFrame:
-    """mean, sample std and the profile quantiles (one row)."""
+    """[A10 A11 F15] mean, sample std and the profile quantiles (one row)."""
     qs = exact_quantiles(labels, target, PROFILE_PROBS)
     y = F.col(target).cast("double")
     return labels.agg(F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"),
@@ -21,7 +21,7 @@ def tail_stats(labels: DataFrame, target: str = "session_value") -> DataFrame:
 
 
 def tail_counts(labels: DataFrame, target: str = "session_value") -> DataFrame:
-    """Rows strictly above p99 and p99.5, and the maximum (one row)."""
+    """[A12] Rows strictly above p99 and p99.5, and the maximum (one row)."""
     p99, p995 = exact_quantiles(labels, target, [0.99, 0.995])
     y = F.col(target).cast("double")
     return labels.agg(F.count_if(y > F.lit(p99)).alias("n_above_p99"),
@@ -31,7 +31,7 @@ def tail_counts(labels: DataFrame, target: str = "session_value") -> DataFrame:
 
 def heavy_users(labels: DataFrame, target: str = "session_value", group_col: str = "user_id",
                 min_sessions: int = 3) -> DataFrame:
-    """Users with at least ``min_sessions`` sessions whose mean exceeds p95; 0 when p95 is 0."""
+    """[A13] Users with at least ``min_sessions`` sessions whose mean exceeds p95; 0 when p95 is 0."""
     (p95,) = exact_quantiles(labels, target, [0.95])
     per = labels.groupBy(group_col).agg(F.avg(F.col(target).cast("double")).alias("_mu"),
                                         F.count(F.lit(1)).alias("_n"))
@@ -40,5 +40,6 @@ def heavy_users(labels: DataFrame, target: str = "session_value", group_col: str
 
 
 def session_user_counts(labels: DataFrame, group_col: str = "user_id") -> DataFrame:
+    """[A9 A17] Number of sessions and of distinct users (one row)."""
     return labels.agg(F.count(F.lit(1)).alias("n_sessions"),
                       F.count_distinct(group_col).alias("n_users"))

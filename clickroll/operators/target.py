@@ -24,7 +24,7 @@ BRACKET = 5.0  # bracket half-width in units of the sketch's rank error 1/accura
 
 
 def exact_quantiles(df: DataFrame, col: str, probs) -> list[float | None]:
-    """Exact linear-interpolation quantiles of the non-null values of ``col``."""
+    """[A11] Exact linear-interpolation quantiles of the non-null values of ``col``."""
     probs = [float(p) for p in probs]
     v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     n = v.count()
@@ -96,7 +96,7 @@ def _bracket_hits(v: DataFrame, n: int, ranks, eps: float, acc: int):
 
 def log_target(df: DataFrame, col: str = "session_value", out: str = "y",
                clip_negative: bool = True) -> DataFrame:
-    """``log1p(max(y,0))`` (clip variant) or ``log1p(y)`` (values <= -1 -> NULL)."""
+    """[F10 F10b P16] ``log1p(max(y,0))`` (clip variant) or ``log1p(y)`` (values <= -1 -> NULL)."""
     e = log1p_clipped(col) if clip_negative else log1p_plain(col)
     return df.withColumn(out, e)
 
@@ -106,7 +106,7 @@ def inverse_target(df: DataFrame, col: str = "pred", out: str = "session_value")
 
 
 def winsorize_upper(df: DataFrame, col: str, p: float, out: str | None = None) -> DataFrame:
-    """Cap at the p-quantile; active only for 0.5 < p < 1."""
+    """Cap at the p-quantile; active only for 0.5 < p < 1."""
     out = out or col
     if not (p and 0.5 < p < 1.0):
         return df.withColumn(out, F.col(col))
@@ -115,7 +115,7 @@ def winsorize_upper(df: DataFrame, col: str, p: float, out: str | None = None) -
 
 
 def winsorize_two_sided(df: DataFrame, col: str, p: float, out: str | None = None) -> DataFrame:
-    """Clip to [q(1-p), q(p)]; active for 0 < p < 1; missing values ignored."""
+    """Clip to [q(1-p), q(p)]; active for 0 < p < 1; missing values ignored."""
     out = out or col
     if not (0.0 < p < 1.0):
         return df.withColumn(out, F.col(col))

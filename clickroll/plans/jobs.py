@@ -21,7 +21,7 @@ from clickroll.sources import files
 
 
 def metrics_frame(df: DataFrame, value_cols, fold_col: str | None = None) -> DataFrame:
-    """Long report frame (name, fold, value) from wide metric columns."""
+    """[S8] Long report frame (name, fold, value) from wide metric columns."""
     fold = F.col(fold_col).cast("bigint") if fold_col else F.lit(None).cast("bigint")
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
                       for c in value_cols])
@@ -29,7 +29,7 @@ def metrics_frame(df: DataFrame, value_cols, fold_col: str | None = None) -> Dat
 
 
 def build_features(src, out_dir: str, version: str = "v2") -> dict:
-    """Session features over train+test events, one write partitioned by split; a
+    """[S6 U1] Session features over train+test events, one write partitioned by split; a
     session present in both splits is written to both partitions."""
     fn = feat.session_features_v2 if version == "v2" else feat.session_features_v1
     path = f"{out_dir.rstrip('/')}/session_features_{version}"
@@ -54,7 +54,7 @@ def read_features(spark: SparkSession, out_dir: str, versions=("v2", "v1")):
 
 
 def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Global-mean baseline: per-fold CV report and a constant submission file.
+    """[V4 V5 S7 S8] Global-mean baseline: per-fold CV report and a constant submission file.
     Returns the metrics frame (name, fold, value)."""
     lab = materialize(labels.require_non_empty(labels.labels_first_per_session(src.labeled)))
     money = lab.withColumn("session_value", F.col("session_value").cast("decimal(18,2)"))

@@ -60,7 +60,7 @@ class GBTParams:
 
 
 def assemble(df: DataFrame, cols) -> DataFrame:
-    """Missing feature values -> 0, then one vector column."""
+    """[M1 P13] Missing feature values -> 0, then one vector column."""
     df = df.na.fill(0.0, subset=list(cols))
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(df)
 
@@ -96,7 +96,7 @@ def _encoding_specs():
 
 def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
               holdout: float = 0.1, holdout_seed: int = 2025):
-    """Returns (template predictions [user_session, session_value, row_no], info dict)."""
+    """[M3 M5 M6 M7 V3 V7] Returns (template predictions [user_session, session_value, row_no], info dict)."""
     tr, te = model_frames(src, winsorize_p)
     # user back-off uses the un-winsorized log target; test default is the mean of ``y``
     raw_log = target.log_target(tr.select("user_id", "session_value"), "session_value", "_ylog",
@@ -124,7 +124,7 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
 def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
               fold_method: str = "group", fold_seed: int = 42, winsorize_p: float = 0.0,
               parallelism: int = 4) -> DataFrame:
-    """Long score frame over seeds x folds: (user_id, user_session, seed, fold, role, y, pred).
+    """[M2 M4 M7 V6] Long score frame over seeds x folds: (user_id, user_session, seed, fold, role, y, pred).
 
     ``fold_method="group"``: seeded group K-fold; ``"balanced"``: size-balanced group
     K-fold (same folds for every seed; seeds vary the booster only). Independent fold

@@ -15,7 +15,7 @@ def _normalise_tokens(col):
 
 
 def read_events_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV with explicit types (no inference pass over the data).
+    """[S1 S2 S3 P8] Headered CSV with explicit types (no inference pass over the data).
 
     Every column is read as text, missing-value tokens become NULL, then values are
     cast with ``try_cast`` so a malformed cell is NULL instead of a failed job.
@@ -39,7 +39,7 @@ def read_events_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def read_feature_table(spark: SparkSession, base: str) -> DataFrame:
-    """Parquet first, CSV (with header) second; raises when neither exists."""
+    """[S4] Parquet first, CSV (with header) second; raises when neither exists."""
     jvm_fs = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - existence check only
     conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
 
@@ -55,7 +55,7 @@ def read_feature_table(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_features_versioned(spark: SparkSession, folder: str, versions=("v2", "v1")):
-    """The first feature version whose train and test tables both exist."""
+    """[S5] The first feature version whose train and test tables both exist."""
     last_err = None
     for v in versions:
         try:
@@ -80,7 +80,7 @@ TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def write_events_csv(df: DataFrame, path: str) -> str:
-    """Headered CSV without index; timestamps keep their microseconds."""
+    """[S6] Headered CSV without index; timestamps keep their microseconds."""
     (df.write.mode("overwrite").option("header", True)
        .option("timestampNTZFormat", TIMESTAMP_TEXT).option("timestampFormat", TIMESTAMP_TEXT)
        .csv(path))
@@ -89,7 +89,7 @@ def write_events_csv(df: DataFrame, path: str) -> str:
 
 def write_predictions_csv(pred: DataFrame, path: str, order_col: str = "row_no",
                           columns=("user_session", "session_value")) -> str:
-    """Prediction file in template order: a range-partitioned global sort, so part
+    """[S7] Prediction file in template order: a range-partitioned global sort, so part
     files are written in order and no single task holds all rows."""
     (pred.orderBy(order_col).select(*columns)
          .write.mode("overwrite").option("header", True).csv(path))
