@@ -147,3 +147,63 @@ def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
     test = contract(j.where((F.col("o_orderdate") >= cut) | F.col("o_orderdate").isNull())).drop("session_value")
     return EventSource(events=events, train=labeled.drop("session_value"), test=test, labeled=labeled,
                        template=_template(test), name="lineitem")
+
+
+# Columns of the reference's raw files.
+RAW_ID_COLUMNS = ("user_id", "product_id", "category_id")
+RAW_REQUIRED = ("event_type", "product_id", "category_id", "user_id", "user_session")
+
+
+def csv_source(spark: SparkSession, train_path: str, test_path: str, template_path: str,
+               time_candidates=None, id_type: str = "string") -> EventSource:
+    """[S1 S2 S3 P2 P6 P7 U1] Headered CSV files in the reference's layout: train events
+    (with ``session_value``), test events, and the submission template.
+
+    Ids keep a declared type (text by default: their type is not fixed), the target is
+    a double, the first matching time column is parsed (bad values -> NULL), and each
+    file's input position is the ``row_no`` ordering key.
+    """
+    from pyspark.sql import types as T
+
+    from clickroll.functions.schema import TIME_CANDIDATES, detect_time_column
+    from clickroll.sources.files import read_events_csv
+
+    def header(path):
+        return spark.read.option("header", True).csv(path).columns
+
+    def schema_for(cols):
+        fields = []
+        for c in cols:
+            if c == "session_value":
+                t = T.DoubleType()
+            elif c in RAW_ID_COLUMNS:
+                t = T.LongType() if id_type == "long" else T.StringType()
+            else:
+                t = T.StringType()
+            fields.append(T.StructField(c, t, True))
+        return T.StructType(fields)
+
+    def load(path, split):
+        cols = header(path)
+        missing = [c for c in RAW_REQUIRED if c not in cols]
+        if missing:
+            raise ValueError(f"missing columns in {path}: {missing}")
+        df = read_events_csv(spark, path, schema_for(cols))
+        tcol = detect_time_column(cols, time_candidates or TIME_CANDIDATES)
+        t = F.try_to_timestamp(F.col(tcol)).cast("timestamp_ntz") if tcol else F.lit(None).cast("timestamp_ntz")
+        out = df.select("row_no", "user_id", F.col("user_session").cast("string"), "event_type",
+                        "product_id", "category_id", t.alias("event_time"), F.lit(split).alias("split"),
+                        *(["session_value"] if "session_value" in cols else []))
+        return out
+
+    train = load(train_path, "train")
+    test = load(test_path, "test")
+    if "session_value" not in train.columns:
+        raise ValueError(f"missing columns in {train_path}: ['session_value']")
+    tmpl_raw = read_events_csv(spark, template_path, schema_for(header(template_path)))
+    template = tmpl_raw.select(F.col("user_session").cast("string"), "row_no",
+                               F.lit(0.0).alias("session_value"))
+    events = train.drop("session_value").unionByName(test.drop(*[c for c in test.columns
+                                                                 if c == "session_value"]))
+    return EventSource(events=events, train=train.drop("session_value"), test=test, labeled=train,
+                       template=template, name="csv")
