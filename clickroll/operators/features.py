@@ -156,10 +156,26 @@ def session_features_v1(events: DataFrame, types=None, with_split_flags: bool =
 
 def session_features_v2(events: DataFrame, types=None, codes=None,
                         time_col: str | None = "event_time",
-                        with_split_flags: bool = False) -> DataFrame:
-    """[A1-A4 F1-F9 W1 W2 W6 J2 J10 P7 P13 P14] v2 = v1 + buyer flag, unique / revisit / repeat ratios, event-type entropy, guarded
-    buy / cart / view ratios, first and last event-type codes and, with a time
-    column, duration and events per minute."""
+                        with_split_flags: bool = False,
+                        session_attrs: DataFrame | None = None,
+                        single_pass: bool = False) -> DataFrame:
+    """[A1-A4 F1-F9 W1 W2 W6 J2 J10 P7 P13 P14] v2 = v1 + buyer flag, unique / revisit /
+    repeat ratios, event-type entropy, guarded buy / cart / view ratios, first and last
+    event-type codes and, with a time column, duration and events per minute.
+
+    ``session_attrs`` (``user_session, user_id[, split]``) supplies attributes that are
+    constant within a session from a session-level table; it is joined after the
+    aggregation (one row per session on each side) instead of being joined to every
+    event first. Sessions without attributes are dropped, as an inner join to the
+    events would have dropped them.
+
+    ``single_pass=True`` reads ``events`` once (see ``_single_pass_aggregate``): the
+    better plan when the events are themselves a join, which would otherwise be
+    computed once per consumer.
+    """
+    if session_attrs is not None:
+        return _with_session_attrs(events, session_attrs, types, codes, time_col, with_split_flags,
+                                   single_pass)
     ev = _parsed_time(events.where(F.col("user_session").isNotNull()), time_col)
     if types is None or codes is None:
         t_, c_ = event_type_domain(ev)
@@ -167,16 +183,19 @@ def session_features_v2(events: DataFrame, types=None, codes=None,
         codes = c_ if codes is None else codes
     order = order_key(time_col)
     type_str = F.coalesce(F.col("event_type").cast("string"), F.lit(NULL_TYPE_NAME))
-    aggs = [first_non_null("user_id", order).alias("user_id"),
-            F.count(F.lit(1)).alias("session_event_count")]
-    aggs += [F.count_if(F.col("event_type") == t).alias(c) for t, c in zip(types, _count_cols(types))]
-    aggs += [F.min_by(type_str, order).alias("_first_type"), F.max_by(type_str, order).alias("_last_type")]
-    if time_col is not None:
-        aggs += [F.min(time_col).alias("_tmin"), F.max(time_col).alias("_tmax")]
-    if with_split_flags:
-        aggs += _split_flags()
-    base = ev.groupBy("user_session").agg(*aggs)
-    j = base.join(session_id_profiles(ev), "user_session", "left")
+    if single_pass:
+        j = _single_pass_aggregate(ev, types, order, type_str, time_col, with_split_flags)
+    else:
+        aggs = [first_non_null("user_id", order).alias("user_id"),
+                F.count(F.lit(1)).alias("session_event_count")]
+        aggs += [F.count_if(F.col("event_type") == t).alias(c) for t, c in zip(types, _count_cols(types))]
+        aggs += [F.min_by(type_str, order).alias("_first_type"), F.max_by(type_str, order).alias("_last_type")]
+        if time_col is not None:
+            aggs += [F.min(time_col).alias("_tmin"), F.max(time_col).alias("_tmax")]
+        if with_split_flags:
+            aggs += _split_flags()
+        base = ev.groupBy("user_session").agg(*aggs)
+        j = base.join(session_id_profiles(ev), "user_session", "left")
 
     n = F.col("session_event_count")
     cnt = {t: F.col(f"`{c}`") for t, c in zip(types, _count_cols(types))}
@@ -213,6 +232,56 @@ def session_features_v2(events: DataFrame, types=None, codes=None,
     return _fill_numeric(j.select(*cols), skip=("user_session", "_in_train", "_in_test"))
 
 
+def _single_pass_aggregate(ev, types, order, type_str, time_col, with_split_flags):
+    """Base aggregates and (session, id) repeat counts from ONE read of the events.
+
+    Each event is emitted three times with ``_kind`` 0 (session payload), 1 (its
+    product) or 2 (its category); one aggregate over (session, kind, product,
+    category) - partial, so hot keys combine map-side - is followed by a session-level
+    merge. Two exchanges, no join.
+    """
+    k = F.col("_kind")
+    x = (ev.withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+         .withColumn("_pk", F.when(k == 1, F.col("product_id")))
+         .withColumn("_ck", F.when(k == 2, F.col("category_id"))))
+    base = k == 0
+    o0 = F.when(base, order)
+    lvl1 = [F.count(F.lit(1)).alias("_n"),
+            F.min_by(F.col("user_id"), F.when(base & F.col("user_id").isNotNull(), order)).alias("user_id")]
+    lvl1 += [F.count_if(base & (F.col("event_type") == t)).alias(c) for t, c in zip(types, _count_cols(types))]
+    lvl1 += [F.min_by(type_str, o0).alias("_first_type"), F.max_by(type_str, o0).alias("_last_type")]
+    if time_col is not None:
+        lvl1 += [F.min(F.when(base, F.col(time_col))).alias("_tmin"),
+                 F.max(F.when(base, F.col(time_col))).alias("_tmax")]
+    if with_split_flags:
+        lvl1 += [F.max(F.when(base, F.col("split") == "train")).alias("_in_train"),
+                 F.max(F.when(base, F.col("split") == "test")).alias("_in_test")]
+    g = x.groupBy("user_session", "_kind", "_pk", "_ck").agg(*lvl1)
+    carried = [c for c in g.columns if c not in ("user_session", "_kind", "_pk", "_ck", "_n")]
+    is_p = (k == 1) & F.col("_pk").isNotNull()
+    is_c = (k == 2) & F.col("_ck").isNotNull()
+    lvl2 = [F.max(F.when(k == 0, F.col("_n"))).alias("session_event_count")]
+    lvl2 += [F.max(F.when(k == 0, F.col(f"`{c}`"))).alias(c) for c in carried]
+    lvl2 += [F.count_if(is_p).alias("unique_product_count"), F.count_if(is_c).alias("unique_category_count"),
+             F.coalesce(F.max(F.when(is_p, F.col("_n"))), F.lit(0)).cast("bigint").alias("product_repeat_max"),
+             F.coalesce(F.max(F.when(is_c, F.col("_n"))), F.lit(0)).cast("bigint").alias("category_repeat_max")]
+    return g.groupBy("user_session").agg(*lvl2)
+
+
+def _with_session_attrs(events, attrs, types, codes, time_col, with_split_flags, single_pass=False):
+    ev = events.withColumn("user_id", F.lit(None).cast(attrs.schema["user_id"].dataType))
+    if with_split_flags:
+        ev = ev.withColumn("split", F.lit(None).cast("string"))
+    f = session_features_v2(ev, types, codes, time_col, with_split_flags=False, single_pass=single_pass)
+    a = attrs.groupBy("user_session").agg(
+        F.first("user_id", ignorenulls=True).alias("user_id"),
+        *(_split_flags() if with_split_flags else []))
+    out = f.drop("user_id").join(a, "user_session", "inner")
+    keep = [c for c in f.columns] + (["_in_train", "_in_test"] if with_split_flags else [])
+    return out.select(*[F.coalesce(F.col("user_id"), F.lit(0).cast(attrs.schema["user_id"].dataType))
+                        .alias("user_id") if c == "user_id" else F.col(f"`{c}`") for c in keep])
+
+
 def split_features(features_with_flags: DataFrame):
     """[J6 U2] Train / test feature tables; a session present in both splits goes to both."""
     keep = [c for c in features_with_flags.columns if c not in ("_in_train", "_in_test")]

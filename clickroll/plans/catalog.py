@@ -152,7 +152,11 @@ def q_streaming_session_features_v1(spark, sf_dir):
 
 
 def q_session_features_v2_orders(spark, sf_dir):
-    return report(feat.session_features_v2(lineitem_source(spark, sf_dir).events))
+    """Order lines as events; the order's customer is attached per session after the
+    aggregation (see ``session_features_v2(session_attrs=...)``)."""
+    src = lineitem_source(spark, sf_dir)
+    return report(feat.session_features_v2(src.extras["line_events"],
+                                           session_attrs=src.extras["session_attrs"]))
 
 
 def q_event_type_codes(spark, sf_dir):

@@ -143,10 +143,25 @@ def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
             F.col("o_totalprice").alias("session_value"),
         )
     events = contract(j).drop("session_value")
+    # session-constant attributes come from ``orders`` alone, so session features can
+    # aggregate line items joined with ``part`` only and attach orders per session
+    lines = li.join(part, li.l_partkey == part.p_partkey, "inner")
+    line_events = lines.select(
+        row_no.alias("row_no"),
+        F.col("l_orderkey").cast("string").alias("user_session"),
+        _map_names(F.col("l_returnflag"), LINEITEM_TYPE_NAMES).alias("event_type"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("p_brand").alias("category_id"),
+        F.col("l_shipdate").alias("event_time"))
+    order_attrs = orders.select(
+        F.col("o_orderkey").cast("string").alias("user_session"),
+        F.col("o_custkey").alias("user_id"),
+        F.when(F.col("o_orderdate") < cut, F.lit("train")).otherwise(F.lit("test")).alias("split"))
     labeled = contract(j.where(F.col("o_orderdate") < cut))
     test = contract(j.where((F.col("o_orderdate") >= cut) | F.col("o_orderdate").isNull())).drop("session_value")
     return EventSource(events=events, train=labeled.drop("session_value"), test=test, labeled=labeled,
-                       template=_template(test), name="lineitem")
+                       template=_template(test), name="lineitem",
+                       extras={"line_events": line_events, "session_attrs": order_attrs})
 
 
 # Columns of the reference's raw files.

@@ -63,11 +63,12 @@ def _expected_v2(pdf):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_v2_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,single_pass", [(1, False), (2, False), (1, True)])
+def test_v2_matches_brute_force(spark, seed, single_pass):
     pdf = _random_events(seed)
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), EVENT_SCHEMA)
-    got = {r["user_session"]: r.asDict() for r in feat.session_features_v2(df).collect()}
+    got = {r["user_session"]: r.asDict()
+           for r in feat.session_features_v2(df, single_pass=single_pass).collect()}
     exp = _expected_v2(pdf)
     assert set(got) == set(exp)
     assert exp["hot"]["session_event_count"] >= 290
