@@ -405,20 +405,20 @@ def q_test_avg_linear(spark, sf_dir):
     return report(ensemble.test_average(sc, keys=("user_id", "user_session"), space="linear"))
 
 
-def _gbt_params():
+def _gbt_params(patience=None):
     from clickroll.plans.modeling import GBTParams
-    return GBTParams(max_iter=20, max_depth=5)
+    return GBTParams(max_iter=20, max_depth=5, patience=patience)
 
 
 def q_gbt_fulltrain(spark, sf_dir):
     from clickroll.plans import modeling
-    out, _ = modeling.fulltrain(_src(spark, sf_dir), _gbt_params(), winsorize_p=0.995)
+    out, _ = modeling.fulltrain(_src(spark, sf_dir), _gbt_params(patience=5), winsorize_p=0.995)
     return report(out)
 
 
 def q_gbt_group_cv(spark, sf_dir):
     from clickroll.plans import modeling
-    sc = modeling.cv_scores(_src(spark, sf_dir), k=5, seeds=(42,), params=_gbt_params(),
+    sc = modeling.cv_scores(_src(spark, sf_dir), k=5, seeds=(42,), params=_gbt_params(patience=5),
                             fold_method="group", fold_seed=42)
     return report(ensemble.oof_average(sc, keys=("user_id", "user_session")))
 

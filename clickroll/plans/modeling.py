@@ -46,6 +46,7 @@ class GBTParams:
     max_bins: int = 64
     seed: int = 2025
     validation_tol: float = 0.001
+    patience: int | None = None      # early stopping: rounds without improvement
 
     def regressor(self, label: str = "y", validation_col: str | None = None) -> GBTRegressor:
         kw = dict(featuresCol="features", labelCol=label, predictionCol="pred", lossType="squared",
@@ -59,6 +60,31 @@ class GBTParams:
         return GBTRegressor(**kw)
 
 
+def patience_best(curve, patience: int | None) -> int:
+    """0-based best round under early stopping: training stops once ``patience`` rounds
+    pass without a new minimum of the validation error; None -> plain argmin."""
+    best = 0
+    for i, v in enumerate(curve):
+        if v < curve[best]:
+            best = i
+        elif patience is not None and i - best >= patience:
+            break
+    return best
+
+
+def fit_early_stopped(params: GBTParams, fit_df: DataFrame, val_df: DataFrame, label: str = "y"):
+    """[M5 M6] Fit ``max_iter`` rounds, read the validation error after every round
+    (one distributed pass), pick the best round under the patience rule, and return a
+    model with exactly ``best + 1`` trees (refit with the same seed: a boosted
+    ensemble's first k trees do not depend on later rounds). Returns (model, n_trees)."""
+    model = params.regressor(label).fit(fit_df)
+    curve = model.evaluateEachIteration(val_df, "squared")   # max_iter numbers
+    n = patience_best(curve, params.patience) + 1
+    if n < model.getNumTrees:
+        model = replace(params, max_iter=n).regressor(label).fit(fit_df)
+    return model, n
+
+
 def assemble(df: DataFrame, cols) -> DataFrame:
     """[M1 P13] Missing feature values -> 0, then one vector column."""
     df = df.na.fill(0.0, subset=list(cols))
@@ -111,9 +137,9 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
     train_vec = assemble(tr, cols).withColumn("is_holdout", F.coalesce("is_holdout", F.lit(False)))
     checkpoint_dir(tr.sparkSession)
     train_vec = train_vec.select("user_id", "user_session", "y", "features", "is_holdout").checkpoint()
-    es_model = params.regressor("y", "is_holdout").fit(train_vec)
-    best = max(1, es_model.getNumTrees)
-    final = replace(params, max_iter=best).regressor("y").fit(train_vec)
+    _, best = fit_early_stopped(params, train_vec.where(~F.col("is_holdout")),
+                                train_vec.where(F.col("is_holdout")))
+    final = replace(params, max_iter=best).regressor("y").fit(train_vec)   # refit on all rows
     scored = final.transform(assemble(te, cols).select("user_session", "features"))
     pred = scored.select("user_session", F.expm1("pred").alias("session_value"))
     default = encode.global_mean(tr, "session_value")
@@ -150,7 +176,12 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
         part = wide.select(*KEY_COLUMNS, "y", encode.pair_role(layout, None, f).alias("role"), *cols,
                            *[F.element_at(F.col(c), p).alias(c) for c in ENCODED])
         part = assemble(part, all_cols).select(*KEY_COLUMNS, "y", "role", "features")
-        model = replace(params, seed=int(s)).regressor("y").fit(part.where(F.col("role") == "fit"))
+        p_s = replace(params, seed=int(s))
+        fit_rows = part.where(F.col("role") == "fit")
+        if p_s.patience is not None:      # early stopping on the fold's validation rows
+            model, _ = fit_early_stopped(p_s, fit_rows, part.where(F.col("role") == "val"))
+        else:
+            model = p_s.regressor("y").fit(fit_rows)
         sc = model.transform(part.where(F.col("role") != "fit"))
         return sc.select(*KEY_COLUMNS, F.lit(int(s)).alias("seed"), F.lit(f).cast("bigint").alias("fold"),
                          "role", "y", "pred")

@@ -30,3 +30,18 @@ def test_group_cv_each_row_validated_once_and_repeatable(spark):
     assert oof1 == oof2
     scores = ensemble.fold_scores(sc).collect()
     assert len(scores) == 3 and all(math.isfinite(r["mse"]) for r in scores)
+
+
+def test_patience_rule():
+    curve = [5.0, 4.0, 4.5, 3.0, 3.1, 3.2, 3.3, 2.0]
+    assert modeling.patience_best(curve, None) == 7
+    assert modeling.patience_best(curve, 3) == 3       # stops at round 6, before the late minimum
+    assert modeling.patience_best(curve, 10) == 7
+
+
+def test_early_stopped_model_has_best_tree_count(spark):
+    src = clickstream_source(spark, SF)
+    p = modeling.GBTParams(max_iter=8, max_depth=3, patience=2)
+    out, info = modeling.fulltrain(src, p)
+    assert 1 <= info["best_iteration"] <= 8
+    assert out.count() == src.template.count()
