@@ -108,6 +108,28 @@ def model_frames(src, winsorize_p: float = 0.0):
     return tr, te
 
 
+def session_key_frames(src):
+    """(train frame, test frame) of the 5-fold protocol: labels variant A, last non-null
+    items and features joined on the session, ``y = log1p(max(target, 0))``."""
+    f_all = materialize(feat.session_features_v2(src.events, with_split_flags=True))
+    tr_feat, te_feat = feat.split_features(f_all)
+    lab = labels.labels_first_per_session(src.labeled)
+    tr = (lab.join(items.last_items_nonnull(src.train), "user_session", "left")
+          .join(tr_feat, list(KEY_COLUMNS), "left"))
+    te = te_feat.join(items.last_items_nonnull(src.test), "user_session", "left")
+    tr = target.log_target(materialize(tr), "session_value", "y", clip_negative=True)
+    return tr, te
+
+
+RAW_ENCODED = ("user_backoff", "te_prod", "te_cat")
+
+
+def _raw_encoding_specs():
+    return [encode.EncodingSpec("user_id", "user_backoff", "session_value", "default"),
+            encode.EncodingSpec("last_product_id", "te_prod", "session_value", "default"),
+            encode.EncodingSpec("last_category_id", "te_cat", "session_value", "default")]
+
+
 def base_feature_columns(frame: DataFrame):
     cols = feature_columns(frame.columns, NON_FEATURES)
     frame, kept, dropped = numeric_only(frame, cols)
@@ -149,23 +171,35 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
 
 def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
               fold_method: str = "group", fold_seed: int = 42, winsorize_p: float = 0.0,
-              parallelism: int = 4) -> DataFrame:
-    """[M2 M4 M7 V6] Long score frame over seeds x folds: (user_id, user_session, seed, fold, role, y, pred).
+              parallelism: int = 4, protocol: str = "user_session_key") -> DataFrame:
+    """[M2 M4 M7 V6] Long score frame over seeds x folds:
+    (user_id, user_session, seed, fold, role, y, pred), scores on the log scale.
 
+    ``protocol="user_session_key"`` (CV ensemble): labels variant B, last whole row,
+    log-scale encodings. ``protocol="session_key"`` (5-fold trainer): labels variant A,
+    last non-null items, raw-scale encodings, clipped log target.
     ``fold_method="group"``: seeded group K-fold; ``"balanced"``: size-balanced group
     K-fold (same folds for every seed; seeds vary the booster only). Independent fold
     models are fitted concurrently (``parallelism`` driver threads submitting jobs),
     as Spark ML's cross-validator does.
     """
-    tr, te = model_frames(src, winsorize_p)
+    if protocol == "session_key":
+        tr, te = session_key_frames(src)
+        specs, encoded, enc_target = _raw_encoding_specs(), RAW_ENCODED, "session_value"
+    else:
+        tr, te = model_frames(src, winsorize_p)
+        specs, encoded, enc_target = _encoding_specs(), ENCODED, "y"
     tr, cols, _ = base_feature_columns(tr)
     if fold_method == "balanced":
         tr = folds.balanced_group_folds(tr, "user_id", k)
     else:
         tr = folds.group_folds(tr, "user_id", k, fold_seed)
-    specs = _encoding_specs()
-    wide, layout = encode.fold_encodings_wide(tr, te, specs, k, "y", "fold", keep=(*KEY_COLUMNS, *cols))
-    all_cols = [*cols, *ENCODED]
+    keep = (*KEY_COLUMNS, *cols) if enc_target == "y" else (*KEY_COLUMNS, *cols, "y")
+    if enc_target != "y":
+        te = te.withColumn("y", F.lit(None).cast("double"))
+        tr = tr.withColumn(enc_target, F.col(enc_target).cast("double"))
+    wide, layout = encode.fold_encodings_wide(tr, te, specs, k, enc_target, "fold", keep=keep)
+    all_cols = [*cols, *encoded]
     # the compact frame (one row per session, encodings as per-fold arrays) is what is
     # checkpointed; each fold's frame is derived from it lazily
     wide = materialize(wide)
@@ -174,7 +208,7 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
         s, f = job
         p = layout.index(None, f)
         part = wide.select(*KEY_COLUMNS, "y", encode.pair_role(layout, None, f).alias("role"), *cols,
-                           *[F.element_at(F.col(c), p).alias(c) for c in ENCODED])
+                           *[F.element_at(F.col(c), p).alias(c) for c in encoded])
         part = assemble(part, all_cols).select(*KEY_COLUMNS, "y", "role", "features")
         p_s = replace(params, seed=int(s))
         fit_rows = part.where(F.col("role") == "fit")
