@@ -39,3 +39,18 @@ def test_session_spanning_batches(spark, events):
     # replaying the same input adds nothing
     assert run() == batch
     assert spark.read.parquet(f"{base}/store").where(F.col("user_session") == "a").count() == 2
+
+
+def test_v2_stream_matches_batch(spark, events):
+    base = tempfile.mkdtemp(prefix="clickroll-stream-")
+    df = events([{"user_session": "a", "event_type": "VIEW", "t": 3}, {"user_session": "a", "event_type": "BUY", "t": 1},
+                 {"user_session": "b", "event_type": "CART", "t": None}])
+    contract = [c for c in EVENT_SCHEMA.fieldNames() if c != "session_value"]
+    df.select(*contract).write.parquet(f"{base}/in")
+    types, codes = ["BUY", "CART", "VIEW"], ["BUY", "CART", "VIEW"]
+    stream = spark.readStream.schema(df.select(*contract).schema).parquet(f"{base}/in")
+    start_session_feature_stream(spark, stream, f"{base}/store", f"{base}/features", f"{base}/ck",
+                                 types, codes, version="v2", buckets=2).awaitTermination()
+    got = rows_by(spark.read.parquet(f"{base}/features").drop("_bucket"), "user_session")
+    want = rows_by(feat.session_features_v2(df.select(*contract), types=types, codes=codes), "user_session")
+    assert got == want
