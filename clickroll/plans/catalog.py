@@ -281,6 +281,12 @@ def q_baseline_cv(spark, sf_dir):
     return report(folds.baseline_cv(f))
 
 
+def q_baseline_report(spark, sf_dir):
+    from clickroll.plans import jobs
+    rep, _ = jobs.baseline_metrics(_labels_a(_src(spark, sf_dir)), 5, 42)
+    return report(rep)
+
+
 def q_baseline_submission(spark, sf_dir):
     src = _src(spark, sf_dir)
     mean = encode.global_mean(_money(_labels_a(src)), "session_value")
@@ -481,6 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balanced_group_folds": q_balanced_group_folds,
     "group_holdout": q_group_holdout,
     "baseline_cv": q_baseline_cv,
+    "baseline_report": q_baseline_report,
     "baseline_submission": q_baseline_submission,
     "user_backoff_raw": q_user_backoff_raw,
     "user_backoff_log": q_user_backoff_log,

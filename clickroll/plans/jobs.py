@@ -53,19 +53,25 @@ def read_features(spark: SparkSession, out_dir: str, versions=("v2", "v1")):
     return read_features_versioned(spark, out_dir, versions)
 
 
+def baseline_metrics(lab: DataFrame, k: int = 5, seed: int = 42):
+    """[V4 S8] Global-mean baseline on session labels: (metrics frame, global-mean frame)."""
+    money = lab.withColumn("session_value", F.col("session_value").cast("decimal(18,2)"))
+    cv = folds.baseline_cv(materialize(folds.group_folds(money, "user_id", k, seed)))
+    mean = encode.global_mean(money, "session_value")
+    per_fold = metrics_frame(cv, ["train_mean", "val_mse", "n_tr", "n_va"], "fold")
+    overall = metrics_frame(cv.limit(1).withColumn("global_mean", mean.select(mean.columns[0]).scalar()),
+                            ["cv_mean_mse", "global_mean"])
+    return per_fold.unionByName(overall), mean
+
+
 def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
     """[V4 V5 S7 S8] Global-mean baseline: per-fold CV report and a constant submission file.
     Returns the metrics frame (name, fold, value)."""
     lab = materialize(labels.require_non_empty(labels.labels_first_per_session(src.labeled)))
-    money = lab.withColumn("session_value", F.col("session_value").cast("decimal(18,2)"))
-    cv = folds.baseline_cv(folds.group_folds(money, "user_id", k, seed))
-    mean = encode.global_mean(money, "session_value")
+    report, mean = baseline_metrics(lab, k, seed)
     sub = predict.constant_prediction(src.template, mean)
     files.write_predictions_csv(sub, f"{out_dir.rstrip('/')}/baseline_v0_mean")
-    per_fold = metrics_frame(cv, ["train_mean", "val_mse", "n_tr", "n_va"], "fold")
-    overall = metrics_frame(cv.limit(1).withColumn("global_mean", mean.select(mean.columns[0]).scalar()),
-                            ["cv_mean_mse", "global_mean"])
-    return per_fold.unionByName(overall)
+    return report
 
 
 def profile_report(src) -> DataFrame:

@@ -372,6 +372,26 @@ FROM (
     USING (fold)
   GROUP BY f.fold)""", _group_folds("gf", "lab_a"),
                           "fl AS (SELECT l.*, gf.fold FROM lab_a l JOIN gf ON l.user_id = gf.g)")
+    q["baseline_report"] = _q("""
+SELECT name, fold, round(value, 6) AS value FROM (
+  SELECT 'train_mean' AS name, fold, train_mean AS value FROM cvr
+  UNION ALL SELECT 'val_mse', fold, val_mse FROM cvr
+  UNION ALL SELECT 'n_tr', fold, CAST(n_tr AS DOUBLE) FROM cvr
+  UNION ALL SELECT 'n_va', fold, CAST(n_va AS DOUBLE) FROM cvr
+  UNION ALL SELECT 'cv_mean_mse', CAST(NULL AS BIGINT), avg(val_mse) FROM cvr
+  UNION ALL SELECT 'global_mean', CAST(NULL AS BIGINT),
+                   CAST(round(avg(CAST(session_value AS DECIMAL(18,2))), 6) AS DOUBLE) FROM lab_a)""",
+        _group_folds("gf", "lab_a"),
+        "fl AS (SELECT l.*, gf.fold FROM lab_a l JOIN gf ON l.user_id = gf.g)",
+        """cvr AS (
+  SELECT f.fold, any_value(m.train_mean) AS train_mean, avg((f.session_value - m.train_mean) ^ 2) AS val_mse,
+         any_value(m.n_tr) AS n_tr, CAST(count(*) AS BIGINT) AS n_va
+  FROM fl f JOIN (
+    SELECT fold, (sum(s) OVER () - s) / nullif(sum(c) OVER () - c, 0) AS train_mean,
+           CAST(sum(c) OVER () - c AS BIGINT) AS n_tr
+    FROM (SELECT fold, sum(CAST(session_value AS DECIMAL(18,2))) AS s, count(*) AS c FROM fl GROUP BY fold)) m
+    USING (fold)
+  GROUP BY f.fold)""")
     q["baseline_submission"] = _q("""
 SELECT t.user_session, round((SELECT avg(CAST(session_value AS DECIMAL(18,2))) FROM lab_a), 6) AS session_value, t.row_no
 FROM (SELECT user_session, min(row_no) AS row_no FROM ev WHERE split = 'test' AND user_session IS NOT NULL
