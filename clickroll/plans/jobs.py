@@ -70,7 +70,7 @@ def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
     lab = materialize(labels.require_non_empty(labels.labels_first_per_session(src.labeled)))
     report, mean = baseline_metrics(lab, k, seed)
     sub = predict.constant_prediction(src.template, mean)
-    files.write_predictions_csv(sub, f"{out_dir.rstrip('/')}/baseline_v0_mean")
+    files.write_predictions_csv(sub, f"{out_dir.rstrip('/')}/baseline_mean")
     return report
 
 

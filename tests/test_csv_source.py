@@ -39,7 +39,7 @@ def test_csv_layout_matches_parquet_path(spark):
     import glob
 
     import pandas as pd
-    parts = sorted(glob.glob(f"{out}/baseline_v0_mean/part-*.csv"))
+    parts = sorted(glob.glob(f"{out}/baseline_mean/part-*.csv"))
     written = pd.concat([pd.read_csv(p, dtype=str) for p in parts]).user_session.tolist()
     expected = [r["user_session"] for r in src.template.orderBy("row_no").collect()]
     assert written == expected
