@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickroll.session import materialize
+
 
 @dataclass(frozen=True)
 class EncodingSpec:
@@ -31,6 +33,9 @@ def _grouped(train: DataFrame, specs, aggs):
     n = len(keys)
     g = (train.groupingSets([[k] for k in keys] + [[]], *keys)
          .agg(*aggs, F.grouping_id().alias("_gid")))
+    # one row per distinct key: written once, then read by every key's join and by the
+    # totals (Spark would otherwise recompute the aggregation for each consumer)
+    g = materialize(g)
     everything = (1 << n) - 1
     per_key = {k: g.where(F.col("_gid") == everything - (1 << (n - 1 - i))).drop("_gid")
                .select(k, *[c for c in g.columns if c not in keys and c != "_gid"])

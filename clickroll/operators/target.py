@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from clickroll.functions.exprs import clip, expm1, log1p_clipped, log1p_plain
 
 # Sketch accuracy is chosen from the row count so that a bracket holds at most about
-# BAND_ROWS rows; bounded below / above to keep the sketch small.
-BAND_ROWS = 100_000
-MIN_ACCURACY, MAX_ACCURACY = 10_000, 1_000_000
+# BAND_ROWS rows; bounded below / above to keep the sketch small (a summary holds
+# O(accuracy * log n) entries per task). Beyond ~2e10 rows the band grows past
+# BAND_ROWS, still as a histogram of distinct values ranked by one window per level.
+BAND_ROWS = 1_000_000
+MIN_ACCURACY, MAX_ACCURACY = 10_000, 100_000
 BRACKET = 5.0  # bracket half-width in units of the sketch's rank error 1/accuracy
 
 
