@@ -72,15 +72,17 @@ def patience_best(curve, patience: int | None) -> int:
     return best
 
 
-def fit_early_stopped(params: GBTParams, fit_df: DataFrame, val_df: DataFrame, label: str = "y"):
+def fit_early_stopped(params: GBTParams, fit_df: DataFrame, val_df: DataFrame, label: str = "y",
+                      refit: bool = True):
     """[M5 M6] Fit ``max_iter`` rounds, read the validation error after every round
     (one distributed pass), pick the best round under the patience rule, and return a
     model with exactly ``best + 1`` trees (refit with the same seed: a boosted
-    ensemble's first k trees do not depend on later rounds). Returns (model, n_trees)."""
+    ensemble's first k trees do not depend on later rounds; ``refit=False`` when only
+    the count is needed). Returns (model, n_trees)."""
     model = params.regressor(label).fit(fit_df)
     curve = model.evaluateEachIteration(val_df, "squared")   # max_iter numbers
     n = patience_best(curve, params.patience) + 1
-    if n < model.getNumTrees:
+    if refit and n < model.getNumTrees:
         model = replace(params, max_iter=n).regressor(label).fit(fit_df)
     return model, n
 
@@ -160,7 +162,7 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
     checkpoint_dir(tr.sparkSession)
     train_vec = train_vec.select("user_id", "user_session", "y", "features", "is_holdout").checkpoint()
     _, best = fit_early_stopped(params, train_vec.where(~F.col("is_holdout")),
-                                train_vec.where(F.col("is_holdout")))
+                                train_vec.where(F.col("is_holdout")), refit=False)
     final = replace(params, max_iter=best).regressor("y").fit(train_vec)   # refit on all rows
     scored = final.transform(assemble(te, cols).select("user_session", "features"))
     pred = scored.select("user_session", F.expm1("pred").alias("session_value"))
