@@ -80,8 +80,9 @@ def clickstream_contract(raw: DataFrame) -> DataFrame:
     ev = raw.select(
         F.col("event_id").alias("row_no"),
         F.col("user_id"),
+        # the day of a wall-clock timestamp_ntz: no session time zone involved
         F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                 F.date_format("ts", "yyyy-MM-dd")).alias("user_session"),
+                 F.to_date("ts").cast("string")).alias("user_session"),
         _map_names(et, CLICKSTREAM_TYPE_NAMES, F.upper(F.col("event_type"))).alias("event_type"),
         product.alias("product_id"),
         (product % 10).alias("category_id"),
