@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickroll.functions.schema import feature_columns, numeric_only
-from clickroll.operators import encode, ensemble, folds, items, labels, predict, target
+from clickroll.operators import encode, folds, items, labels, predict, target
 from clickroll.operators import features as feat
-from clickroll.session import checkpoint_dir, materialize
+from clickroll.session import materialize
 
 KEY_COLUMNS = ("user_id", "user_session")
 NON_FEATURES = ("user_id", "user_session", "session_value", "y", "last_product_id", "last_category_id",
@@ -146,7 +146,10 @@ def _encoding_specs():
 
 def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
               holdout: float = 0.1, holdout_seed: int = 2025):
-    """[M3 M5 M6 M7 V3 V7] Returns (template predictions [user_session, session_value, row_no], info dict)."""
+    """[M3 M5 M6 M7 V3 V7] In-sample encodings (user back-off on the un-winsorized log
+    target, items on ``y``), a group hold-out for early stopping, a refit on all rows
+    with the best number of trees, test scoring and template fill.
+    Returns (template predictions [user_session, session_value, row_no], info dict)."""
     tr, te = model_frames(src, winsorize_p)
     # user back-off uses the un-winsorized log target; test default is the mean of ``y``
     raw_log = target.log_target(tr.select("user_id", "session_value"), "session_value", "_ylog",
@@ -159,8 +162,7 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
     tr, cols, dropped = base_feature_columns(tr)
     tr = folds.group_holdout(tr, "user_id", holdout, holdout_seed)
     train_vec = assemble(tr, cols).withColumn("is_holdout", F.coalesce("is_holdout", F.lit(False)))
-    checkpoint_dir(tr.sparkSession)
-    train_vec = train_vec.select("user_id", "user_session", "y", "features", "is_holdout").checkpoint()
+    train_vec = materialize(train_vec.select("user_id", "user_session", "y", "features", "is_holdout"))
     _, best = fit_early_stopped(params, train_vec.where(~F.col("is_holdout")),
                                 train_vec.where(F.col("is_holdout")), refit=False)
     final = replace(params, max_iter=best).regressor("y").fit(train_vec)   # refit on all rows
