@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from clickroll.functions.schema import feature_columns, numeric_only
 from clickroll.operators import encode, folds, items, labels, predict, target
 from clickroll.operators import features as feat
-from clickroll.session import materialize
+from clickroll.session import materialize, stable_layout
 
 KEY_COLUMNS = ("user_id", "user_session")
 NON_FEATURES = ("user_id", "user_session", "session_value", "y", "last_product_id", "last_category_id",
@@ -162,7 +162,8 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
     tr, cols, dropped = base_feature_columns(tr)
     tr = folds.group_holdout(tr, "user_id", holdout, holdout_seed)
     train_vec = assemble(tr, cols).withColumn("is_holdout", F.coalesce("is_holdout", F.lit(False)))
-    train_vec = materialize(train_vec.select("user_id", "user_session", "y", "features", "is_holdout"))
+    train_vec = materialize(stable_layout(
+        train_vec.select("user_id", "user_session", "y", "features", "is_holdout"), list(KEY_COLUMNS)))
     _, best = fit_early_stopped(params, train_vec.where(~F.col("is_holdout")),
                                 train_vec.where(F.col("is_holdout")), refit=False)
     final = replace(params, max_iter=best).regressor("y").fit(train_vec)   # refit on all rows
@@ -206,7 +207,7 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
     all_cols = [*cols, *encoded]
     # the compact frame (one row per session, encodings as per-fold arrays) is what is
     # checkpointed; each fold's frame is derived from it lazily
-    wide = materialize(wide)
+    wide = materialize(stable_layout(wide, list(KEY_COLUMNS)))   # repeatable fits for a fixed seed
 
     def fit_one(job):
         s, f = job

@@ -91,3 +91,15 @@ def materialize(df):
     from the raw tables."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stable_layout(df, keys, partitions: int | None = None):
+    """Deterministic partitioning and in-partition order on a unique row key.
+
+    Shuffle output order depends on map-output arrival; order-sensitive consumers
+    (seeded subsampling in boosted trees, sampled split candidates) then differ between
+    runs. An explicit partition count (adaptive execution does not coalesce it) and a
+    sort on the key fix both. Apply before ``materialize`` so the written layout is
+    the stable one."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
