@@ -100,6 +100,7 @@ def stable_layout(df, keys, partitions: int | None = None):
     (seeded subsampling in boosted trees, sampled split candidates) then differ between
     runs. An explicit partition count (adaptive execution does not coalesce it) and a
     sort on the key fix both. Apply before ``materialize`` so the written layout is
-    the stable one."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    the stable one. The default count is the cluster's parallelism (all cores), the
+    natural width for an iterative trainer's frame."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n, *keys).sortWithinPartitions(*keys)
