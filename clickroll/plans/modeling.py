@@ -176,7 +176,7 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
 
 def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
               fold_method: str = "group", fold_seed: int = 42, winsorize_p: float = 0.0,
-              parallelism: int = 4, protocol: str = "user_session_key") -> DataFrame:
+              parallelism: int = 8, protocol: str = "user_session_key") -> DataFrame:
     """[M2 M4 M7 V6] Long score frame over seeds x folds:
     (user_id, user_session, seed, fold, role, y, pred), scores on the log scale.
 
