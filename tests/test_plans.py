@@ -41,3 +41,15 @@ def test_scan_prunes_columns(spark):
     p = _plan(feat.session_features_v1(ev))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
     assert schemas and all("value" not in s for s in schemas)
+
+
+def test_v1_single_aggregate_two_exchanges(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ev = clickstream_source(spark, SF).events
+        df = feat.session_features_v1(ev, types=["BUY", "CART", "ERROR", "SIGNUP", "VIEW"])
+        full = df._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning", full)) == 2, full
+        assert "Join" not in full and "SortAggregate" not in full
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
