@@ -3,7 +3,8 @@
     python -m clickroll.cli features  --raw data/raw --out data/processed [--version v1|v2]
     python -m clickroll.cli baseline  --raw data/raw --out submissions
     python -m clickroll.cli profile   --raw data/raw
-    python -m clickroll.cli fulltrain --raw data/raw --out submissions [--winsorize 0.995] [--trees 200]
+    python -m clickroll.cli fulltrain --raw data/raw --out submissions [--features data/processed]
+                                      [--winsorize 0.995] [--trees 200]
     python -m clickroll.cli cv        --raw data/raw --out submissions [--folds 10] [--seeds 2025,2027,2031]
     python -m clickroll.cli blend     --a A.csv --b B.csv --out blend.csv
 
@@ -33,6 +34,8 @@ def main(argv=None) -> None:
     ap.add_argument("--depth", type=int, default=6)
     ap.add_argument("--folds", type=int, default=10)
     ap.add_argument("--seeds", default="2025,2027,2031")
+    ap.add_argument("--features", default=None,
+                    help="folder written by the features command (v2 preferred, else v1)")
     ap.add_argument("--a")
     ap.add_argument("--b")
     args = ap.parse_args(argv)
@@ -44,6 +47,11 @@ def main(argv=None) -> None:
     src = csv_source(spark, f"{raw}/train.csv", f"{raw}/test.csv", f"{raw}/sample_submission.csv")
     from clickroll.plans.modeling import GBTParams
     params = GBTParams(max_iter=args.trees, max_depth=args.depth)
+    features = None
+    if args.features and args.command in ("fulltrain", "cv"):
+        version, tr, te = jobs.read_features(spark, args.features)
+        features = (tr, te)
+        print(json.dumps({"features": version}))
     if args.command == "features":
         print(json.dumps(jobs.build_features(src, args.out, args.version)))
     elif args.command == "baseline":
@@ -51,10 +59,10 @@ def main(argv=None) -> None:
     elif args.command == "profile":
         jobs.profile_report(src).show(100, truncate=False)
     elif args.command == "fulltrain":
-        print(json.dumps(jobs.run_fulltrain(src, args.out, params, args.winsorize), default=str))
+        print(json.dumps(jobs.run_fulltrain(src, args.out, params, args.winsorize, features), default=str))
     elif args.command == "cv":
         seeds = tuple(int(x) for x in args.seeds.split(","))
-        jobs.run_cv_ensemble(src, args.out, params, args.folds, seeds).show(100, truncate=False)
+        jobs.run_cv_ensemble(src, args.out, params, args.folds, seeds, features).show(100, truncate=False)
 
 
 if __name__ == "__main__":

@@ -94,19 +94,20 @@ def blend_files(spark: SparkSession, path_a: str, path_b: str, out_path: str,
     return out_path
 
 
-def run_fulltrain(src, out_dir: str, params=None, winsorize_p: float = 0.0) -> dict:
+def run_fulltrain(src, out_dir: str, params=None, winsorize_p: float = 0.0, features=None) -> dict:
     from clickroll.plans import modeling
-    out, info = modeling.fulltrain(src, params or modeling.GBTParams(), winsorize_p)
+    out, info = modeling.fulltrain(src, params or modeling.GBTParams(), winsorize_p, features=features)
     files.write_predictions_csv(out, f"{out_dir.rstrip('/')}/final_fulltrain_gbt")
     return info
 
 
-def run_cv_ensemble(src, out_dir: str, params=None, k: int = 10, seeds=(2025, 2027, 2031)) -> DataFrame:
+def run_cv_ensemble(src, out_dir: str, params=None, k: int = 10, seeds=(2025, 2027, 2031),
+                    features=None) -> DataFrame:
     """Balanced group folds x seeds; OOF report and log-space test average to a file.
     Returns the fold-score frame."""
     from clickroll.plans import modeling
     sc = modeling.cv_scores(src, k=k, seeds=seeds, params=params or modeling.GBTParams(),
-                            fold_method="balanced")
+                            fold_method="balanced", features=features)
     pred = ensemble.test_average(sc, keys=("user_session",), space="log")
     default = encode.global_mean(labels.labels_first_per_user_session(src.labeled), "session_value")
     files.write_predictions_csv(predict.fill_template(src.template, pred, default),

@@ -93,11 +93,19 @@ def assemble(df: DataFrame, cols) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(df)
 
 
-def model_frames(src, winsorize_p: float = 0.0):
+def _feature_tables(src, features):
+    """(train, test) feature tables: given (read back from the feature job's output, the
+    reference's file hand-over), or computed from the events."""
+    if features is not None:
+        return features
+    return feat.split_features(materialize(feat.session_features_v2(src.events, with_split_flags=True)))
+
+
+def model_frames(src, winsorize_p: float = 0.0, features=None):
     """(train frame, test frame) keyed by (user, session), the -1 id sentinel, ``y`` =
-    log1p of the (optionally two-sided winsorized) target."""
-    f_all = feat.session_features_v2(src.events, with_split_flags=True)
-    tr_feat, te_feat = feat.split_features(f_all)
+    log1p of the (optionally two-sided winsorized) target. ``features``: optional
+    (train, test) feature tables, e.g. from ``jobs.read_features``."""
+    tr_feat, te_feat = _feature_tables(src, features)
     lab = labels.labels_first_per_user_session(src.labeled)
     tr = (lab.join(tr_feat, list(KEY_COLUMNS), "left")
           .join(items.last_items_row(src.train, sentinel=False), list(KEY_COLUMNS), "left"))
@@ -110,11 +118,10 @@ def model_frames(src, winsorize_p: float = 0.0):
     return tr, te
 
 
-def session_key_frames(src):
+def session_key_frames(src, features=None):
     """(train frame, test frame) of the 5-fold protocol: labels variant A, last non-null
     items and features joined on the session, ``y = log1p(max(target, 0))``."""
-    f_all = materialize(feat.session_features_v2(src.events, with_split_flags=True))
-    tr_feat, te_feat = feat.split_features(f_all)
+    tr_feat, te_feat = _feature_tables(src, features)
     lab = labels.labels_first_per_session(src.labeled)
     tr = (lab.join(items.last_items_nonnull(src.train), "user_session", "left")
           .join(tr_feat, list(KEY_COLUMNS), "left"))
@@ -145,12 +152,12 @@ def _encoding_specs():
 
 
 def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
-              holdout: float = 0.1, holdout_seed: int = 2025):
+              holdout: float = 0.1, holdout_seed: int = 2025, features=None):
     """[M3 M5 M6 M7 V3 V7] In-sample encodings (user back-off on the un-winsorized log
     target, items on ``y``), a group hold-out for early stopping, a refit on all rows
     with the best number of trees, test scoring and template fill.
     Returns (template predictions [user_session, session_value, row_no], info dict)."""
-    tr, te = model_frames(src, winsorize_p)
+    tr, te = model_frames(src, winsorize_p, features)
     # user back-off uses the un-winsorized log target; test default is the mean of ``y``
     raw_log = target.log_target(tr.select("user_id", "session_value"), "session_value", "_ylog",
                                 clip_negative=False)
@@ -176,7 +183,7 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
 
 def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
               fold_method: str = "group", fold_seed: int = 42, winsorize_p: float = 0.0,
-              parallelism: int = 8, protocol: str = "user_session_key") -> DataFrame:
+              parallelism: int = 8, protocol: str = "user_session_key", features=None) -> DataFrame:
     """[M2 M4 M7 V6] Long score frame over seeds x folds:
     (user_id, user_session, seed, fold, role, y, pred), scores on the log scale.
 
@@ -189,10 +196,10 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
     as Spark ML's cross-validator does.
     """
     if protocol == "session_key":
-        tr, te = session_key_frames(src)
+        tr, te = session_key_frames(src, features)
         specs, encoded, enc_target = _raw_encoding_specs(), RAW_ENCODED, "session_value"
     else:
-        tr, te = model_frames(src, winsorize_p)
+        tr, te = model_frames(src, winsorize_p, features)
         specs, encoded, enc_target = _encoding_specs(), ENCODED, "y"
     tr, cols, _ = base_feature_columns(tr)
     if fold_method == "balanced":

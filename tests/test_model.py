@@ -45,3 +45,16 @@ def test_early_stopped_model_has_best_tree_count(spark):
     out, info = modeling.fulltrain(src, p)
     assert 1 <= info["best_iteration"] <= 8
     assert out.count() == src.template.count()
+
+
+def test_fulltrain_from_written_features(spark):
+    import tempfile
+    from clickroll.plans import jobs
+    src = clickstream_source(spark, SF)
+    d = tempfile.mkdtemp(prefix="clickroll-feat-")
+    jobs.build_features(src, d, "v1")
+    version, tr, te = jobs.read_features(spark, d)
+    assert version == "v1"
+    out, info = modeling.fulltrain(src, P, features=(tr, te))
+    assert out.count() == src.template.count()
+    assert info["n_features"] < 30       # v1 columns + 3 encodings
