@@ -422,6 +422,13 @@ def q_gbt_fulltrain(spark, sf_dir):
     return report(out)
 
 
+def q_gbt_fulltrain_session_key(spark, sf_dir):
+    """Full-train mode of the 5-fold trainer (fixed rounds, upper winsorize at 0.995)."""
+    from clickroll.plans import modeling
+    out, _ = modeling.fulltrain_session_key(_src(spark, sf_dir), _gbt_params(), winsorize_p=0.995)
+    return report(out)
+
+
 def q_gbt_group_cv(spark, sf_dir):
     """5-fold protocol: seeded group folds, raw-scale encodings, early stopping on each
     validation fold; out-of-fold scores back on the target scale."""
@@ -500,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "test_avg_log": q_test_avg_log,
     "test_avg_linear": q_test_avg_linear,
     "gbt_fulltrain": q_gbt_fulltrain,
+    "gbt_fulltrain_session_key": q_gbt_fulltrain_session_key,
     "gbt_group_cv": q_gbt_group_cv,
     "gbt_group_cv_test": q_gbt_group_cv_test,
     "gbt_seed_ensemble": q_gbt_seed_ensemble,

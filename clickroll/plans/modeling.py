@@ -151,6 +151,27 @@ def _encoding_specs():
             encode.EncodingSpec("last_category_id", "te_last_cat_y", "y", "sentinel")]
 
 
+def fulltrain_session_key(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0, features=None):
+    """[M3 V7 F10 F12] Full-train mode of the 5-fold trainer: session-keyed frame,
+    raw-scale in-sample encodings (missing or unseen keys -> the global mean), fit
+    target ``log1p(max(min(y, q_p), 0))`` with the upper-only winsorize, a fixed number
+    of rounds, test scores back on the target scale, template fill.
+    Returns (template predictions, info dict)."""
+    tr, te = session_key_frames(src, features)
+    tr = tr.withColumn("session_value", F.col("session_value").cast("double"))
+    tr, te = encode.full_train_encodings(tr, te, _raw_encoding_specs(), "session_value")
+    tr = target.winsorize_upper(tr, "session_value", winsorize_p, out="_yw")
+    tr = target.log_target(tr, "_yw", "y", clip_negative=True).drop("_yw")
+    tr, cols, dropped = base_feature_columns(tr)
+    vec = materialize(stable_layout(assemble(tr, cols).select(*KEY_COLUMNS, "y", "features"),
+                                    list(KEY_COLUMNS)))
+    model = params.regressor("y").fit(vec)
+    scored = model.transform(assemble(te, cols).select("user_session", "features"))
+    pred = scored.select("user_session", F.expm1("pred").alias("session_value"))
+    out = predict.fill_template(src.template, pred, encode.global_mean(tr, "session_value"))
+    return out, {"n_trees": model.getNumTrees, "n_features": len(cols), "dropped": dropped}
+
+
 def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
               holdout: float = 0.1, holdout_seed: int = 2025, features=None):
     """[M3 M5 M6 M7 V3 V7] In-sample encodings (user back-off on the un-winsorized log

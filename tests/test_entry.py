@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from check_oracle import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"gbt_fulltrain", "gbt_group_cv", "gbt_group_cv_test", "gbt_seed_ensemble"}
+SLOW = {"gbt_fulltrain", "gbt_fulltrain_session_key", "gbt_group_cv", "gbt_group_cv_test", "gbt_seed_ensemble"}
 
 
 def test_entry_runs(spark):

@@ -58,3 +58,11 @@ def test_fulltrain_from_written_features(spark):
     out, info = modeling.fulltrain(src, P, features=(tr, te))
     assert out.count() == src.template.count()
     assert info["n_features"] < 30       # v1 columns + 3 encodings
+
+
+def test_fulltrain_session_key(spark):
+    src = clickstream_source(spark, SF)
+    out, info = modeling.fulltrain_session_key(src, P, winsorize_p=0.995)
+    rows = out.collect()
+    assert len(rows) == src.template.count() and info["n_trees"] == P.max_iter
+    assert all(math.isfinite(r["session_value"]) for r in rows)
