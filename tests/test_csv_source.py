@@ -51,3 +51,27 @@ def test_csv_missing_columns(spark):
     import pytest
     with pytest.raises(ValueError, match="missing columns"):
         csv_source(spark, f"{d}/t.csv", f"{d}/t.csv", f"{d}/t.csv").events
+
+
+def test_cli_features_and_baseline(spark, capsys):
+    import glob
+    import shutil
+
+    from clickroll import cli
+    src = clickstream_source(spark, SF)
+    d = tempfile.mkdtemp(prefix="clickroll-cli-")
+    cols = ["event_type", "product_id", "category_id", "user_id", "user_session", "event_time"]
+    raw = f"{d}/raw"
+    import os
+    os.makedirs(raw)
+    for name, df in [("train.csv", src.labeled.orderBy("row_no").select(*cols, "session_value")),
+                     ("test.csv", src.test.orderBy("row_no").select(*cols)),
+                     ("sample_submission.csv", src.template.orderBy("row_no").select("user_session", "session_value"))]:
+        _write_csv(df, f"{d}/tmp_{name}")
+        shutil.copyfile(glob.glob(f"{d}/tmp_{name}/part-*.csv")[0], f"{raw}/{name}")
+    cli.main(["features", "--raw", raw, "--out", f"{d}/processed", "--version", "v1"])
+    assert "session_features_v1" in capsys.readouterr().out
+    assert spark.read.parquet(f"{d}/processed/session_features_v1").where("split = 'test'").count() == \
+        src.template.count()
+    cli.main(["baseline", "--raw", raw, "--out", f"{d}/sub"])
+    assert glob.glob(f"{d}/sub/baseline_mean/part-*.csv")
