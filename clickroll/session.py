@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a long-lived session runs many distinct plans; keep their compiled code
+    # (the default cache of 100 generated classes thrashes and recompiles)
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
