@@ -75,3 +75,12 @@ def test_cli_features_and_baseline(spark, capsys):
         src.template.count()
     cli.main(["baseline", "--raw", raw, "--out", f"{d}/sub"])
     assert glob.glob(f"{d}/sub/baseline_mean/part-*.csv")
+
+
+def test_profile_report_rows(spark):
+    src = clickstream_source(spark, SF)
+    rep = {r["name"]: r["value"] for r in jobs.profile_report(src).collect()}
+    lab = labels.labels_first_per_session(src.labeled)
+    assert rep["n_sessions"] == lab.count()
+    assert rep["q000"] <= rep["q050"] <= rep["q0995"] <= rep["q100"] == rep["max"]
+    assert set(rep) >= {"mean", "std", "n_users", "n_above_p99", "n_above_p995", "users_heavy_mu_gt_p95"}
