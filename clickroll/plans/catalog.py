@@ -136,6 +136,16 @@ def q_session_features_v2(spark, sf_dir):
     return report(feat.session_features_v2(_src(spark, sf_dir).events))
 
 
+def q_labels_first_per_user_session_orders(spark, sf_dir):
+    """Label variant B on order lines: first line (struct input position) per (customer, order)."""
+    return report(labels.labels_first_per_user_session(lineitem_source(spark, sf_dir).labeled))
+
+
+def q_last_items_row_orders(spark, sf_dir):
+    """Last whole line per (customer, order) in ship-date order, ties by line position."""
+    return items.last_items_row(lineitem_source(spark, sf_dir).train)
+
+
 def q_streaming_session_features_v1(spark, sf_dir):
     """v1 features maintained by the file stream (available-now trigger), read back."""
     from clickroll.streaming import start_session_feature_stream
@@ -468,6 +478,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_features_v2": q_session_features_v2,
     "session_features_v2_orders": q_session_features_v2_orders,
     "streaming_session_features_v1": q_streaming_session_features_v1,
+    "labels_first_per_user_session_orders": q_labels_first_per_user_session_orders,
+    "last_items_row_orders": q_last_items_row_orders,
     "event_type_codes": q_event_type_codes,
     "session_repeats": q_session_repeats,
     "session_first_last": q_session_first_last,

@@ -283,6 +283,16 @@ v1 AS (SELECT *, """ + ", ".join(f"round(event_type_count_{t} / session_event_co
     q["streaming_session_features_v1"] = q["session_features_v1"]
     q["session_features_v2"] = _q("SELECT * FROM feat")
     q["session_features_v2_orders"] = f"WITH {EV_B},{_v2_ctes(TYPES_B)}\nSELECT * FROM feat"
+    q["labels_first_per_user_session_orders"] = f"""WITH {EV_B}
+SELECT user_id, user_session, round(arg_min(o_totalprice, row_no), 6) AS session_value
+FROM (SELECT e.*, o.o_totalprice FROM ev e JOIN orders o ON e.user_session = CAST(o.o_orderkey AS VARCHAR))
+WHERE split = 'train' GROUP BY user_id, user_session"""
+    q["last_items_row_orders"] = f"""WITH {EV_B}
+SELECT user_id, user_session,
+       coalesce(arg_max({{'p': product_id, 'c': category_id}}, {ORD}).p, -1) AS last_product_id,
+       coalesce(arg_max({{'p': product_id, 'c': category_id}}, {ORD}).c, '-1') AS last_category_id
+FROM ev WHERE split = 'train' AND user_id IS NOT NULL AND user_session IS NOT NULL
+GROUP BY user_id, user_session"""
     q["event_type_codes"] = _q("""
 SELECT event_type, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS BIGINT) AS code
 FROM (SELECT DISTINCT coalesce(event_type, 'nan') AS event_type FROM ev)""")
