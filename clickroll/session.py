@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -81,8 +81,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written hand-over tables."""
     base = checkpoint_dir(spark)
-    token = next(tempfile._get_candidate_names())  # unique, no file created
-    return f"{base.rstrip('/')}/{name}-{os.getpid()}-{token}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df):
