@@ -55,3 +55,12 @@ def test_exact_quantiles_with_a_hot_value(spark):
 def test_exact_quantiles_match_numpy(spark, vals, probs):
     got = target.exact_quantiles(_labels(spark, vals), "session_value", probs)
     assert got == pytest.approx(list(np.quantile(np.array(vals), probs)), rel=1e-9, abs=1e-6)
+
+
+def test_exact_quantiles_retry_when_bracket_misses(spark, monkeypatch):
+    """With (almost) zero-width brackets the first attempt can miss its rank; the
+    widening retry must still return numpy's answer."""
+    monkeypatch.setattr(target, "BRACKET", 1e-9)
+    vals = list(np.random.default_rng(5).normal(100, 30, 3000)) + [7.0] * 1000
+    got = target.exact_quantiles(_labels(spark, vals), "session_value", [0.1, 0.5, 0.9, 0.995])
+    assert got == pytest.approx(list(np.quantile(np.array(vals), [0.1, 0.5, 0.9, 0.995])))
