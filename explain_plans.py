@@ -21,7 +21,8 @@ from clickroll.session import build_session  # noqa: E402
 
 QUERIES = ["session_features_v1", "session_features_v2", "session_features_v2_orders",
            "labels_first_per_session", "last_items_row", "group_folds", "fold_encodings",
-           "baseline_cv", "tail_counts", "blend_two"]
+           "baseline_cv", "tail_counts", "blend_two", "labels_first_per_user_session_orders",
+           "last_items_row_orders"]
 
 
 def main() -> None:
