@@ -1,0 +1,259 @@
+"""Operators 3, 5, 6, 7, 9 and the pipeline against brute force, round trips and held-out labels."""
+
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+pytest.importorskip("clickroll.llm")
+import corpus_pipeline  # noqa: E402
+from clickroll.llm import bpe, catalog, mixing, pii, simhash  # noqa: E402
+from clickroll.llm import quality_classifier as qc  # noqa: E402
+
+from . import brute  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = "word " * 30_000
+#: missing values, empty and very long texts, ties, repeated rows
+EDGE = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, LONG, "en", "a", len(LONG)), (3, LONG, "en", "a", len(LONG)),
+        (None, "no id here", "en", None, 10), (None, None, None, None, None), (4, " \n\t ", "en", "b", 4),
+        (5, "mail a.b@c.example.org, call +1 (555) 123-4567 or 10.0.0.256 10.0.0.25", "en", "b", 70),
+        (6, "x" * 50_000, "en", "b", 50_000), (7, "1" * 50_000 + "@", "en", "c", 50_001)]
+
+
+@pytest.fixture
+def edge(spark):
+    rows = spark.createDataFrame(EDGE, DOCS)
+    # names that working columns might use
+    return rows.selectExpr("*", "1 AS row", "2 AS size", "'z' AS fp", "3 AS k", "4 AS id", "5 AS copies", "6 AS found", "7 AS h")
+
+
+@pytest.fixture
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def texts(spark, name="documents"):
+    return spark.read.parquet(f"{SF}/{name}.parquet").collect()
+
+
+def test_bpe_equals_the_library(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(catalog.tokenizer_path())
+    got = {r.doc_id: r for r in catalog.op3_bpe(spark, SF).collect()}
+    for d in texts(spark):
+        ids = t.encode(d.text, add_special_tokens=False).ids
+        r = got[d.doc_id]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), brute.sha(",".join(map(str, ids))), brute.sha(t.decode(ids, skip_special_tokens=False)))
+
+
+def test_bpe_on_random_and_special_text():
+    from tokenizers import Tokenizer
+    t, own, r = Tokenizer.from_file(catalog.tokenizer_path()), bpe.ForcedBoundaryBPE(catalog.tokenizer_path()), random.Random(5)
+    letters = [chr(c) for c in (*range(0x250), 0x2028, 0x3000, 0x4E2D, 0x1F600, 0x301, 0x200B, 0x85, 0xA0)]
+    cases = ["", "<|endoftext|>", "a<|endoftext|>b <|endoftext|><|endoftext|>", "ab" * 5000, " " * 5000]
+    cases += ["".join(r.choice(letters) if r.random() < 0.5 else r.choice(" \n'strelv1") for _ in range(r.randint(1, 60))) for _ in range(400)]
+    for s in cases:
+        ids = t.encode(s, add_special_tokens=False).ids
+        assert own.encode(s) == ids, s
+        assert own.decode(ids) == t.decode(ids, skip_special_tokens=False)
+
+
+def test_forced_cuts_never_split_a_token():
+    own = bpe.ForcedBoundaryBPE(catalog.tokenizer_path())
+    assert all(own.fragments(b) == [b] for i, b in own.bytes_of.items() if b)
+
+
+def test_pii_base_spans(spark):
+    got = {r.doc_id: r for r in catalog.op6_pii(spark, SF).collect()}
+    for d in texts(spark):
+        want = brute.base_spans(d.text, brute.PII)
+        assert got[d.doc_id].base_sha256 == brute.sha(brute.spell(want))
+        assert [got[d.doc_id][f"n_{k}"] for k in brute.PII] == [sum(s[0] == k for s in want) for k in brute.PII]
+
+
+def test_pii_base_spans_on_random_text(spark):
+    r = random.Random(3)
+    bits = ["a@b.c", "1.2.3.4", "256.1.1.1", ".5", "4111 1111 1111 1111", "4111-1111-1111-1111", "+1 (555) 123-4567", "+", "1", "22", "@",
+            " ", ".", "-", "é", "x.y+z@d-e.f.g", "00255.01.1.1", "(", ")", "😀", "+44 20 7946 0958", "1.1.1.1.1.1.1", "a@b@c.d", "\n"]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(0, 14)))) for i in range(600)]
+    got = {x.doc_id: [(s.kind, s.start, s.end) for s in x.found if s.kind in pii.BASE]
+           for x in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert got[i] == brute.base_spans(t, brute.PII), t
+
+
+def test_pii_added_kinds_and_context(spark):
+    rows = [(1, "IBAN DE89 3704 0044 0532 0130 00 now"), (2, "IBAN DE88370400440532013000"), (3, "my ssn 123-45-6789"),
+            (4, "part 123-45-6789"), (5, "amex card 378282246310005"), (6, "378282246310005"), (7, "4111 1111 1111 1111")]
+    got = {x.doc_id: [s.kind for s in x.found] for x in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ["iban"], 2: [], 3: ["ssn"], 4: [], 5: ["short_card"], 6: [], 7: ["card"]}
+
+
+def test_redaction_masks_all_and_only_spans(spark, edge):
+    out = {r.doc_id: r for r in pii.redact(edge).where("doc_id IS NOT NULL").collect()}
+    assert out[5].text == "mail [EMAIL], call [PHONE] or 10.0.0.256 [IP]"
+    assert out[1].text is None and out[3].text == LONG and pii.redact(edge).columns == edge.columns
+
+
+def test_simhash_components(spark):
+    rows = texts(spark)
+    prints = [(d.doc_id, brute.simhash(d.text)) for d in rows]
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in catalog.op9_simhash(spark, SF).collect()}
+    assert got == {i: (f"{p:016x}", c) for (i, p), c in zip(prints, brute.components(prints), strict=True)}
+
+
+def test_links_connect_what_brute_force_connects(spark):
+    r, rows = random.Random(9), []
+    for _ in range(40):
+        f = r.getrandbits(64)
+        for _ in range(12):  # walks of up to 3 flips make chains and dense groups
+            rows.append(f)
+            for b in r.sample(range(64), r.randint(1, 4)):
+                f ^= 1 << b
+    rows = list(dict.fromkeys(rows))
+    signed = [f - (1 << 64) if f >> 63 else f for f in rows]
+    labels = {x.node: x.label for x in simhash.connected(simhash.near_links(spark.createDataFrame([(s,) for s in signed], "fp long"))).collect()}
+    want = brute.components(list(zip(signed, rows, strict=True)))
+    assert [labels.get(s, s) for s in signed] == want
+
+
+def test_simhash_edges(spark, edge, empty):
+    got = [(r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(edge).collect()]
+    assert len(got) == len(EDGE)
+    zero = [g for g in got if g[1] == "0" * 16]
+    assert sorted(str(g[0]) for g in zero) == ["1", "2", "4", "None"] and {g[2] for g in zero} == {1}
+    kept = simhash.keep_one(edge)
+    assert kept.columns == edge.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "5", "6", "7", "None"]
+    assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+
+
+def test_mixing(spark):
+    rows = catalog.op5_mixing(spark, "/root/testdata/sf0.01").join(
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source"), "doc_id").collect()
+    total = sum(r["size"] for r in rows)
+    for s in {r.source for r in rows}:
+        mine = [r for r in rows if r.source == s]
+        assert sum(r["size"] for r in mine) == mine[0].source_size
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 2 * max(r["size"] for r in mine)
+        assert mine[0].target <= 2 * mine[0].source_size
+    assert all(r.taken in (0, r["size"], 2 * r["size"]) for r in rows)
+    assert abs(sum(r.taken for r in rows) - 1.5 * total) <= max(r["size"] for r in rows)
+
+
+def _water(sizes, weights, share):
+    """Targets by repeated resharing of the excess."""
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    got, left, free = {}, share * sum(sizes.values()), set(names)
+    while free:
+        per = left / sum(w[s] for s in free)
+        over = {s for s in free if w[s] * per > 2 * sizes[s]}
+        if not over:
+            return got | {s: w[s] * per for s in free}
+        for s in over:
+            got[s] = 2.0 * sizes[s]
+            left -= got[s]
+        free -= over
+    return got
+
+
+@pytest.mark.parametrize("sizes", [{"a": 10, "b": 1000, "c": 10, None: 5}, {"a": 7}, {"a": 0, "b": 3}, {"z": 1, "é": 500, "B": 20, "😀": 9}])
+def test_targets_equal_repeated_resharing(spark, sizes):
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    got = {r.source: r.target for r in mixing.targets(rows).collect()}
+    want = _water(sizes, mixing.WEIGHTS, 1.5)
+    assert {s: round(t, 6) for s, t in got.items()} == {s: round(t, 6) for s, t in want.items()}
+
+
+def test_mixing_edges(spark, edge, empty):
+    got = mixing.mix(edge).collect()
+    assert len(got) == len(EDGE) and sorted(map(str, got)) == sorted(map(str, mixing.mix(edge).collect()))
+    assert all(r.taken == 0 for r in got if r["size"] == 0)
+    rows = mixing.mixed_rows(edge)
+    assert rows.columns == edge.columns and rows.count() == sum(r.copies for r in got)
+    assert mixing.mix(empty).count() == 0 and mixing.mixed_rows(empty).count() == 0
+
+
+def test_classifier_on_held_out_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    got = catalog.op7_quality_classifier(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
+    right = {y: [r.predicted == y for r in got if r.quality == y] for y in (0, 1)}
+    assert sum(right[1]) / len(right[1]) > 0.98 and sum(right[0]) / len(right[0]) > 0.9
+
+
+def test_classifier_ignores_held_out_labels(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    flipped = labels.withColumn("quality", F.when(qc.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    flipped.write.parquet(f"{tmp_path}/labels.parquet")
+    assert sorted(catalog.op7_quality_classifier(spark, str(tmp_path)).collect()) == sorted(catalog.op7_quality_classifier(spark, sf).collect())
+
+
+def test_classifier_edges(spark, edge, empty):
+    none = spark.createDataFrame([(None, 1), (5, None)], "doc_id long, quality int")
+    assert qc.fit(qc.training_rows(edge, none)) == {}
+    assert {r.score for r in qc.score(edge, {}).collect()} == {0.5}
+    some = spark.createDataFrame([(1, 1), (3, 0), (3, 0), (5, 1)], "doc_id long, quality int")
+    model = qc.fit(qc.training_rows(edge, some))
+    assert qc.score(edge, model).count() == len(EDGE) and qc.keep_good(edge, model).columns == edge.columns
+    assert qc.score(empty, model).count() == 0
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before, docs = docs, stage(spark, docs, SF)
+        docs.write.parquet(out := f"{tmp_path}/{i}")
+        docs = spark.read.parquet(out)
+        if i == 0:
+            rejected = [r.doc_id for r in catalog.op7_quality_classifier(spark, SF).collect() if not r.predicted]
+            assert sorted(r.doc_id for r in before.join(docs, "doc_id", "left_anti").collect()) == sorted(rejected)
+        if i == 1:
+            prints = [(r.doc_id, brute.simhash(r.text)) for r in before.collect()]
+            assert sorted(r.doc_id for r in docs.collect()) == sorted(set(brute.components(prints)))
+        if i == 2:
+            assert docs.count() == before.count()
+            assert not [r for r in docs.collect() if brute.base_spans(r.text, brute.PII)]
+            assert all(r.n_chars == len(r.text) for r in docs.collect())
+        if i == 3:
+            words = sum(len(brute.WORD.findall(r.text)) for r in before.collect())
+            taken = [len(brute.WORD.findall(r.text)) for r in docs.collect()]
+            assert abs(sum(taken) - 1.5 * words) <= max(taken)
+        assert docs.columns == (columns if i < 4 else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    assert docs.count() == before.count()
+    assert sorted(docs.collect()) == sorted(corpus_pipeline.run(spark, SF).collect())
+
+
+def test_pipeline_on_edges(spark, edge, empty, tmp_path):
+    spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for rows in (edge, empty):
+        docs = rows
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, str(tmp_path))
+        docs.collect()
+
+
+def test_bpe_edges(spark, edge, empty):
+    got = bpe.round_trip(edge, catalog.tokenizer_path()).collect()
+    assert len(got) == len(EDGE) and all(r.n_tokens == 0 and r.ids_sha256 == brute.sha("") for r in got if r.doc_id in (1, 2))
+    assert bpe.round_trip(empty, catalog.tokenizer_path()).count() == 0
+    lists = {r.doc_id: r.ids for r in bpe.encode(edge, catalog.tokenizer_path()).collect()}
+    assert lists[2] == [] and len(lists[5]) > 10
+
+
+def test_pii_edges(spark, edge, empty):
+    got = pii.find(edge).collect()
+    assert len(got) == len(EDGE) and all(r.found == [] for r in got if r.doc_id in (1, 2, 4))
+    assert pii.find(empty).count() == 0
+
+
+def test_modules_have_no_swallowed_imports():
+    for p in Path(catalog.__file__).parent.glob("*.py"):
+        assert "except ImportError" not in p.read_text() and "except ModuleNotFoundError" not in p.read_text()
