@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, simhash
+from . import bpe, html_extract, merkle, mixing, pii, quality_rules, secret_scan, simhash, warc
 from . import quality_classifier as qc
 from . import spans as S
-from .common import table
+from .common import table, text_of
 
 
 def tokenizer_path() -> str:
@@ -19,6 +19,38 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(sf_dir, "documents", spark)
+    text = text_of("text")
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    order = quality_rules.rule_order(docs)
+    # the query returns the base counts, so only the other counts are left to the cascade
+    rows = docs.select("doc_id", text.alias("text"), *[quality_rules.COUNTS[c](text).alias(c) for c in base])
+    counts = {c: F.col(c) if c in base else f(F.col("text")) for c, f in quality_rules.COUNTS.items()}
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return rows.select("doc_id", *base, failed.alias("base_failed"),
+                       F.when(failed, F.lit(False)).otherwise(quality_rules.verdict(order, counts).isNull()).alias("kept"))
+
+
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(sf_dir, "pages", spark))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edits(table(sf_dir, "documents", spark))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(sf_dir, "pages", spark))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(sf_dir, "documents", spark)).select(
+        "doc_id", *[S.count(F.col("base"), k).alias(f"n_{k}") for k in secret_scan.BASE],
+        F.sha2(S.joined(F.col("base")), 256).alias("base_sha256"), S.joined(F.col("found")).alias("spans"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(sf_dir, "documents", spark), tokenizer_path())
 
@@ -51,4 +83,6 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op5_mixing, op6_pii, op7_quality_classifier, op9_simhash)}
+    f.__name__: f for f in (
+        op1_quality_rules, op2_html_extract, op3_bpe, op4_fingerprints, op5_mixing, op6_pii, op7_quality_classifier,
+        op8_warc, op9_simhash, op10_secret_scan)}

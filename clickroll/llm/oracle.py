@@ -29,5 +29,36 @@ FROM r GROUP BY doc_id
 """
 
 
+RULES = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+k AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS win FROM t, unnest(range(1, len(ws) - 1)) AS r(i)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS c FROM k) WHERE c > 1),
+n AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) AS v(o) GROUP BY doc_id),
+c AS (SELECT t.doc_id, len(ws) AS n_words, list_sum(list_transform(ws, lambda w: length(w))) AS chars,
+        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls,
+        coalesce(n_repeat_words, 0) AS n_repeat_words, length(regexp_replace(text, '[^A-Z!]+', '', 'g')) AS shouted
+      FROM t LEFT JOIN n USING (doc_id)),
+b AS (SELECT doc_id, n_words::BIGINT AS n_words, coalesce(chars, 0)::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, len(ls) AS n_lines, shouted
+      FROM c),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words
+       OR 10 * n_dup_lines > 3 * n_lines OR 2 * shouted > word_chars) AS kept
+FROM f
+"""
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS payload_digest,
+             max(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": MIXING}
+    return {"op1_quality_rules": RULES, "op5_mixing": MIXING, "op8_warc": WARC}
