@@ -76,11 +76,16 @@ def battery(token: Column) -> Column:
             (a * 2 >= k) != (b * 2 >= k), 1.0).otherwise(0.0)), F.lit(0.0), lambda acc, c: acc + F.coalesce(c, F.lit(0.0)))
         mean_runs = 1 + 2 * ones * zeros / n
         var_runs = F.greatest((mean_runs - 1) * (mean_runs - 2) / (n - 1), F.lit(1e-9))
-        mean = F.aggregate(x["v"], F.lit(0.0), lambda acc, c: acc + c) / n
-        var = F.aggregate(x["v"], F.lit(0.0), lambda acc, c: acc + F.pow(c - mean, 2))
-        cov = F.aggregate(F.zip_with(F.slice(x["v"], 1, F.size(x["v"]) - 1), F.slice(x["v"], 2, F.size(x["v"])), lambda a, b: (a - mean) * (b - mean)),
-                          F.lit(0.0), lambda acc, c: acc + F.coalesce(c, F.lit(0.0)))
-        serial = F.coalesce(cov / F.nullif(var, F.lit(0.0)), F.lit(1.0)) * F.sqrt(n) + 1 / F.sqrt(n)
+        # sums only: a mean inside a lambda would be computed again for each character
+        total = F.aggregate(x["v"], F.lit(0.0), lambda acc, c: acc + c)
+        squared = F.aggregate(x["v"], F.lit(0.0), lambda acc, c: acc + c * c)
+        next_to = F.aggregate(F.zip_with(F.slice(x["v"], 1, F.size(x["v"]) - 1), F.slice(x["v"], 2, F.size(x["v"])), lambda a, b: a * b),
+                              F.lit(0.0), lambda acc, c: acc + F.coalesce(c, F.lit(0)))
+        mean = total / n
+        ends = F.element_at(x["v"], 1) + F.element_at(x["v"], -1)
+        cov = next_to - mean * (2 * total - ends) + (n - 1) * mean * mean
+        var = squared - n * mean * mean
+        serial = F.when(var > 1e-9, cov / F.greatest(var, F.lit(1e-9))).otherwise(1.0) * F.sqrt(n) + 1 / F.sqrt(n)
         kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
             x["token"], "[a-z]+", "\u0001"), "[A-Z]+", "\u0002"), "[0-9]+", "\u0003"), "[+/]+", "\u0004")
         changes = F.length(kinds) - 1
