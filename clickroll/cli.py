@@ -22,6 +22,12 @@ from clickroll.session import build_session
 from clickroll.sources.adapters import csv_source
 
 
+def report(frame) -> None:
+    """Every row of a report frame as a JSON line."""
+    for row in frame.toLocalIterator():
+        print(json.dumps(row.asDict(), default=str))
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="clickroll")
     ap.add_argument("command", choices=["features", "baseline", "profile", "fulltrain", "cv", "blend"])
@@ -55,14 +61,14 @@ def main(argv=None) -> None:
     if args.command == "features":
         print(json.dumps(jobs.build_features(src, args.out, args.version)))
     elif args.command == "baseline":
-        jobs.run_baseline(src, args.out).show(100, truncate=False)
+        report(jobs.run_baseline(src, args.out))
     elif args.command == "profile":
-        jobs.profile_report(src).show(100, truncate=False)
+        report(jobs.profile_report(src))
     elif args.command == "fulltrain":
         print(json.dumps(jobs.run_fulltrain(src, args.out, params, args.winsorize, features), default=str))
     elif args.command == "cv":
         seeds = tuple(int(x) for x in args.seeds.split(","))
-        jobs.run_cv_ensemble(src, args.out, params, args.folds, seeds, features).show(100, truncate=False)
+        report(jobs.run_cv_ensemble(src, args.out, params, args.folds, seeds, features))
 
 
 if __name__ == "__main__":

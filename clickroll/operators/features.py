@@ -15,25 +15,22 @@ from pyspark.sql import types as T
 
 from clickroll.functions.exprs import clip, entropy_term, finite_or_zero, per_nonzero, safe_ratio
 
-# Guard on the pivot width: the event-type domain becomes columns.
-MAX_EVENT_TYPES = 1000
 NULL_TYPE_NAME = "nan"  # string form of a missing event type in the code table
 
 COUNT_PREFIX = "event_type_count_"
 RATIO_PREFIX = "event_type_ratio_"
 
 
-def event_type_domain(events: DataFrame, max_types: int = MAX_EVENT_TYPES):
+def event_type_domain(events: DataFrame):
     """[A2 W6] (pivot values, code domain) of the event types.
 
-    The domain is bounded by construction (it becomes the pivot's columns); the
-    guard raises instead of building a frame of unbounded width.
+    The pivot has a column for each type that some session has; codes count over all
+    rows, those without a session included. Both become columns or literals of the
+    plan, so the complete distinct set is what the driver needs.
     """
-    rows = (events.select(F.col("event_type").cast("string").alias("t"))
-            .distinct().limit(max_types + 2).collect())
-    if len(rows) > max_types + 1:
-        raise ValueError(f"more than {max_types} event types; refusing to pivot")
-    values = sorted(r.t for r in rows if r.t is not None)
+    t = F.col("event_type").cast("string").alias("t")
+    rows = events.groupBy(t).agg(F.max(F.col("user_session").isNotNull()).alias("pivoted")).collect()
+    values = sorted(r.t for r in rows if r.t is not None and r.pivoted)
     codes = sorted({(r.t if r.t is not None else NULL_TYPE_NAME) for r in rows})
     return values, codes
 
@@ -139,7 +136,7 @@ def session_features_v1(events: DataFrame, types=None, with_split_flags: bool =
     """
     ev = events.where(F.col("user_session").isNotNull())
     if types is None:
-        types, _ = event_type_domain(ev)
+        types, _ = event_type_domain(events)
     aggs = [first_non_null("user_id", F.col("row_no")).alias("user_id"),
             F.count(F.lit(1)).alias("session_event_count"),
             F.count_distinct("product_id").alias("unique_product_count"),
@@ -183,7 +180,7 @@ def session_features_v2(events: DataFrame, types=None, codes=None,
                                    single_pass)
     ev = _parsed_time(events.where(F.col("user_session").isNotNull()), time_col)
     if types is None or codes is None:
-        t_, c_ = event_type_domain(ev)
+        t_, c_ = event_type_domain(events)
         types = t_ if types is None else types
         codes = c_ if codes is None else codes
     order = order_key(time_col)

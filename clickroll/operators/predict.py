@@ -18,7 +18,7 @@ def fill_template(template: DataFrame, pred: DataFrame, default, key: str = "use
                   value: str = "session_value") -> DataFrame:
     """[J8 J8b S7] Template rows in template order with the predicted value, else ``default``
     (a number or a one-row frame)."""
-    p = pred.select(key, F.col(value).alias("_pred"))
+    p = dedupe_predictions(pred, key, value).select(key, F.col(value).alias("_pred"))
     t = template.select(key, "row_no")
     j = t.join(p, key, "left")
     if isinstance(default, DataFrame):
@@ -35,13 +35,16 @@ def constant_prediction(template: DataFrame, value_frame: DataFrame, value: str
     return template.select("user_session", "row_no", d.alias(value))
 
 
-def blend(sets, weights=None, key: str = "user_session", value: str = "session_value") -> DataFrame:
-    """[J9 F14] Weighted blend of prediction sets on their common keys (inner joins)."""
+def blend(sets, weights=None, key: str = "user_session", value: str = "session_value",
+          order_col: str | None = None) -> DataFrame:
+    """[J9 F14] Weighted blend of prediction sets on their common keys (inner joins);
+    ``order_col`` of the first set is kept if asked for."""
     sets = list(sets)
     weights = list(weights) if weights is not None else [1.0 / len(sets)] * len(sets)
     out = None
     for i, s in enumerate(sets):
-        part = s.select(key, F.col(value).alias(f"_v{i}"))
+        kept = [order_col] if order_col and i == 0 else []
+        part = s.select(key, F.col(value).alias(f"_v{i}"), *kept)
         out = part if out is None else out.join(part, key, "inner")
     total = sum((F.lit(float(w)) * F.col(f"_v{i}") for i, w in enumerate(weights)), F.lit(0.0))
-    return out.select(key, total.alias(value))
+    return out.select(key, total.alias(value), *([order_col] if order_col else []))

@@ -64,8 +64,8 @@ def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: i
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is read as is. Only when it is
-    unset (local tests) a private folder is created and registered.
+    On a cluster the deployment sets it; without it a job fails here, before it writes
+    anything. Only a single local process (tests) gets a private folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="clickroll-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -100,7 +102,7 @@ def stable_layout(df, keys, partitions: int | None = None):
     (seeded subsampling in boosted trees, sampled split candidates) then differ between
     runs. An explicit partition count (adaptive execution does not coalesce it) and a
     sort on the key fix both. Apply before ``materialize`` so the written layout is
-    the stable one. The default count is the cluster's parallelism (all cores), the
-    natural width for an iterative trainer's frame."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    the stable one. The default count is ``spark.sql.shuffle.partitions``, a setting of
+    the job: the layout, and a model trained on it, do not depend on the cores at hand."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys).sortWithinPartitions(*keys)

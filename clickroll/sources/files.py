@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Text tokens that the reference's CSV reader turns into missing values.
-NULL_TOKENS = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None")
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+               "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def _normalise_tokens(col):
-    return F.when(F.trim(col).isin(*NULL_TOKENS), F.lit(None)).otherwise(col)
+    """Whole cells only: a token with blanks around it is text."""
+    return F.when(col.isin(*NULL_TOKENS), F.lit(None)).otherwise(col)
 
 
 def read_events_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -22,7 +25,7 @@ def read_events_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     ``row_no`` is the input position: (file, block start, position inside the split).
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
            .schema(text_schema).csv(path))
     pos = F.monotonically_increasing_id()
     cols = []
@@ -40,17 +43,14 @@ def read_events_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def read_feature_table(spark: SparkSession, base: str) -> DataFrame:
     """[S4] Parquet first, CSV (with header) second; raises when neither exists."""
-    jvm_fs = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - existence check only
-    conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
-
-    def exists(p: str) -> bool:
-        path = jvm_fs.Path(p)
-        return path.getFileSystem(conf).exists(path)
-
-    if exists(base + ".parquet"):
-        return spark.read.parquet(base + ".parquet")
-    if exists(base + ".csv"):
-        return spark.read.option("header", True).option("inferSchema", True).csv(base + ".csv")
+    readers = ((spark.read.parquet, ".parquet"),
+               (spark.read.option("header", True).option("inferSchema", True).option("escape", '"').csv, ".csv"))
+    for read, suffix in readers:
+        try:
+            return read(base + suffix)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise FileNotFoundError(f"not found: {base}.parquet or {base}.csv")
 
 
@@ -81,7 +81,8 @@ TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def write_events_csv(df: DataFrame, path: str) -> str:
     """[S6] Headered CSV without index; timestamps keep their microseconds."""
-    (df.write.mode("overwrite").option("header", True)
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .option("timestampNTZFormat", TIMESTAMP_TEXT).option("timestampFormat", TIMESTAMP_TEXT)
        .csv(path))
     return path
