@@ -45,10 +45,12 @@ def _grouped(train: DataFrame, specs, aggs):
 
 
 def mean_by_key(frame: DataFrame, key: str, target: str, null_key: str = "default") -> DataFrame:
+    """Mean target per key, written once: adaptive execution splits a hot key's rows only
+    if both sides of the join back are shuffles, not an aggregate above its shuffle."""
     rows = frame.where(F.col(target).isNotNull())
     if null_key == "default":
         rows = rows.where(F.col(key).isNotNull())
-    return rows.groupBy(key).agg(F.avg(target).cast("double").alias("_mean"))
+    return materialize(rows.groupBy(key).agg(F.avg(target).cast("double").alias("_mean")))
 
 
 def global_mean(frame: DataFrame, target: str, alias: str = "_default") -> DataFrame:
@@ -160,10 +162,14 @@ def pair_role(layout: FoldLayout, seed, fold) -> Column:
             .when(F.col(layout.fold_cols[seed]) == fold, F.lit("val")).otherwise(F.lit("fit")))
 
 
-def fan_out(wide: DataFrame, layout: FoldLayout, specs, target: str = "y", keep=("user_session",)) -> DataFrame:
-    """One row per (row, [seed,] fold) with ``role``, ``row_fold`` and the pair's encodings."""
+def fan_out(wide: DataFrame, layout: FoldLayout, specs, target: str = "y", keep=("user_session",),
+            roles=("fit", "val", "test")) -> DataFrame:
+    """One row per (row, [seed,] fold) with ``role``, ``row_fold`` and the pair's encodings.
+    Only pairs in which the row has one of ``roles`` are made."""
     multi = layout.pairs[0][0] is not None
-    fan = wide.withColumn("_p", F.explode(F.sequence(F.lit(1), F.lit(len(layout.pairs)))))
+    wanted = F.array_compact(F.array(*[F.when(pair_role(layout, *p).isin(*roles), F.lit(i))
+                                       for i, p in enumerate(layout.pairs, 1)]))
+    fan = wide.withColumn("_p", F.explode(wanted))
     seed_of = F.element_at(F.array(*[F.lit(p[0] if p[0] is not None else 0) for p in layout.pairs]), F.col("_p"))
     fold_of = F.element_at(F.array(*[F.lit(p[1]) for p in layout.pairs]), F.col("_p")).cast("bigint")
     row_fold = F.element_at(F.array(*[F.col(layout.fold_cols[p[0]]) for p in layout.pairs]), F.col("_p"))
@@ -178,9 +184,9 @@ def fan_out(wide: DataFrame, layout: FoldLayout, specs, target: str = "y", keep=
 
 
 def fold_encodings(train: DataFrame, test: DataFrame, specs, k: int, target: str = "y",
-                   fold_col="fold", keep=("user_session",)) -> DataFrame:
+                   fold_col="fold", keep=("user_session",), roles=("fit", "val", "test")) -> DataFrame:
     """[V6] Long form of ``fold_encodings_wide``: one row per (row, [seed,] fold) with
     ``role`` = 'fit' (row's fold != f), 'val' (row's fold == f) or 'test', the ``keep``
     columns, the target, ``row_fold`` and one column per spec."""
     wide, layout = fold_encodings_wide(train, test, specs, k, target, fold_col, keep)
-    return fan_out(wide, layout, specs, target, keep)
+    return fan_out(wide, layout, specs, target, keep, roles)

@@ -284,6 +284,14 @@ def _with_session_attrs(events, attrs, types, codes, time_col, with_split_flags,
                         .alias("user_id") if c == "user_id" else F.col(f"`{c}`") for c in keep])
 
 
+def session_users(events: DataFrame, time_col: str | None = "event_time") -> DataFrame:
+    """[A1 J6] (user_session, user_id, split flags): the v2 table's user without its other columns."""
+    ev = _parsed_time(events.where(F.col("user_session").isNotNull()), time_col)
+    out = ev.groupBy("user_session").agg(first_non_null("user_id", order_key(time_col)).alias("user_id"),
+                                         *_split_flags())
+    return _fill_numeric(out, skip=("user_session", "_in_train", "_in_test"))
+
+
 def split_features(features_with_flags: DataFrame):
     """[J6 U2] Train / test feature tables; a session present in both splits goes to both."""
     keep = [c for c in features_with_flags.columns if c not in ("_in_train", "_in_test")]

@@ -49,12 +49,19 @@ def _features_split(src, version="v2"):
     return feat.split_features(f_all)
 
 
+def _test_sessions(src):
+    """(user_session, user_id) of the test sessions: all that encodings and blends need,
+    so no other feature is computed for them."""
+    flagged = feat.session_users(src.events)
+    return flagged.where(F.col("_in_test")).select("user_session", "user_id")
+
+
 def _labels_a(src):
-    return _shared(src, "labels_a", lambda: labels.labels_first_per_session(src.labeled))
+    return _shared(src, "labels_a", lambda: labels.labels_first_per_session(src.label_rows))
 
 
 def _labels_b(src, shared: bool = True):
-    build = lambda: labels.labels_first_per_user_session(src.labeled)
+    build = lambda: labels.labels_first_per_user_session(src.label_rows)
     return _shared(src, "labels_b", build) if shared else build()
 
 
@@ -77,25 +84,15 @@ def _frame_user_session_key(src):
     the -1 sentinel for missing ids: the CV-ensemble and full-train frame."""
     def build():
         tr_feat, _ = _features_split(src)
-        last = items.last_items_row(src.train)
-        fr = (_labels_b(src, shared=False).join(tr_feat, ["user_id", "user_session"], "left")
-              .join(last, ["user_id", "user_session"], "left"))
-        return items.fill_sentinel(fr, ["last_product_id", "last_category_id"])
+        return _with_last_row(_labels_b(src, shared=False).join(tr_feat, ["user_id", "user_session"], "left"), src.train)
     return _shared(src, "frame_uk", build)
 
 
-def _test_frame_user_session_key(src):
-    _, te_feat = _features_split(src)
-    last = items.last_items_row(src.test)
-    fr = te_feat.join(last, ["user_id", "user_session"], "left")
+def _with_last_row(frame, events):
+    fr = frame.join(items.last_items_row(events), ["user_id", "user_session"], "left")
     return items.fill_sentinel(fr, ["last_product_id", "last_category_id"])
 
 
-def _test_frame_session_key(src):
-    _, te_feat = _features_split(src)
-    return te_feat.join(items.last_items_nonnull(src.test), "user_session", "left")
-
-
 # ---------------------------------------------------------------- queries
 
 def q_events_union_split(spark, sf_dir):
@@ -305,7 +302,7 @@ def q_baseline_submission(spark, sf_dir):
 
 def _user_backoff_raw(src):
     lab = _money(_labels_a(src))
-    _, te = _features_split(src)
+    te = _test_sessions(src)
     spec = [encode.EncodingSpec("user_id", "user_backoff", "session_value")]
     tr, te = encode.full_train_encodings(lab, te, spec, "session_value")
     return tr.withColumn("session_value", F.col("session_value").cast("double")), te
@@ -321,7 +318,7 @@ def q_user_backoff_raw(spark, sf_dir):
 def q_user_backoff_log(spark, sf_dir):
     src = _src(spark, sf_dir)
     lab = target.log_target(_labels_b(src), "session_value", "y", clip_negative=False)
-    _, te = _features_split(src)
+    te = _test_sessions(src)
     enc = encode.mean_by_key(lab, "user_id", "y", "default")
     tr = encode.apply_encoding(lab, enc, "user_id", "user_backoff_y", None)
     te = encode.apply_encoding(te, enc, "user_id", "user_backoff_y", encode.global_mean(lab, "y"))
@@ -332,7 +329,7 @@ def q_user_backoff_log(spark, sf_dir):
 
 def _item_encoding_raw(src):
     fr = _money(_labels_a(src)).join(items.last_items_nonnull(src.train), "user_session", "left")
-    te = _test_frame_session_key(src)
+    te = _test_sessions(src).join(items.last_items_nonnull(src.test), "user_session", "left")
     specs = [encode.EncodingSpec("last_product_id", "te_prod", "session_value"),
              encode.EncodingSpec("last_category_id", "te_cat", "session_value")]
     return encode.full_train_encodings(fr, te, specs, "session_value")
@@ -346,10 +343,10 @@ def q_item_encoding_raw(spark, sf_dir):
 
 
 def _log_frames(src, winsorize_p: float = 0.0):
-    fr = _frame_user_session_key(src)
+    fr = _shared(src, "frame_uk_items", lambda: _with_last_row(_labels_b(src, shared=False), src.train))
     fr = target.winsorize_two_sided(fr, "session_value", winsorize_p, out="y_w")
     fr = target.log_target(fr, "y_w", "y", clip_negative=False).drop("y_w")
-    return fr, _test_frame_user_session_key(src)
+    return fr, _with_last_row(_test_sessions(src), src.test)
 
 
 def q_item_encoding_log(spark, sf_dir):
@@ -395,29 +392,29 @@ def q_blend_two(spark, sf_dir):
 ENSEMBLE_SEEDS = (2025, 2027, 2031)
 
 
-def _standin_scores(src, seeds, k: int = 5) -> DataFrame:
+def _standin_scores(src, seeds, roles, k: int = 5) -> DataFrame:
     """Deterministic stand-in model: a row's score for fold f is its last product's
     fold-f encoding. Lets the OOF / test averaging be checked against SQL."""
     fr, te = _log_frames(src)
     f = materialize(folds.group_folds_by_seed(fr, "user_id", k, seeds))
     enc = encode.fold_encodings(f, te, LOG_SPECS, k, "y", {s: f"fold_{s}" for s in seeds},
-                                keep=("user_id", "user_session"))
+                                keep=("user_id", "user_session"), roles=roles)
     return enc.select("user_id", "user_session", "seed", "fold", "role", "y",
                       F.col("te_last_prod_y").alias("pred"))
 
 
 def q_oof_scores(spark, sf_dir):
-    sc = _standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS)
+    sc = _standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS, ("val",))
     return report(ensemble.oof_average(sc, keys=("user_id", "user_session")))
 
 
 def q_test_avg_log(spark, sf_dir):
-    sc = _standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS)
+    sc = _standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS, ("test",))
     return report(ensemble.test_average(sc, keys=("user_id", "user_session"), space="log"))
 
 
 def q_test_avg_linear(spark, sf_dir):
-    sc = _standin_scores(_src(spark, sf_dir), (42,))
+    sc = _standin_scores(_src(spark, sf_dir), (42,), ("test",))
     return report(ensemble.test_average(sc, keys=("user_id", "user_session"), space="linear"))
 
 

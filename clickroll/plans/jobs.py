@@ -70,7 +70,7 @@ def baseline_metrics(lab: DataFrame, k: int = 5, seed: int = 42):
 def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
     """[V4 V5 S7 S8] Global-mean baseline: per-fold CV report and a constant submission file.
     Returns the metrics frame (name, fold, value)."""
-    lab = materialize(labels.require_non_empty(labels.labels_first_per_session(src.labeled)))
+    lab = materialize(labels.require_non_empty(labels.labels_first_per_session(src.label_rows)))
     report, mean = baseline_metrics(lab, k, seed)
     sub = predict.constant_prediction(src.template, mean)
     files.write_predictions_csv(sub, f"{out_dir.rstrip('/')}/baseline_mean")
@@ -79,7 +79,7 @@ def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
 
 def profile_report(src) -> DataFrame:
     """Label profile as (name, fold=NULL, value)."""
-    lab = materialize(labels.labels_first_per_session(src.labeled))
+    lab = materialize(labels.labels_first_per_session(src.label_rows))
     stats = profile.tail_stats(lab)
     counts = profile.tail_counts(lab)
     heavy = profile.heavy_users(lab)
@@ -111,7 +111,7 @@ def run_cv_ensemble(src, out_dir: str, params=None, k: int = 10, seeds=(2025, 20
     sc = modeling.cv_scores(src, k=k, seeds=seeds, params=params or modeling.GBTParams(),
                             fold_method="balanced", features=features)
     pred = ensemble.test_average(sc, keys=("user_session",), space="log")
-    default = encode.global_mean(labels.labels_first_per_user_session(src.labeled), "session_value")
+    default = encode.global_mean(labels.labels_first_per_user_session(src.label_rows), "session_value")
     files.write_predictions_csv(predict.fill_template(src.template, pred, default),
                                 f"{out_dir.rstrip('/')}/gbt_cv{k}_seeds{len(seeds)}")
     return ensemble.fold_scores(sc)

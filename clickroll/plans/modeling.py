@@ -106,7 +106,7 @@ def model_frames(src, winsorize_p: float = 0.0, features=None):
     log1p of the (optionally two-sided winsorized) target. ``features``: optional
     (train, test) feature tables, e.g. from ``jobs.read_features``."""
     tr_feat, te_feat = _feature_tables(src, features)
-    lab = labels.labels_first_per_user_session(src.labeled)
+    lab = labels.labels_first_per_user_session(src.label_rows)
     tr = (lab.join(tr_feat, list(KEY_COLUMNS), "left")
           .join(items.last_items_row(src.train, sentinel=False), list(KEY_COLUMNS), "left"))
     te = te_feat.join(items.last_items_row(src.test, sentinel=False), list(KEY_COLUMNS), "left")
@@ -122,7 +122,7 @@ def session_key_frames(src, features=None):
     """(train frame, test frame) of the 5-fold protocol: labels variant A, last non-null
     items and features joined on the session, ``y = log1p(max(target, 0))``."""
     tr_feat, te_feat = _feature_tables(src, features)
-    lab = labels.labels_first_per_session(src.labeled)
+    lab = labels.labels_first_per_session(src.label_rows)
     tr = (lab.join(items.last_items_nonnull(src.train), "user_session", "left")
           .join(tr_feat, list(KEY_COLUMNS), "left"))
     te = te_feat.join(items.last_items_nonnull(src.test), "user_session", "left")

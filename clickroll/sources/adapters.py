@@ -11,17 +11,22 @@ Event contract (one row per event)::
     event_time    timestamp_ntz
     split         'train' | 'test'
 
-``EventSource.labeled`` adds ``session_value`` to the train rows; ``template`` lists
-the test sessions to be predicted, with their own ``row_no`` order.
+``EventSource.labeled`` adds ``session_value`` to the train rows; ``label_rows`` holds
+the rows that labels are taken from; ``template`` lists the test sessions to be
+predicted, with their own ``row_no`` order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickroll.session import materialize
+
 CONTRACT_COLUMNS = ["row_no", "user_id", "user_session", "event_type", "product_id",
                     "category_id", "event_time", "split"]
 
@@ -51,6 +56,10 @@ def _map_names(col, mapping: dict, default=None):
 class EventSource:
     """Events, their train / test parts, the labelled train rows and the template.
 
+    ``labeled`` (train rows with ``session_value``) is built when first asked for.
+    ``label_rows`` are enough of its rows, the first of each (user, session) included, to
+    derive every label from; all of them unless the adapter has a shorter way.
+
     ``train`` and ``test`` filter the raw rows before the contract projection, so the
     split predicate reaches the parquet scan (row-group skipping on the time column)
     instead of a derived ``split = 'train'`` test on every row.
@@ -59,10 +68,19 @@ class EventSource:
     events: DataFrame
     train: DataFrame
     test: DataFrame
-    labeled: DataFrame          # train rows with session_value
+    make_labeled: Callable[[], DataFrame]
     template: DataFrame         # user_session, session_value, row_no
     name: str = "events"
     extras: dict = field(default_factory=dict)
+    first_rows: DataFrame | None = None
+
+    @cached_property
+    def labeled(self) -> DataFrame:
+        return self.make_labeled()
+
+    @property
+    def label_rows(self) -> DataFrame:
+        return self.labeled if self.first_rows is None else self.first_rows
 
 
 def _template(test_events: DataFrame) -> DataFrame:
@@ -105,13 +123,22 @@ def clickstream_source(spark: SparkSession, sf_dir: str) -> EventSource:
     events = clickstream_contract(raw).drop("value")
     train_v = clickstream_contract(raw.where(F.col("ts") < cut))
     test = clickstream_contract(raw.where((F.col("ts") >= cut) | F.col("ts").isNull())).drop("value")
-    # One row per session from a partially aggregated sum; joined back on the key
-    # (AQE splits a hot session's partition on the event side).
-    sums = (train_v.groupBy("user_session")
-            .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("session_value")))
-    labeled = train_v.drop("value").join(sums, "user_session", "left").select(*CONTRACT_COLUMNS, "session_value")
-    return EventSource(events=events, train=train_v.drop("value"), test=test, labeled=labeled,
-                       template=_template(test), name="clickstream")
+    # Labels need no event-level join: a partial aggregate leaves one row per (user,
+    # session), however many events a hot session has, and the session sum is joined to that.
+    per_user = train_v.groupBy("user_id", "user_session").agg(
+        F.min("row_no").alias("row_no"), F.sum(F.col("value").cast("decimal(18,2)")).alias("_part"))
+    sums = (per_user.groupBy("user_session")
+            .agg(F.sum("_part").cast("double").alias("session_value")))
+    first_rows = (per_user.drop("_part").join(sums, "user_session", "left")
+                  .select("row_no", "user_id", "user_session", "session_value"))
+
+    def labeled():
+        # The sums are written first: a shuffle then sits directly under each side of the
+        # join, which is what lets adaptive execution split a hot session's events.
+        return (train_v.drop("value").join(materialize(sums), "user_session", "left")
+                .select(*CONTRACT_COLUMNS, "session_value"))
+    return EventSource(events=events, train=train_v.drop("value"), test=test, make_labeled=labeled,
+                       template=_template(test), name="clickstream", first_rows=first_rows)
 
 
 def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
@@ -160,7 +187,7 @@ def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
         F.when(F.col("o_orderdate") < cut, F.lit("train")).otherwise(F.lit("test")).alias("split"))
     labeled = contract(j.where(F.col("o_orderdate") < cut))
     test = contract(j.where((F.col("o_orderdate") >= cut) | F.col("o_orderdate").isNull())).drop("session_value")
-    return EventSource(events=events, train=labeled.drop("session_value"), test=test, labeled=labeled,
+    return EventSource(events=events, train=labeled.drop("session_value"), test=test, make_labeled=lambda: labeled,
                        template=_template(test), name="lineitem",
                        extras={"line_events": line_events, "session_attrs": order_attrs})
 
@@ -221,5 +248,5 @@ def csv_source(spark: SparkSession, train_path: str, test_path: str, template_pa
                                F.lit(0.0).alias("session_value"))
     events = train.drop("session_value").unionByName(test.drop(*[c for c in test.columns
                                                                  if c == "session_value"]))
-    return EventSource(events=events, train=train.drop("session_value"), test=test, labeled=train,
+    return EventSource(events=events, train=train.drop("session_value"), test=test, make_labeled=lambda: train,
                        template=template, name="csv")
