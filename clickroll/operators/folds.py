@@ -12,6 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clickroll.session import materialize
 
 BUCKET_BITS = 10     # 1,024 rank buckets
 HASH_BITS = 60       # 15 hex digits of md5
@@ -25,8 +28,7 @@ def seeded_hash(col: Column, seed) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
 
 
-def ordered_index(df: DataFrame, bucket_cols, order_cols, broadcast_offsets: bool = True,
-                  group_cols=()) -> DataFrame:
+def ordered_index(df: DataFrame, bucket_cols, order_cols, group_cols=()) -> DataFrame:
     """Adds ``_idx`` (0-based position in ``bucket_cols, order_cols`` order) and ``_n``
     (row count), both within each ``group_cols`` group (independent orderings, e.g. one
     per seed). ``bucket_cols`` must be monotone in the order."""
@@ -39,8 +41,7 @@ def ordered_index(df: DataFrame, bucket_cols, order_cols, broadcast_offsets: boo
                          F.sum("_bn").over(Window.partitionBy(*group_cols)).alias("_n"))
     inner = Window.partitionBy(*keys).orderBy(*order_cols)
     ranked = df.withColumn("_r", F.row_number().over(inner) - 1)
-    offs = F.broadcast(offs) if broadcast_offsets else offs
-    return (ranked.join(offs, keys)
+    return (ranked.join(F.broadcast(offs), keys)
             .withColumn("_idx", (F.col("_off") + F.col("_r")).cast("bigint"))
             .drop("_off", "_r"))
 
@@ -94,20 +95,75 @@ def group_folds_by_seed(labels: DataFrame, group_col: str = "user_id", k: int =
     return labels.join(wide, labels[group_col].eqNullSafe(wide[group_col]), "left").drop(wide[group_col])
 
 
+#: a group is heavy if it has more than 1 / (k * HEAVY) of all rows; fewer than k * HEAVY can be
+HEAVY = 100
+
+
+def _heavy_placement(heavy, loads: list[int]) -> list[tuple]:
+    """(group, fold) of (group, size) pairs, largest first, each on the lightest fold so far
+    (the lowest number of several); ``loads`` is brought up to date."""
+    placed = []
+    for group, size in heavy:
+        at = loads.index(min(loads))
+        loads[at] += size
+        placed.append((group, at + 1))
+    return placed
+
+
+def _room(loads: list[int], light: int) -> tuple[list[int], int]:
+    """(running room of the folds times ``j``, ``j``): what each fold may still take so that
+    all end at one level once ``light`` more rows are dealt. The level is (light + the j
+    smallest loads) / j for the j that makes it least; whole numbers keep it exact."""
+    low = sorted(loads)
+    num, j = light + low[0], 1
+    for i in range(2, len(low) + 1):
+        n = light + sum(low[:i])
+        if n * j < num * i:
+            num, j = n, i
+    total, ends = 0, []
+    for load in loads:
+        total += max(0, num - load * j)
+        ends.append(total)
+    return ends, j
+
+
 def balanced_group_folds(labels: DataFrame, group_col: str = "user_id", k: int = 10,
                          seed: int = 0) -> DataFrame:
-    """[V2] Size-balanced group K-fold: groups ranked by size (descending, then hash) are
-    dealt to folds in a snake order 1..k, k..1, ... so large groups spread evenly.
-    Unseeded in the reference; ``seed`` only orders equal-sized groups."""
-    sizes = (labels.groupBy(F.col(group_col).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
-             .withColumn("_h", seeded_hash(F.col("_g"), seed))
-             .withColumn("_neg", -F.col("_size"))
-             .withColumn("_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)))
-    g = ordered_index(sizes, ["_neg", "_b"], ["_h", "_g"], broadcast_offsets=False)
-    rnd = F.floor(F.col("_idx") / F.lit(k))
-    pos = F.col("_idx") % F.lit(k)
-    fold = F.when(rnd % 2 == 0, pos).otherwise(F.lit(k - 1) - pos) + 1
-    g = g.select(F.col("_g").alias(group_col), fold.cast("bigint").alias("fold"))
+    """[V2] Size-balanced group K-fold. Heavy groups go largest first to the lightest fold;
+    the others, in hash order, fill the folds up to one common level: a group's fold is
+    the one whose room holds the middle of its rows in the running total of all light
+    rows. A fold ends within one light group, 1 / HEAVY of a mean fold, of that level.
+    Unseeded in the reference; ``seed`` orders equal-sized and light groups.
+
+    The heavy groups, fewer than ``k * HEAVY`` whatever the data, are placed on the
+    driver; the running total is taken inside ``2**BUCKET_BITS`` ranges of the hash and
+    offset by the ranges' sums, so no task meets all groups.
+    """
+    sizes = materialize(labels.groupBy(F.col(group_col).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
+                        .withColumn("_h", seeded_hash(F.col("_g"), seed))
+                        .withColumn("_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)))
+    total = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first().n
+    is_heavy = F.col("_size") * F.lit(k * HEAVY) > F.lit(total)
+    heavy = sorted(sizes.where(is_heavy).select("_g", "_size", "_h").collect(),
+                   key=lambda r: (-r._size, r._h, str(r._g)))
+    loads = [0] * k
+    placed = _heavy_placement([(r._g, r._size) for r in heavy], loads)
+    ends, j = _room(loads, total - sum(loads))
+
+    light = sizes.where(~is_heavy)
+    starts = light.groupBy("_b").agg(F.sum("_size").alias("_bn"))
+    starts = starts.select("_b", F.coalesce(F.sum("_bn").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    upto = F.sum("_size").over(Window.partitionBy("_b").orderBy("_h", "_g"))
+    light = light.withColumn("_upto", upto).join(F.broadcast(starts), "_b")   # at most 2**BUCKET_BITS lines
+    middle = (F.lit(2) * (F.col("_off") + F.col("_upto")) - F.col("_size")) * F.lit(j)   # twice the middle, times j
+    fold = F.lit(k)
+    for f in range(k - 1, 0, -1):
+        fold = F.when(middle < F.lit(2 * ends[f - 1]), F.lit(f)).otherwise(fold)
+    light = light.select(F.col("_g").alias(group_col), fold.cast("bigint").alias("fold"))
+    spark = labels.sparkSession
+    schema = T.StructType([T.StructField(group_col, sizes.schema["_g"].dataType), T.StructField("fold", T.LongType())])
+    g = light.unionByName(spark.createDataFrame(placed, schema))
     return labels.join(g, labels[group_col].eqNullSafe(g[group_col]), "left").drop(g[group_col])
 
 

@@ -274,8 +274,9 @@ def q_group_folds(spark, sf_dir):
 
 
 def q_balanced_group_folds(spark, sf_dir):
-    return folds.balanced_group_folds(_labels_b(_src(spark, sf_dir)), "user_id", 10) \
-        .select("user_id", "user_session", "fold")
+    out = folds.balanced_group_folds(_labels_b(_src(spark, sf_dir)), "user_id", 10)
+    load = out.groupBy("fold").agg(F.count(F.lit(1)).alias("fold_rows"))
+    return out.join(F.broadcast(load), "fold").select("user_id", "user_session", "fold", "fold_rows")   # 10 lines
 
 
 def q_group_holdout(spark, sf_dir):

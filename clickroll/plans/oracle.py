@@ -356,13 +356,36 @@ FROM (SELECT user_id, avg(session_value) AS mu, count(*) AS n FROM lab_a GROUP B
     q["group_folds"] = _q("""
 SELECT l.user_session, l.user_id, f.fold FROM lab_a l JOIN gf f ON l.user_id = f.g""",
                           _group_folds("gf", "lab_a"))
-    q["balanced_group_folds"] = _q("""
-SELECT b.user_id, b.user_session,
-       CAST(CASE WHEN (r.idx // 10) % 2 = 0 THEN r.idx % 10 ELSE 9 - r.idx % 10 END + 1 AS BIGINT) AS fold
-FROM lab_b b JOIN (
-  SELECT g, row_number() OVER (ORDER BY size DESC, h, g) - 1 AS idx
-  FROM (SELECT user_id AS g, count(*) AS size, """ + _hash("user_id", 0) + """ AS h FROM lab_b GROUP BY user_id)
-) r ON b.user_id = r.g""")
+    q["balanced_group_folds"] = "WITH RECURSIVE " + ", ".join([EV, LABELED, LAB_B]) + """,
+sizes AS MATERIALIZED (
+  SELECT user_id AS g, count(*) AS size, """ + _hash("user_id", 0) + """ AS h FROM lab_b GROUP BY user_id),
+heavy AS MATERIALIZED (
+  SELECT g, size, row_number() OVER (ORDER BY size DESC, h, CAST(g AS VARCHAR)) AS step
+  FROM sizes WHERE size * 1000 > (SELECT sum(size) FROM sizes)),
+walk(step, loads, g, fold) AS (
+  SELECT CAST(0 AS BIGINT), [CAST(0 AS BIGINT) FOR x IN range(10)], CAST(NULL AS BIGINT), CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT h.step, [CASE WHEN i = list_position(w.loads, list_min(w.loads)) THEN w.loads[i] + h.size ELSE w.loads[i] END
+                  FOR i IN range(1, 11)],
+         h.g, CAST(list_position(w.loads, list_min(w.loads)) AS BIGINT)
+  FROM walk w JOIN heavy h ON h.step = w.step + 1),
+loaded AS (
+  SELECT CAST(unnest(range(1, 11)) AS BIGINT) AS fold, unnest(loads) AS load FROM walk ORDER BY step DESC LIMIT 10),
+light AS (
+  SELECT g, size, sum(size) OVER (ORDER BY h, g) AS upto FROM sizes WHERE g NOT IN (SELECT g FROM heavy)),
+levels AS (
+  SELECT (SELECT coalesce(sum(size), 0) FROM light) + sum(load) OVER (ORDER BY load, fold) AS num,
+         row_number() OVER (ORDER BY load, fold) AS j FROM loaded),
+level AS (SELECT num, j FROM levels ORDER BY CAST(num AS DOUBLE) / j, j LIMIT 1),
+room AS (
+  SELECT fold, sum(greatest(0, num - load * j)) OVER (ORDER BY fold) AS room_end, j FROM loaded, level),
+placed AS (
+  SELECT g, fold FROM walk WHERE fold > 0
+  UNION ALL
+  SELECT l.g, coalesce(min(r.fold), 10) AS fold
+  FROM light l LEFT JOIN room r ON (2 * l.upto - l.size) * r.j < 2 * r.room_end GROUP BY l.g)
+SELECT b.user_id, b.user_session, p.fold, CAST(count(*) OVER (PARTITION BY p.fold) AS BIGINT) AS fold_rows
+FROM lab_b b JOIN placed p ON b.user_id = p.g"""
     q["group_holdout"] = _q("""
 SELECT b.user_id, b.user_session, r.idx < ceil(r.n * 0.1) AS is_holdout
 FROM lab_b b JOIN (

@@ -54,6 +54,47 @@ def test_balanced_folds_spread_large_groups(spark):
     assert out.groupBy("user_id").agg(F.count_distinct("fold").alias("n")).where("n <> 1").count() == 0
 
 
+def _sized_groups(spark, sizes):
+    rows = [(f"s{g}-{i}", g, 1.0) for g, n in enumerate(sizes) for i in range(n)]
+    return spark.createDataFrame(rows, "user_session string, user_id long, session_value double")
+
+
+def test_balanced_folds_with_a_few_huge_groups(spark):
+    out = folds.balanced_group_folds(_sized_groups(spark, [1000, 400, 390, 380] + [1] * 3000), k=10)
+    load = sorted(Counter(r["fold"] for r in out.collect()).values())
+    assert load[-1] == 1000 and load[0] >= 462 and load[-2] <= 465
+
+
+def test_balanced_folds_equal_the_greedy_deal_when_all_groups_are_heavy(spark):
+    sizes = [13, 11, 9, 7, 6, 5, 3, 2, 1]           # all sizes differ: no ties to break
+    out = folds.balanced_group_folds(_sized_groups(spark, sizes), k=3)
+    got = {r["user_id"]: r["fold"] for r in out.collect()}
+    load, want = [0, 0, 0], {}
+    for g, n in enumerate(sizes):
+        want[g] = load.index(min(load)) + 1
+        load[want[g] - 1] += n
+    assert got == want
+
+
+@pytest.mark.parametrize("sizes", [[], [5], [1] * 1500 + [2] * 700 + [40, 90]])
+def test_balanced_folds_keep_groups_whole(spark, sizes):
+    rows = _sized_groups(spark, sizes) if sizes else _sized_groups(spark, [1]).limit(0)
+    out = folds.balanced_group_folds(rows, k=4)
+    per = {}
+    for r in out.collect():
+        per.setdefault(r["user_id"], set()).add(r["fold"])
+    assert len(per) == len(sizes) and all(len(f) == 1 for f in per.values())
+    load = Counter(r["fold"] for r in out.collect())
+    if len(sizes) > 4:
+        assert max(load.values()) - min(load.values()) <= 4
+
+
+def test_balanced_folds_null_group(spark):
+    rows = _sized_groups(spark, [3, 2]).withColumn("user_id", F.when(F.col("user_id") == 1, F.col("user_id")))
+    out = folds.balanced_group_folds(rows, k=2).collect()
+    assert len(out) == 5 and {(r["user_id"], r["fold"]) for r in out} == {(None, 1), (1, 2)}
+
+
 def test_holdout_size(spark):
     out = folds.group_holdout(_groups(spark, 31), test_size=0.1, seed=2025)
     held = {r["user_id"] for r in out.where("is_holdout").collect()}
