@@ -8,7 +8,9 @@ the SQL oracle (sums in different orders differ in the last bits).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,8 @@ from clickroll.operators import encode, ensemble, folds, items, labels, predict,
 from clickroll.operators import features as feat
 from clickroll.session import materialize, scratch_path
 from clickroll.sources import files
-from clickroll.sources.adapters import clickstream_contract, clickstream_source, lineitem_source
+from clickroll.sources.adapters import (EventSource, clickstream_contract, clickstream_source, lineitem_source, read_table,
+                                        test_template)
 
 
 def report(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -36,6 +39,28 @@ def _src(spark, sf_dir):
     return clickstream_source(spark, sf_dir)
 
 
+def _edge_source(spark, sf_dir) -> EventSource:
+    """All events with what the given table lacks, by event number: missing users, sessions,
+    types, ids, times and targets, two users in a session, sessions in both splits, and a
+    type that only rows without a session have."""
+    n = F.col("row_no")
+    base = clickstream_contract(read_table(spark, sf_dir, "events"))
+    other = F.when(F.col("split") == "train", F.lit("test")).otherwise(F.lit("train"))
+    ev = base.select(
+        "row_no",
+        F.when(n % 17 == 1, F.lit(None)).when(n % 23 == 6, F.col("user_id") + 1)
+        .otherwise(F.col("user_id")).alias("user_id"),
+        F.when(n % 97 != 0, F.col("user_session")).alias("user_session"),
+        F.when((n % 97 == 0) & (n % 2 == 0), F.lit("PROMO")).when(n % 11 != 3, F.col("event_type")).alias("event_type"),
+        F.when(n % 7 != 2, F.col("product_id")).alias("product_id"),
+        F.when(n % 19 != 4, F.col("category_id")).alias("category_id"),
+        F.when(n % 13 != 5, F.col("event_time")).alias("event_time"),
+        F.when(n % 29 != 0, F.col("split")).otherwise(other).alias("split"))
+    train, test = ev.where(F.col("split") == "train"), ev.where(F.col("split") == "test")
+    return EventSource(events=ev, train=train, test=test, template=test_template(test), name="edge",
+                       make_labeled=lambda: train.withColumn("session_value", F.when(n % 5 != 1, (n % 1000) / 100)))
+
+
 def _shared(src, key, build):
     """A frame several stages of one query read: built once, checkpointed, reused."""
     if key not in src.extras:
@@ -419,6 +444,55 @@ def q_test_avg_linear(spark, sf_dir):
     return report(ensemble.test_average(sc, keys=("user_id", "user_session"), space="linear"))
 
 
+def q_fold_scores(spark, sf_dir):
+    """MSE and RMSE per seed and fold of the stand-in scores, with the mean over folds."""
+    return report(ensemble.fold_scores(_standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS, ("val",))))
+
+
+def q_pooled_score(spark, sf_dir):
+    sc = _standin_scores(_src(spark, sf_dir), ENSEMBLE_SEEDS, ("val",))
+    return report(ensemble.pooled_score(ensemble.oof_average(sc, keys=("user_id", "user_session"))))
+
+
+def q_assembled_features(spark, sf_dir):
+    """Sum, rows and zeros of every slot of the 5-fold trainer's assembled vectors."""
+    from clickroll.plans import modeling
+    frame, cols, _ = modeling.base_feature_columns(report(_frame_session_key(_src(spark, sf_dir))))
+    vec = modeling.assemble(frame, cols).select(F.posexplode(vector_to_array("features")).alias("slot", "v"))
+    per = vec.groupBy("slot").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n_rows"),
+                                  F.count_if(F.col("v") == 0).alias("n_zero"))
+    name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("slot") + 1).alias("feature")
+    return report(per.select(name, "total", "n_rows", "n_zero"))
+
+
+def q_edge(spark, sf_dir, of):
+    """An operator over the events with missing values (``_edge_source``)."""
+    return report(EDGE_QUERIES[of](_edge_source(spark, sf_dir)))
+
+
+def _train_and_test(frames, cols):
+    tr, te = frames
+    return (tr.select(*cols, F.lit("train").alias("role"))
+            .unionByName(te.select(*cols, F.lit("test").alias("role"))))
+
+
+EDGE_QUERIES: dict[str, Callable[[EventSource], DataFrame]] = {
+    "session_features_v1": lambda s: feat.session_features_v1(s.events),
+    "session_features_v2": lambda s: feat.session_features_v2(s.events),
+    "event_type_codes": lambda s: feat.event_type_codes(s.events),
+    "session_repeats": lambda s: feat.session_id_profiles(s.events.where(F.col("user_session").isNotNull())),
+    "labels_first_per_session": _labels_a,
+    "labels_first_per_user_session": _labels_b,
+    "last_items_nonnull": lambda s: items.last_items_nonnull(s.train),
+    "last_items_row": lambda s: items.last_items_row(s.train),
+    "features_train": lambda s: _features_split(s)[0],
+    "features_test": lambda s: _features_split(s)[1],
+    "training_frame_user_session_key": _frame_user_session_key,
+    "user_backoff_raw": lambda s: _train_and_test(_user_backoff_raw(s), ["user_session", "user_backoff"]),
+    "item_encoding_raw": lambda s: _train_and_test(_item_encoding_raw(s), ["user_session", "te_prod", "te_cat"]),
+}
+
+
 def _gbt_params(patience=None):
     from clickroll.plans.modeling import GBTParams
     return GBTParams(max_iter=20, max_depth=5, patience=patience)
@@ -516,6 +590,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "oof_scores": q_oof_scores,
     "test_avg_log": q_test_avg_log,
     "test_avg_linear": q_test_avg_linear,
+    "fold_scores": q_fold_scores,
+    "pooled_score": q_pooled_score,
+    "assembled_features": q_assembled_features,
+    **{f"edge_{name}": partial(q_edge, of=name) for name in EDGE_QUERIES},
     "gbt_fulltrain": q_gbt_fulltrain,
     "gbt_fulltrain_session_key": q_gbt_fulltrain_session_key,
     "gbt_group_cv": q_gbt_group_cv,

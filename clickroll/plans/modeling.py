@@ -259,4 +259,4 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
-    return out
+    return materialize(out)      # every model scores its rows once, however often the scores are read

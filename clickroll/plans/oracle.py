@@ -47,13 +47,14 @@ LAB_A = """lab_a AS (
   GROUP BY user_session)"""
 
 LAB_B = """lab_b AS (
-  SELECT user_id, user_session, arg_min(session_value, row_no) AS session_value
+  SELECT user_id, user_session, arg_min({'v': session_value}, row_no).v AS session_value
   FROM labeled GROUP BY user_id, user_session)"""
 
 ORD = "{'tn': event_time IS NULL, 't': event_time, 'r': row_no}"
 
 
-def _v2_ctes(types) -> str:
+def _v2_ctes(types, codes=None) -> str:
+    """``codes``: the code domain where it has more names than there are counted types."""
     counts = ",\n    ".join(
         f"CAST(count(*) FILTER (WHERE event_type = '{t}') AS BIGINT) AS event_type_count_{t}" for t in types)
     ratios = ",\n  ".join(
@@ -62,7 +63,7 @@ def _v2_ctes(types) -> str:
     entropy = " + ".join(
         f"CASE WHEN event_type_count_{t} > 0 THEN -(event_type_count_{t} / session_event_count) "
         f"* ln(event_type_count_{t} / session_event_count) ELSE 0 END" for t in types)
-    code = "CASE {x} " + " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(types)) + " ELSE -1 END"
+    code = "CASE {x} " + " ".join(f"WHEN '{t}' THEN {i}" for i, t in enumerate(codes or types)) + " ELSE -1 END"
 
     def c(t):
         return f"event_type_count_{t}" if t in types else "0"
@@ -94,7 +95,7 @@ fj AS (
          coalesce(date_diff('microsecond', tmin, tmax) / 1e6, 0.0) AS dur
   FROM base b LEFT JOIN prep p USING (user_session) LEFT JOIN crep c USING (user_session)),
 feat AS (
-SELECT user_session, user_id, session_event_count, unique_product_count, unique_category_count,
+SELECT user_session, coalesce(user_id, 0) AS user_id, session_event_count, unique_product_count, unique_category_count,
   {", ".join(f"event_type_count_{t}" for t in types)},
   {ratios},
   CAST({c('BUY')} > 0 AS BIGINT) AS is_buyer,
@@ -166,6 +167,27 @@ test_uk AS (
          coalesce(r.last_category_id, -1) AS last_category_id
   FROM fte LEFT JOIN lrow_te r ON r.user_session = fte.user_session AND r.user_id = fte.user_id)"""
 
+# Missing values and odd sessions made from the events by their number: see catalog._edge_source.
+EDGE = """ev AS (
+  SELECT row_no,
+         CASE WHEN row_no % 17 = 1 THEN NULL WHEN row_no % 23 = 6 THEN user_id + 1 ELSE user_id END AS user_id,
+         CASE WHEN row_no % 97 <> 0 THEN user_session END AS user_session,
+         CASE WHEN row_no % 97 = 0 AND row_no % 2 = 0 THEN 'PROMO' WHEN row_no % 11 <> 3 THEN event_type END AS event_type,
+         CASE WHEN row_no % 7 <> 2 THEN product_id END AS product_id,
+         CASE WHEN row_no % 19 <> 4 THEN category_id END AS category_id,
+         CASE WHEN row_no % 13 <> 5 THEN event_time END AS event_time,
+         CASE WHEN row_no % 29 <> 0 THEN split WHEN split = 'train' THEN 'test' ELSE 'train' END AS split
+  FROM ev0),
+labeled AS (
+  SELECT *, CASE WHEN row_no % 5 <> 1 THEN (row_no % 1000) / 100 END AS session_value FROM ev WHERE split = 'train')"""
+EDGE_CODES = ["BUY", "CART", "ERROR", "PROMO", "SIGNUP", "VIEW", "nan"]
+EDGE_PRELUDE = (f"WITH {EV.replace('ev AS', 'ev0 AS')},\n{EDGE},\n{LAB_A},\n{LAB_B},\n"
+                f"{_v2_ctes(TYPES_A, EDGE_CODES)},\n{SPLITS}")
+EDGE_OF = ("session_features_v1", "session_features_v2", "event_type_codes", "session_repeats",
+           "labels_first_per_session", "labels_first_per_user_session", "last_items_nonnull", "last_items_row",
+           "features_train", "features_test", "training_frame_user_session_key", "user_backoff_raw",
+           "item_encoding_raw")
+
 PRELUDE = f"WITH {EV},\n{LABELED},\n{LAB_A},\n{LAB_B},\n{FEAT},\n{SPLITS}"
 
 
@@ -265,7 +287,7 @@ SELECT row_no AS event_id, user_id, user_session, event_type, product_id, catego
 SELECT user_session, user_id, session_event_count, unique_product_count, unique_category_count,
   """ + ", ".join(f"event_type_count_{t}, event_type_ratio_{t}" for t in TYPES_A) + """
 FROM v1""", """v1b AS (
-  SELECT user_session, arg_min(user_id, row_no) FILTER (WHERE user_id IS NOT NULL) AS user_id,
+  SELECT user_session, coalesce(arg_min(user_id, row_no) FILTER (WHERE user_id IS NOT NULL), 0) AS user_id,
     CAST(count(*) AS BIGINT) AS session_event_count,
     CAST(count(DISTINCT product_id) AS BIGINT) AS unique_product_count,
     CAST(count(DISTINCT category_id) AS BIGINT) AS unique_category_count,
@@ -506,4 +528,22 @@ FROM scores WHERE role = 'test' GROUP BY user_id, user_session""", *_standin((20
     q["test_avg_linear"] = _q("""
 SELECT user_id, user_session, round(avg(exp(pred) - 1), 6) AS session_value
 FROM scores WHERE role = 'test' GROUP BY user_id, user_session""", *_standin((42,)))
+    q["fold_scores"] = _q("""
+SELECT seed, fold, n_va, round(mse, 6) AS mse, round(sqrt(mse), 6) AS rmse,
+       round(avg(mse) OVER (PARTITION BY seed), 6) AS cv_mean_mse
+FROM (SELECT CAST(seed AS BIGINT) AS seed, CAST(fold AS BIGINT) AS fold, avg((y - pred) ^ 2) AS mse,
+             CAST(count(*) AS BIGINT) AS n_va FROM scores WHERE role = 'val' GROUP BY ALL)""",
+                          *_standin((2025, 2027, 2031)))
+    q["pooled_score"] = _q("""
+SELECT round(avg((y - oof) ^ 2), 6) AS oof_mse, round(sqrt(avg((y - oof) ^ 2)), 6) AS oof_rmse
+FROM (SELECT user_id, user_session, avg(pred) AS oof, any_value(y) AS y
+      FROM scores WHERE role = 'val' GROUP BY user_id, user_session)""", *_standin((2025, 2027, 2031)))
+    q["assembled_features"] = f"""
+SELECT feature, round(sum(v), 6) AS total, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE v = 0) AS BIGINT) AS n_zero
+FROM (UNPIVOT (
+  SELECT coalesce(CAST(COLUMNS(* EXCLUDE (user_session, user_id, session_value, last_product_id, last_category_id))
+                       AS DOUBLE), 0) FROM ({q["training_frame_session_key"]})) ON COLUMNS(*) INTO NAME feature VALUE v)
+GROUP BY feature"""
+    q |= {f"edge_{name}": q[name].replace(PRELUDE, EDGE_PRELUDE) for name in EDGE_OF}
     return q

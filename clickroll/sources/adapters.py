@@ -83,7 +83,7 @@ class EventSource:
         return self.labeled if self.first_rows is None else self.first_rows
 
 
-def _template(test_events: DataFrame) -> DataFrame:
+def test_template(test_events: DataFrame) -> DataFrame:
     """Distinct test sessions, ordered by their first event; target column pre-filled."""
     return (test_events.where(F.col("user_session").isNotNull())
             .groupBy("user_session").agg(F.min("row_no").alias("row_no"))
@@ -138,7 +138,7 @@ def clickstream_source(spark: SparkSession, sf_dir: str) -> EventSource:
         return (train_v.drop("value").join(materialize(sums), "user_session", "left")
                 .select(*CONTRACT_COLUMNS, "session_value"))
     return EventSource(events=events, train=train_v.drop("value"), test=test, make_labeled=labeled,
-                       template=_template(test), name="clickstream", first_rows=first_rows)
+                       template=test_template(test), name="clickstream", first_rows=first_rows)
 
 
 def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
@@ -188,7 +188,7 @@ def lineitem_source(spark: SparkSession, sf_dir: str) -> EventSource:
     labeled = contract(j.where(F.col("o_orderdate") < cut))
     test = contract(j.where((F.col("o_orderdate") >= cut) | F.col("o_orderdate").isNull())).drop("session_value")
     return EventSource(events=events, train=labeled.drop("session_value"), test=test, make_labeled=lambda: labeled,
-                       template=_template(test), name="lineitem",
+                       template=test_template(test), name="lineitem",
                        extras={"line_events": line_events, "session_attrs": order_attrs})
 
 
