@@ -4,7 +4,7 @@
     python -m clickroll.cli baseline  --raw data/raw --out submissions
     python -m clickroll.cli profile   --raw data/raw
     python -m clickroll.cli fulltrain --raw data/raw --out submissions [--features data/processed]
-                                      [--winsorize 0.995] [--trees 200]
+                                      [--winsorize 0.995] [--trees 200] [--patience 300]
     python -m clickroll.cli cv        --raw data/raw --out submissions [--folds 10] [--seeds 2025,2027,2031]
     python -m clickroll.cli blend     --a A.csv --b B.csv --out blend.csv
 
@@ -38,6 +38,10 @@ def main(argv=None) -> None:
     ap.add_argument("--winsorize", type=float, default=0.0)
     ap.add_argument("--trees", type=int, default=200)
     ap.add_argument("--depth", type=int, default=6)
+    ap.add_argument("--rate", type=float, default=0.05)
+    ap.add_argument("--rows-share", type=float, default=0.8, help="share of rows a tree is fitted on")
+    ap.add_argument("--patience", type=int, default=300,
+                    help="stop after this many rounds without a better validation error")
     ap.add_argument("--folds", type=int, default=10)
     ap.add_argument("--seeds", default="2025,2027,2031")
     ap.add_argument("--features", default=None,
@@ -52,7 +56,8 @@ def main(argv=None) -> None:
     raw = args.raw.rstrip("/")
     src = csv_source(spark, f"{raw}/train.csv", f"{raw}/test.csv", f"{raw}/sample_submission.csv")
     from clickroll.plans.modeling import GBTParams
-    params = GBTParams(max_iter=args.trees, max_depth=args.depth)
+    params = GBTParams(max_iter=args.trees, max_depth=args.depth, step_size=args.rate,
+                       subsampling_rate=args.rows_share, patience=args.patience)
     features = None
     if args.features and args.command in ("fulltrain", "cv"):
         version, tr, te = jobs.read_features(spark, args.features)

@@ -19,8 +19,8 @@ from clickroll.operators import encode, ensemble, folds, items, labels, predict,
 from clickroll.operators import features as feat
 from clickroll.session import materialize, scratch_path
 from clickroll.sources import files
-from clickroll.sources.adapters import (EventSource, clickstream_contract, clickstream_source, lineitem_source, read_table,
-                                        test_template)
+from clickroll.sources.adapters import (EventSource, clickstream_contract, clickstream_source, csv_source, lineitem_source,
+                                        read_table, test_template)
 
 
 def report(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -142,6 +142,41 @@ def q_scan_csv_roundtrip(spark, sf_dir):
     return report(files.read_events_csv(spark, path, schema).drop("row_no"))
 
 
+def _csv_files(spark, sf_dir, time_col):
+    """The clickstream events as the reference's three CSV files, in input order."""
+    src = _src(spark, sf_dir)
+    base = scratch_path(spark, "csv-files")
+    cols = ["event_type", "product_id", "category_id", "user_id", "user_session", time_col]
+    files.write_events_csv(src.labeled.orderBy("row_no").select(*cols, "session_value"), f"{base}/train")
+    files.write_events_csv(src.test.orderBy("row_no").select(*cols), f"{base}/test")
+    files.write_predictions_csv(src.template, f"{base}/template")
+    return csv_source(spark, f"{base}/train", f"{base}/test", f"{base}/template", id_type="long")
+
+
+def q_last_items_row_text_time(spark, sf_dir):
+    """Last whole row of the CSV files by the text of a day-first time column, as the
+    trainers order: '31/...' comes after '01/...' of a later month."""
+    text = F.date_format("event_time", "dd/MM/yyyy HH:mm:ss.SSSSSS").alias("event_time")
+    src = _csv_files(spark, sf_dir, text)
+    return items.last_items_row(src.train, src.row_time_col)
+
+
+def q_scan_csv_dirty(spark, sf_dir):
+    """Cells with quotes, commas, blanks and missing-value tokens, written and read back."""
+    n = F.col("event_id") % 8
+    cell = F.array(*[F.lit(v) for v in DIRTY_CELLS])[n.cast("int")]
+    raw = read_table(spark, sf_dir, "events").select(
+        "event_id", F.concat(cell, F.when(n < 3, F.col("event_type")).otherwise(F.lit(""))).alias("cell"))
+    path = scratch_path(spark, "dirty-csv")
+    files.write_events_csv(raw, path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("cell", T.StringType())])
+    return files.read_events_csv(spark, path, schema).drop("row_no")
+
+
+#: the first three go before the event type, the others stand alone
+DIRTY_CELLS = ('a "quoted" ', "x,y ", " ", "n/a", " NA ", "<NA>", "1.#IND", '"')
+
+
 def q_feature_parquet_roundtrip(spark, sf_dir):
     src = _src(spark, sf_dir)
     path = scratch_path(spark, "features-v1")
@@ -545,6 +580,8 @@ def q_gbt_seed_ensemble(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_union_split": q_events_union_split,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
+    "scan_csv_dirty": q_scan_csv_dirty,
+    "last_items_row_text_time": q_last_items_row_text_time,
     "feature_parquet_roundtrip": q_feature_parquet_roundtrip,
     "session_features_v1": q_session_features_v1,
     "session_features_v2": q_session_features_v2,

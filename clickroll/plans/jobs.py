@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickroll.functions.schema import require_columns
 from clickroll.operators import encode, ensemble, folds, labels, predict, profile
 from clickroll.operators import features as feat
 from clickroll.session import materialize
@@ -32,10 +33,12 @@ def metrics_frame(df: DataFrame, value_cols, fold_col: str | None = None) -> Dat
 def build_features(src, out_dir: str, version: str = "v2") -> dict:
     """[S6 U1] Session features over train+test events, one write partitioned by split; a
     session present in both splits is written to both partitions."""
-    fn = feat.session_features_v2 if version == "v2" else feat.session_features_v1
+    if version == "v2":
+        rows = feat.session_features_v2(src.events, time_col=src.time_col, with_split_flags=True)
+    else:
+        rows = feat.session_features_v1(src.events, with_split_flags=True)
     path = f"{out_dir.rstrip('/')}/session_features_{version}"
-    files.write_feature_table(feat.tag_splits(fn(src.events, with_split_flags=True)), path,
-                              partition_by="split")
+    files.write_feature_table(feat.tag_splits(rows), path, partition_by="split")
     return {"version": version, "path": path}
 
 
@@ -91,6 +94,8 @@ def profile_report(src) -> DataFrame:
 def blend_files(spark: SparkSession, path_a: str, path_b: str, out_path: str,
                 weights=(0.5, 0.5)) -> str:
     """Blend of two prediction files, in the order of the first."""
+    for p in (path_a, path_b):
+        require_columns(spark.read.option("header", True).csv(p), ("user_session", "session_value"))
     sets = [files.read_predictions_csv(spark, p) for p in (path_a, path_b)]
     files.write_predictions_csv(predict.blend(sets, weights, order_col="row_no"), out_path)
     return out_path

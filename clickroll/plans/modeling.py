@@ -98,7 +98,7 @@ def _feature_tables(src, features):
     reference's file hand-over), or computed from the events."""
     if features is not None:
         return features
-    return feat.split_features(materialize(feat.session_features_v2(src.events, with_split_flags=True)))
+    return feat.split_features(materialize(feat.session_features_v2(src.events, time_col=src.time_col, with_split_flags=True)))
 
 
 def model_frames(src, winsorize_p: float = 0.0, features=None):
@@ -106,10 +106,10 @@ def model_frames(src, winsorize_p: float = 0.0, features=None):
     log1p of the (optionally two-sided winsorized) target. ``features``: optional
     (train, test) feature tables, e.g. from ``jobs.read_features``."""
     tr_feat, te_feat = _feature_tables(src, features)
-    lab = labels.labels_first_per_user_session(src.label_rows)
+    lab = labels.require_non_empty(materialize(labels.labels_first_per_user_session(src.label_rows)))
     tr = (lab.join(tr_feat, list(KEY_COLUMNS), "left")
-          .join(items.last_items_row(src.train, sentinel=False), list(KEY_COLUMNS), "left"))
-    te = te_feat.join(items.last_items_row(src.test, sentinel=False), list(KEY_COLUMNS), "left")
+          .join(items.last_items_row(src.train, src.row_time_col, sentinel=False), list(KEY_COLUMNS), "left"))
+    te = te_feat.join(items.last_items_row(src.test, src.row_time_col, sentinel=False), list(KEY_COLUMNS), "left")
     tr = items.fill_sentinel(tr, ["last_product_id", "last_category_id"])
     te = items.fill_sentinel(te, ["last_product_id", "last_category_id"])
     tr = materialize(tr)      # read by the quantiles, fold ranking, encodings and the fit
@@ -122,10 +122,10 @@ def session_key_frames(src, features=None):
     """(train frame, test frame) of the 5-fold protocol: labels variant A, last non-null
     items and features joined on the session, ``y = log1p(max(target, 0))``."""
     tr_feat, te_feat = _feature_tables(src, features)
-    lab = labels.labels_first_per_session(src.label_rows)
-    tr = (lab.join(items.last_items_nonnull(src.train), "user_session", "left")
+    lab = labels.require_non_empty(materialize(labels.labels_first_per_session(src.label_rows)))
+    tr = (lab.join(items.last_items_nonnull(src.train, src.time_col), "user_session", "left")
           .join(tr_feat, list(KEY_COLUMNS), "left"))
-    te = te_feat.join(items.last_items_nonnull(src.test), "user_session", "left")
+    te = te_feat.join(items.last_items_nonnull(src.test, src.time_col), "user_session", "left")
     tr = target.log_target(materialize(tr), "session_value", "y", clip_negative=True)
     return tr, te
 

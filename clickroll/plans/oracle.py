@@ -283,6 +283,11 @@ WHERE user_session IS NOT NULL GROUP BY split, user_session""")
     q["scan_csv_roundtrip"] = _q("""
 SELECT row_no AS event_id, user_id, user_session, event_type, product_id, category_id, event_time,
        round(session_value, 6) AS session_value FROM labeled""")
+    q["last_items_row_text_time"] = _q("SELECT * FROM lrow", _lrow("lrow", "train").replace(
+        "event_time", "strftime(event_time, '%d/%m/%Y %H:%M:%S.%f')"))
+    q["scan_csv_dirty"] = """
+SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'a "quoted" ' || event_type WHEN 1 THEN 'x,y ' || event_type
+  WHEN 2 THEN ' ' || event_type WHEN 4 THEN ' NA ' WHEN 7 THEN '"' END AS cell FROM events"""
     q["session_features_v1"] = _q("""
 SELECT user_session, user_id, session_event_count, unique_product_count, unique_category_count,
   """ + ", ".join(f"event_type_count_{t}, event_type_ratio_{t}" for t in TYPES_A) + """

@@ -73,6 +73,8 @@ class EventSource:
     name: str = "events"
     extras: dict = field(default_factory=dict)
     first_rows: DataFrame | None = None
+    time_col: str | None = "event_time"       # parsed time; None: the input has no time column
+    row_time_col: str | None = "event_time"   # what the trainers' last rows are ordered by
 
     @cached_property
     def labeled(self) -> DataFrame:
@@ -204,11 +206,13 @@ def csv_source(spark: SparkSession, train_path: str, test_path: str, template_pa
 
     Ids keep a declared type (text by default: their type is not fixed), the target is
     a double, the first matching time column is parsed (bad values -> NULL), and each
-    file's input position is the ``row_no`` ordering key.
+    file's input position is the ``row_no`` ordering key. ``row_time`` keeps the unparsed
+    text of the first time column on the trainers' shorter list: their last rows follow
+    its text order. Files without a time column give sources without ``time_col``.
     """
     from pyspark.sql import types as T
 
-    from clickroll.functions.schema import TIME_CANDIDATES, detect_time_column
+    from clickroll.functions.schema import TIME_CANDIDATES, TIME_CANDIDATES_SHORT, detect_time_column
     from clickroll.sources.files import read_events_csv
 
     def header(path):
@@ -233,12 +237,17 @@ def csv_source(spark: SparkSession, train_path: str, test_path: str, template_pa
             raise ValueError(f"missing columns in {path}: {missing}")
         df = read_events_csv(spark, path, schema_for(cols))
         tcol = detect_time_column(cols, time_candidates or TIME_CANDIDATES)
+        short = detect_time_column(cols, TIME_CANDIDATES_SHORT)
+        times.append((tcol is not None, short is not None))
+        text = F.col(short) if short else F.lit(None).cast("string")
         t = F.try_to_timestamp(F.col(tcol)).cast("timestamp_ntz") if tcol else F.lit(None).cast("timestamp_ntz")
         out = df.select("row_no", "user_id", F.col("user_session").cast("string"), "event_type",
-                        "product_id", "category_id", t.alias("event_time"), F.lit(split).alias("split"),
+                        "product_id", "category_id", t.alias("event_time"), text.alias("row_time"),
+                        F.lit(split).alias("split"),
                         *(["session_value"] if "session_value" in cols else []))
         return out
 
+    times: list[tuple[bool, bool]] = []
     train = load(train_path, "train")
     test = load(test_path, "test")
     if "session_value" not in train.columns:
@@ -249,4 +258,5 @@ def csv_source(spark: SparkSession, train_path: str, test_path: str, template_pa
     events = train.drop("session_value").unionByName(test.drop(*[c for c in test.columns
                                                                  if c == "session_value"]))
     return EventSource(events=events, train=train.drop("session_value"), test=test, make_labeled=lambda: train,
-                       template=template, name="csv")
+                       template=template, name="csv", time_col="event_time" if any(t for t, _ in times) else None,
+                       row_time_col="row_time" if any(s for _, s in times) else None)

@@ -3,6 +3,7 @@ through ``csv_source``, features equal the parquet path's."""
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickroll.operators import features as feat
@@ -84,3 +85,25 @@ def test_profile_report_rows(spark):
     assert rep["n_sessions"] == lab.count()
     assert rep["q000"] <= rep["q050"] <= rep["q0995"] <= rep["q100"] == rep["max"]
     assert set(rep) >= {"mean", "std", "n_users", "n_above_p99", "n_above_p995", "users_heavy_mu_gt_p95"}
+
+
+def test_files_without_time_give_no_time_features(spark, tmp_path):
+    src = clickstream_source(spark, SF)
+    cols = ["event_type", "product_id", "category_id", "user_id", "user_session"]
+    _write_csv(src.labeled.orderBy("row_no").select(*cols, "session_value"), f"{tmp_path}/train.csv")
+    _write_csv(src.test.orderBy("row_no").select(*cols), f"{tmp_path}/test.csv")
+    _write_csv(src.template.orderBy("row_no").select("user_session", "session_value"), f"{tmp_path}/template.csv")
+    csv = csv_source(spark, f"{tmp_path}/train.csv", f"{tmp_path}/test.csv", f"{tmp_path}/template.csv", id_type="long")
+    assert csv.time_col is None and csv.row_time_col is None
+    jobs.build_features(csv, f"{tmp_path}/out", "v2")
+    _, train, _ = jobs.read_features(spark, f"{tmp_path}/out")
+    assert "session_event_count" in train.columns
+    assert not {"session_duration_seconds", "events_per_minute"} & set(train.columns)
+
+
+def test_blend_needs_its_columns(spark, tmp_path):
+    frame = spark.createDataFrame([("s", 1.0)], "user_session string, session_value double")
+    _write_csv(frame, f"{tmp_path}/a.csv")
+    _write_csv(frame.withColumnRenamed("session_value", "other"), f"{tmp_path}/b.csv")
+    with pytest.raises(ValueError, match="session_value"):
+        jobs.blend_files(spark, f"{tmp_path}/a.csv", f"{tmp_path}/b.csv", f"{tmp_path}/out.csv")
