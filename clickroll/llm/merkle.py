@@ -5,8 +5,8 @@ text, a section's that of its paragraphs' nodes, the root that of the sections'
 Both cuts can be undone, so equal roots mean equal texts, and the first branch whose
 nodes differ says where an edit is. To compare paragraphs that differ, each also keeps a
 32-bit hash of its parts: runs of up to PART_WORDS words that end with a sentence.
-Likeness is 1 for equal roots, else twice the parts in both over the parts of either
-(distinct parts).
+Likeness is 1 for equal roots, else twice the parts in both over the parts of either,
+each part as often as it occurs.
 
 Neighbours: the next document by id, the first after the last. Ids go through a range
 shuffle of narrow rows; texts move once by id, and the next text's prefix and parts once.
@@ -47,13 +47,24 @@ def root(tree_: Column) -> Column:
 
 
 def parts(tree_: Column) -> Column:
-    """Distinct hashes of all parts."""
-    return F.array_distinct(F.flatten(F.transform(tree_, lambda s: F.flatten(F.transform(
+    """Hashes of all parts, sorted; one that repeats is there as often."""
+    return F.sort_array(F.flatten(F.transform(tree_, lambda s: F.flatten(F.transform(
         s["paragraphs"], lambda p: p["parts"])))))
 
 
+def occurrences(parts_: Column) -> Column:
+    """Each hash of a sorted array with its occurrence number, as one distinct long."""
+    def numbered(p: Column) -> Column:
+        starts = F.filter(F.transform(p, lambda x, i: F.when((i == 0) | (F.get(p, i - 1) != x), i)), lambda i: i.isNotNull())
+        return F.flatten(let(starts, lambda at: F.zip_with(
+            at, F.concat(F.slice(at, 2, F.size(at)), F.array(F.size(p))), lambda a, b: F.transform(
+                F.sequence(F.lit(0), b - a - 1), lambda k: F.shiftleft(F.get(p, a).cast("long"), 32) + k))))
+
+    return F.when(F.size(parts_) == 0, F.array().cast("array<long>")).otherwise(let(parts_, numbered))
+
+
 def likeness(root_a: Column, parts_a: Column, root_b: Column, parts_b: Column) -> Column:
-    both = F.size(F.array_intersect(parts_a, parts_b))
+    both = F.size(F.array_intersect(occurrences(parts_a), occurrences(parts_b)))
     return F.when(root_a == root_b, F.lit(1.0)).otherwise(
         F.coalesce(2.0 * both / F.nullif(F.size(parts_a) + F.size(parts_b), F.lit(0)), F.lit(0.0)))
 

@@ -150,6 +150,23 @@ def test_fingerprint_edges(spark, edge, empty):
     assert (alone.next_id, alone.near_next) == (1, 1.0)
 
 
+def test_likeness_counts_repeats(spark):
+    line, other = "The same short sentence is written here.", "Nothing of this was in it before now."
+    pairs = [([line] * 40, [line] * 30 + [other] * 10, 0.75), ([line] * 4, [line] * 2, 2 * 2 / 6), ([line, other] * 3, [other] * 3, 2 * 3 / 9),
+             ([line], [other], 0.0), ([""], [line], 0.0)]
+    df = spark.createDataFrame([(i, "\n".join(a), "\n".join(b)) for i, (a, b, _) in enumerate(pairs)], "i int, a string, b string")
+    trees = df.select("i", merkle.tree(df.a).alias("a"), merkle.tree(df.b).alias("b"))
+    got = trees.select("i", merkle.likeness(merkle.root(trees.a), merkle.parts(trees.a), merkle.root(trees.b), merkle.parts(trees.b)).alias("x"))
+    assert {r.i: r.x for r in got.collect()} == {i: pytest.approx(want) for i, (_, _, want) in enumerate(pairs)}
+
+
+def test_long_repetitive_text_keeps_its_likeness(spark):
+    line = "One sentence that is repeated many times. "
+    rows = [(1, (line * 400).strip()), (2, " ".join(f"word{i} other{i}." for i in range(3000)))]
+    got = {r.doc_id: r.near_edited for r in merkle.edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 0.6 < got[1] < 0.85
+
+
 def test_warc_round_trip_in_small_ranges(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     rows = pages.unionByName(pages.selectExpr("page_id + 1000 AS page_id", "url", "html")).repartition(3)
