@@ -91,8 +91,8 @@ def _score(kind: str):
 def found(text: Column, threshold: float = THRESHOLD) -> Column:
     """All spans that stay, by kind as listed, then start."""
     may = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+")),
-           "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9][\x20-]?[0-9]{2}"),
-           "iban": text.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]"), "short_card": text.rlike(r"[0-9][\x20-]?[0-9]{2}"),
+           "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9](?:[\x20-]?[0-9]){15}"),
+           "iban": text.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]"), "short_card": text.rlike(r"[0-9](?:[\x20-]?[0-9]){12}"),
            "ssn": text.rlike(r"[0-9]-[0-9]{2}-[0-9]")}
     each = [S.spans(text, PATTERNS[k], k, _accept(k), _score(k), may[k]) for k in BASE]
     each += [F.filter(S.spans(text, PATTERNS[k], k, _accept(k), _score(k), may[k]), lambda s: s["score"] >= threshold)

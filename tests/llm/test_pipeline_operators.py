@@ -66,6 +66,19 @@ def test_pii_base_spans_on_random_text(spark):
         assert got[i] == brute.base_spans(t, brute.PII), t
 
 
+def test_cards_with_a_separator_between_all_digits(spark):
+    r, amex = random.Random(6), "378282246310005"
+    bits = [" ".join("4111111111111111"), "-".join("4111111111111111"), "4 1-1", " ", "-", "1", "x", "é", ". "]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(1, 5)))) for i in range(300)] + [(300, bits[0]), (301, bits[1])]
+    rows += [(302, "amex card " + " ".join(amex)), (303, "amex card " + "-".join(amex))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.found for x in pii.find(df).collect()}
+    for i, t in rows:
+        assert [(s.kind, s.start, s.end) for s in got[i] if s.kind in pii.BASE] == brute.base_spans(t, brute.PII), t
+    assert [[(s.kind, s.start, s.end) for s in got[i]] for i in (300, 301, 302, 303)] == [[("card", 0, 31)]] * 2 + [[("short_card", 10, 39)]] * 2
+    assert {r.text for r in pii.redact(df.where("doc_id IN (300, 301)")).collect()} == {"[CARD]"}
+
+
 def test_pii_added_kinds_and_context(spark):
     rows = [(1, "IBAN DE89 3704 0044 0532 0130 00 now"), (2, "IBAN DE88370400440532013000"), (3, "my ssn 123-45-6789"),
             (4, "part 123-45-6789"), (5, "amex card 378282246310005"), (6, "378282246310005"), (7, "4111 1111 1111 1111")]
