@@ -59,6 +59,35 @@ def spans(text: Column, pattern: str, kind: str, accept: Callable[[Column], Colu
     return F.when(may, some).otherwise(none()) if may is not None else some
 
 
+def headed(text: Column, pattern: str, head: int, kind: str, length: Callable[[Column], Column],
+           score: Callable[[Column, Column, Column], Column], may: Column, around: int = 48) -> Column:
+    """Spans whose end a check chooses. A match of ``pattern`` is the first ``head`` code points
+    of a proposal; its group 1, in a lookahead, is the proposal and ``around`` code points more.
+    ``length`` gets the group and says how many code points are the span, null if none. So
+    what follows a span is proposed anew; of overlapping spans the first one stays."""
+    def walk(parts: Column) -> Column:
+        steps = F.zip_with(F.slice(parts["between"], 1, F.size(parts["found"])), parts["found"],
+                           lambda a, m: F.struct(a.alias("before"), m.alias("match")))
+
+        def step(acc: Column, x: Column) -> Column:
+            def taken(y: Column) -> Column:
+                end = y["start"] + y["n"]
+                span = F.struct(y["start"].alias("start"), end.alias("end"), F.lit(kind).alias("kind"), score(
+                    F.left(x["match"], y["n"]), F.right(x["before"], F.lit(around)),
+                    F.substring(x["match"], y["n"] + 1, F.lit(around))).alias("score"))
+                new = F.coalesce((y["start"] >= acc["until"]) & (y["n"] > 0), F.lit(False))
+                return F.struct((y["start"] + head).alias("at"), F.when(new, end).otherwise(acc["until"]).alias("until"),
+                                F.when(new, F.concat(acc["out"], F.array(span).cast(NONE))).otherwise(acc["out"]).alias("out"))
+
+            return let(F.struct((acc["at"] + F.length(x["before"])).alias("start"), length(x["match"]).alias("n")), taken)
+
+        first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("until"), none().alias("out"))
+        return F.aggregate(steps, first, step, lambda acc: acc["out"])
+
+    parts = F.struct(F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("found"))
+    return F.when(may, let(parts, walk)).otherwise(none())
+
+
 def joined(spans_: Column) -> Column:
     """``kind:start:end`` of each span, joined by commas."""
     return F.array_join(F.transform(spans_, lambda s: F.concat_ws(

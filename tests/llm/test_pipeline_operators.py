@@ -86,6 +86,31 @@ def test_pii_added_kinds_and_context(spark):
     assert got == {1: ["iban"], 2: [], 3: ["ssn"], 4: [], 5: ["short_card"], 6: [], 7: ["card"]}
 
 
+DE, GB, DINERS, VISA13 = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "30569309025904", "4222222222222"
+FOLLOWED = [
+    (f"{DE.replace(' ', '')} Please pay", DE.replace(" ", "")), (f"{DE} BIC COBADEFF", DE), (f"{DE} 2024", DE), (f"{DE} 2024-05-01 A", DE),
+    (f"{DE} INTERNATIONALTRANSFER", DE), (f"{DE}. Please", DE), (f"pay AB12 {DE} EUR 100", DE), (f"{GB} 12 B", GB), (f"é😀 {DE} X1", DE),
+    (f"{DE} {GB} NOW", f"{DE}|{GB}"), (f"{DE} and {GB} 7", f"{DE}|{GB}"), ("NO9386011117947 A", "NO9386011117947"),
+    ("ZZ22 3704 0044 0532 0130 00 Pay", "ZZ22 3704 0044 0532 0130 00"), (f"{DE[:-1]}1 BIC", ""), (f"{DE}Z", ""),
+    (f"card {DINERS} 2024", DINERS), (f"card {DINERS} 2 more", DINERS), (f"card 3056 930902 5904 12/28", "3056 930902 5904"),
+    (f"card {VISA13} 123", VISA13), (f"card {VISA13} 1", VISA13), (f"card {VISA13} 12345", VISA13), ("card 378282246310005 2024", "378282246310005"),
+    (f"card {DINERS}2024", ""), ("card 30569309025905 2024", "")]
+
+
+def test_ibans_and_short_cards_before_capitals_and_digits(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(FOLLOWED)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: "|".join(rows[x.doc_id][1][s.start:s.end] for s in x.found if s.kind in ("iban", "short_card")) for x in pii.find(df).collect()}
+    assert [got[i] for i, _ in rows] == [want for _, want in FOLLOWED]
+    assert [r.text for r in pii.redact(df.where("doc_id = 9")).collect()] == ["[IBAN] [IBAN] NOW"]
+
+
+def test_many_proposals_stay_linear(spark):
+    text = "AB12 CD34 " * 5000 + DE + " 1" * 20_000
+    got = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().found
+    assert (("iban", 50_000, 50_000 + len(DE)) in [(s.kind, s.start, s.end) for s in got])
+
+
 def test_redaction_masks_all_and_only_spans(spark, edge):
     out = {r.doc_id: r for r in pii.redact(edge).where("doc_id IS NOT NULL").collect()}
     assert out[5].text == "mail [EMAIL], call [PHONE] or 10.0.0.256 [IP]"
