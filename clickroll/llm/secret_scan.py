@@ -5,8 +5,8 @@ six or more characters), access (``AKIA`` and 16 or more), hex (24 or more of
 ``[0-9a-f]``). The method adds kind random: runs of 20 or more base-64 characters
 that have a digit or a capital after a small letter and lie in no base span.
 
-The encoding of a candidate is inferred from its characters (hex, base 32, base 36, base
-64). Under the hypothesis that it is random in that alphabet it takes a chi-squared
+The encoding of a candidate is the smallest alphabet that holds it (hex of either case, base
+32, base 36 of either case, base 62, base 64). Under the hypothesis that it is random in that alphabet it takes a chi-squared
 test of uniformity, a runs test about the alphabet's middle and a lag-one serial
 correlation test; one that is rejected (Bonferroni over the three) is no secret. How far
 it is from an ordinary identifier is the tail probability of its changes between small
@@ -38,7 +38,10 @@ PATTERNS = {
 _RUN = "A-Za-z0-9+/_-"
 RANDOM = rf"(?<![{_RUN}])(?=[A-Za-z+/_-]*+[0-9]|[A-Z0-9+/_-]*+[a-z+/_-]++[A-Z])[{_RUN}]{{20,}}+"
 HEX, B32, B36 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789abcdefghijklmnopqrstuvwxyz"
-B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+B62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+B64 = B62 + "+/"
+#: patterns of the encodings, smallest alphabet first
+ENCODINGS = (("[0-9a-f]", HEX), ("[0-9A-F]", HEX.upper()), ("[A-Z2-7]", B32), ("[0-9a-z]", B36), ("[0-9A-Z]", B36.upper()), ("[0-9A-Za-z]", B62))
 #: level at which the battery rejects randomness, false-discovery rate, and the share of
 #: neighbouring characters of ordinary identifiers that are of two classes
 REJECT, RATE, CHANGES = 0.001, 0.01, 0.12
@@ -56,8 +59,7 @@ def upper_tail(z: Column) -> Column:
 
 
 def _alphabet(token: Column) -> Column:
-    return (F.when(token.rlike("^[0-9a-f]+$"), F.lit(HEX)).when(token.rlike("^[A-Z2-7]+$"), F.lit(B32))
-            .when(token.rlike("^[0-9a-z]+$"), F.lit(B36)).otherwise(F.lit(B64)))
+    return F.coalesce(*[F.when(token.rlike(f"^{one}+$"), F.lit(alphabet)) for one, alphabet in ENCODINGS], F.lit(B64))
 
 
 def battery(token: Column) -> Column:

@@ -253,6 +253,22 @@ def test_random_tokens_are_told_from_names(spark):
     assert all(g in ([], [t[4:-5]]) for g, (_, t) in zip(got.values(), [rows[i] for i in got], strict=True))
 
 
+ALPHABETS = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "b32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+             "b36": "0123456789abcdefghijklmnopqrstuvwxyz", "B36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+ALPHABETS["b62"] = ALPHABETS["B36"] + ALPHABETS["b36"][10:]
+ALPHABETS["b64"] = ALPHABETS["b62"] + "+/"
+
+
+def test_random_tokens_of_every_encoding_pass_the_veto(spark):
+    r = random.Random(12)
+    rows = [(k, n, "".join(r.choice(a) for _ in range(n))) for k, a in ALPHABETS.items() for n in (20, 24, 32, 40, 64, 128, 512, 2048) for _ in range(150)]
+    df = spark.createDataFrame(rows, "kind string, n int, token string").repartition(8)
+    passed = Counter((x.kind, x.n) for x in df.select("kind", "n", secret_scan.battery(df.token).alias("t")).where(
+        f"3 * least(t.p_uniform, t.p_runs, t.p_serial) >= {secret_scan.REJECT}").collect())
+    low = {(k, n): passed[k, n] / 150 for k, n, _ in rows if passed[k, n] < 0.97 * 150}
+    assert not low and sum(passed.values()) > 0.995 * len(rows), (low, sum(passed.values()) / len(rows))
+
+
 def test_upper_tail(spark):
     from math import erfc, sqrt
     zs = [-3.0, -1.0, 0.0, 0.5, 1.96, 4.0, 8.0, 20.0]
