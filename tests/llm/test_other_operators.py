@@ -269,6 +269,22 @@ def test_random_tokens_of_every_encoding_pass_the_veto(spark):
     assert not low and sum(passed.values()) > 0.995 * len(rows), (low, sum(passed.values()) / len(rows))
 
 
+def test_base_32_is_told_from_names_in_capitals(spark):
+    r = random.Random(15)
+    secrets = ["".join(r.choice(ALPHABETS["b32"]) for _ in range(n)) for n in (20, 24, 32) for _ in range(40)]
+    # about as many digits as the names of the test above, and as CHANGES supposes
+    words = ["USER", "ACCOUNT", "SERVICE", "HTTP", "HANDLER", "VERSION", "REPORT", "27", "DATA", "BUILDER", "V2", "INDEX", "FACTORY"]
+    names = ["".join(r.choice(words) for _ in range(r.randint(5, 9))) + "7" for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(secrets + names)), "i int, token string")
+    p = [x.p for x in sorted(df.select("i", secret_scan.battery(df.token)["p_ordinary"].alias("p")).collect())]
+    for i in (0, 40, 80):
+        assert sorted(p[i:i + 40])[20] < 1e-3
+    assert sum(x < 0.01 for x in p[120:]) <= 0.01 * len(names)
+    docs = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(secrets + names)], "doc_id long, text string")
+    hits = {x.doc_id for x in secret_scan.scan(docs).collect() if any(s.kind == "random" for s in x.found)}
+    assert sum(i < 120 for i in hits) > 0.75 * 120 and sum(i >= 120 for i in hits) <= 0.03 * len(names)
+
+
 def test_upper_tail(spark):
     from math import erfc, sqrt
     zs = [-3.0, -1.0, 0.0, 0.5, 1.96, 4.0, 8.0, 20.0]
