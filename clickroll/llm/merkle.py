@@ -4,7 +4,8 @@ Sections are cut at ``\\n\\n``, their paragraphs at ``\\n``. A paragraph's node
 text, a section's that of its paragraphs' nodes, the root that of the sections' nodes.
 Both cuts can be undone, so equal roots mean equal texts, and the first branch whose
 nodes differ says where an edit is. To compare paragraphs that differ, each also keeps a
-32-bit hash of its parts: runs of up to PART_WORDS words that end with a sentence.
+32-bit hash of its parts: runs of up to PART_WORDS words that end with a sentence; a
+long run without white space is cut by its content.
 Likeness is 1 for equal roots, else twice the parts in both over the parts of either,
 each part as often as it occurs.
 
@@ -25,8 +26,16 @@ from pyspark.sql import functions as F
 from .common import let, stored, text_of
 
 PART_WORDS = 8
-#: words up to a sentence's end or PART_WORDS of them; blanks belong to the part
-_PART = rf"\x20*+(?:[^\x20]++(?<![.!?])\x20++){{0,{PART_WORDS - 1}}}[^\x20]++|\x20++"
+#: a run without white space of more than LONG code points is cut by content: after LEAST code
+#: points behind the first one of _CUT (about one in 16 of most scripts), else after LONG
+LONG, LEAST = 64, 16
+_GAP, _INK = r"[\s\p{Z}]", r"[^\s\p{Z}]"
+_CUT = ("[.,;:!?05AGMSYekqw\u3001\u3002\uFF01\uFF0C\uFF1A\uFF1B\uFF1F\u306B\u306E\u306F\u3092\u30CE\u30F3\u30FC"
+        + "".join(rf"\x{{{c:X}}}-\x{{{c + 31:X}}}" for c in range(0x220, 0xD800, 0x200)) + "]")
+_WORD = rf"{_INK}{{1,{LONG}}}+(?!{_INK})"
+_PIECE = rf"{_INK}{{{LEAST},{LONG - 1}}}?{_CUT}|{_INK}{{{LONG}}}|{_INK}++"
+#: words up to a sentence's end or PART_WORDS of them; white space belongs to the part
+_PART = rf"{_GAP}*+(?:{_WORD}(?<![.!?]){_GAP}++){{0,{PART_WORDS - 1}}}(?:{_WORD}|{_PIECE})|{_GAP}++"
 
 
 def tree(text: Column) -> Column:

@@ -167,6 +167,31 @@ def test_long_repetitive_text_keeps_its_likeness(spark):
     assert 0.6 < got[1] < 0.85
 
 
+def test_texts_without_blanks_keep_their_likeness(spark):
+    r = random.Random(21)
+    runs = ["".join(chr(r.randint(0x4E00, 0x9FA5)) for _ in range(2000)), "".join(r.choice(ALPHABETS["b64"]) for _ in range(2000)),
+            "\t".join(f"cell{r.random()}" for _ in range(200)), "x" * 2000, "\u3000".join(chr(r.randint(0x4E00, 0x9FA5)) * 3 for _ in range(300)),
+            "".join(chr(r.randint(0x1F300, 0x1F5FF)) for _ in range(1000))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(runs)], "doc_id long, text string")
+    got = {x.doc_id: x.near_edited for x in merkle.edits(df).collect()}
+    # part sizes differ between the runs, so not exactly three quarters
+    assert all(0.5 < x < 0.95 for x in got.values()), got
+    # an insertion at the start moves no part far from it
+    moved = spark.createDataFrame([(t, "Qz" + t) for t in runs[:2]], "a string, b string")
+    ta, tb = merkle.tree(moved.a), merkle.tree(moved.b)
+    like = [x.x for x in moved.select(merkle.likeness(merkle.root(ta), merkle.parts(ta), merkle.root(tb), merkle.parts(tb)).alias("x")).collect()]
+    assert min(like) > 0.8, like
+
+
+def test_parts_cover_their_paragraph(spark):
+    r = random.Random(22)
+    bits = [" ", "  ", "\t", "\u3000", "a", "b.", "word", "x" * 70, "\u4e2d" * 100, "😀", "k" * 20, "!", "\u00a0"]
+    rows = [("".join(r.choice(bits) for _ in range(r.randint(0, 14))),) for _ in range(400)]
+    df = spark.createDataFrame(rows, "p string")
+    F = secret_scan.F
+    assert all(x.p == x.q for x in df.select("p", F.array_join(F.regexp_extract_all("p", F.lit(merkle._PART), F.lit(0)), "").alias("q")).collect())
+
+
 def test_warc_round_trip_in_small_ranges(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     rows = pages.unionByName(pages.selectExpr("page_id + 1000 AS page_id", "url", "html")).repartition(3)
