@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, merkle, mixing, pii, quality_rules, secret_scan, simhash, warc
+from . import bpe, html_extract, language_id, merkle, mixing, periodic_runs, pii, quality_rules, secret_scan, simhash, vector_codes, warc
 from . import quality_classifier as qc
 from . import spans as S
 from .common import table, text_of
@@ -82,7 +82,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(sf_dir, "documents", spark))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(table(sf_dir, "documents", spark), plant=True)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(sf_dir, "embeddings", spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_html_extract, op3_bpe, op4_fingerprints, op5_mixing, op6_pii, op7_quality_classifier,
-        op8_warc, op9_simhash, op10_secret_scan)}
+        op8_warc, op9_simhash, op10_secret_scan, op11_language_id, op12_periodic_runs, op13_vector_codes)}
