@@ -200,61 +200,50 @@ RAW_REQUIRED = ("event_type", "product_id", "category_id", "user_id", "user_sess
 
 
 def csv_source(spark: SparkSession, train_path: str, test_path: str, template_path: str,
-               time_candidates=None, id_type: str = "string") -> EventSource:
+               time_candidates=None, id_type: str | None = None) -> EventSource:
     """[S1 S2 S3 P2 P6 P7 U1] Headered CSV files in the reference's layout: train events
     (with ``session_value``), test events, and the submission template.
 
-    Ids keep a declared type (text by default: their type is not fixed), the target is
-    a double, the first matching time column is parsed (bad values -> NULL), and each
-    file's input position is the ``row_no`` ordering key. ``row_time`` keeps the unparsed
+    Ids take the type that the cells of both files have (``id_type``: "long" or "string" for
+    all of them): integers stay 64-bit integers where cells are missing, anything else is
+    text. The target is a double, the first matching time column is parsed (bad values ->
+    NULL), and each file's dense input position is ``row_no``. ``row_time`` keeps the unparsed
     text of the first time column on the trainers' shorter list: their last rows follow
     its text order. Files without a time column give sources without ``time_col``.
     """
-    from pyspark.sql import types as T
-
     from clickroll.functions.schema import TIME_CANDIDATES, TIME_CANDIDATES_SHORT, detect_time_column
-    from clickroll.sources.files import read_events_csv
-
-    def header(path):
-        return spark.read.option("header", True).csv(path).columns
-
-    def schema_for(cols):
-        fields = []
-        for c in cols:
-            if c == "session_value":
-                t = T.DoubleType()
-            elif c in RAW_ID_COLUMNS:
-                t = T.LongType() if id_type == "long" else T.StringType()
-            else:
-                t = T.StringType()
-            fields.append(T.StructField(c, t, True))
-        return T.StructType(fields)
+    from clickroll.sources.files import INTEGER, column_looks, least_type, typed
+    from clickroll.sources.quoted_csv import read_csv_text
 
-    def load(path, split):
-        cols = header(path)
-        missing = [c for c in RAW_REQUIRED if c not in cols]
+    raw = {path: read_csv_text(spark, path) for path in (train_path, test_path, template_path)}
+    for path in (train_path, test_path):
+        missing = [c for c in (*RAW_REQUIRED, *(["session_value"] if path == train_path else [])) if c not in raw[path][0]]
         if missing:
             raise ValueError(f"missing columns in {path}: {missing}")
-        df = read_events_csv(spark, path, schema_for(cols))
+    if id_type is None:
+        looks = [column_looks(raw[path][1], RAW_ID_COLUMNS) for path in (train_path, test_path)]
+        kinds = {c: [least_type(x[c], keep_integers=True) for x in looks if x[c]["filled"]] for c in RAW_ID_COLUMNS}
+        id_types = {c: "bigint" if set(k) == {INTEGER} else "string" for c, k in kinds.items()}
+    else:
+        id_types = {c: "bigint" if id_type == "long" else "string" for c in RAW_ID_COLUMNS}
+
+    def load(path, split):
+        cols, rows = raw[path]
+        df = typed(rows, {c: "double" if c == "session_value" else id_types.get(c, "string") for c in cols})
         tcol = detect_time_column(cols, time_candidates or TIME_CANDIDATES)
         short = detect_time_column(cols, TIME_CANDIDATES_SHORT)
         times.append((tcol is not None, short is not None))
         text = F.col(short) if short else F.lit(None).cast("string")
         t = F.try_to_timestamp(F.col(tcol)).cast("timestamp_ntz") if tcol else F.lit(None).cast("timestamp_ntz")
-        out = df.select("row_no", "user_id", F.col("user_session").cast("string"), "event_type",
-                        "product_id", "category_id", t.alias("event_time"), text.alias("row_time"),
-                        F.lit(split).alias("split"),
-                        *(["session_value"] if "session_value" in cols else []))
-        return out
+        return df.select("row_no", "user_id", "user_session", "event_type",
+                         "product_id", "category_id", t.alias("event_time"), text.alias("row_time"),
+                         F.lit(split).alias("split"),
+                         *(["session_value"] if "session_value" in cols else []))
 
     times: list[tuple[bool, bool]] = []
     train = load(train_path, "train")
     test = load(test_path, "test")
-    if "session_value" not in train.columns:
-        raise ValueError(f"missing columns in {train_path}: ['session_value']")
-    tmpl_raw = read_events_csv(spark, template_path, schema_for(header(template_path)))
-    template = tmpl_raw.select(F.col("user_session").cast("string"), "row_no",
-                               F.lit(0.0).alias("session_value"))
+    template = typed(raw[template_path][1], {"user_session": "string"}).withColumn("session_value", F.lit(0.0))
     events = train.drop("session_value").unionByName(test.drop(*[c for c in test.columns
                                                                  if c == "session_value"]))
     return EventSource(events=events, train=train.drop("session_value"), test=test, make_labeled=lambda: train,

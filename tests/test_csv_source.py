@@ -37,11 +37,8 @@ def test_csv_layout_matches_parquet_path(spark):
     # template order survives: the baseline submission lists sessions in template order
     out = f"{d}/sub"
     jobs.run_baseline(csv, out)
-    import glob
-
     import pandas as pd
-    parts = sorted(glob.glob(f"{out}/baseline_mean/part-*.csv"))
-    written = pd.concat([pd.read_csv(p, dtype=str) for p in parts]).user_session.tolist()
+    written = pd.read_csv(f"{out}/baseline_mean.csv", dtype=str).user_session.tolist()
     expected = [r["user_session"] for r in src.template.orderBy("row_no").collect()]
     assert written == expected
 
@@ -75,7 +72,7 @@ def test_cli_features_and_baseline(spark, capsys):
     assert spark.read.parquet(f"{d}/processed/session_features_v1").where("split = 'test'").count() == \
         src.template.count()
     cli.main(["baseline", "--raw", raw, "--out", f"{d}/sub"])
-    assert glob.glob(f"{d}/sub/baseline_mean/part-*.csv")
+    assert os.path.isfile(f"{d}/sub/baseline_mean.csv")
 
 
 def test_profile_report_rows(spark):
@@ -107,3 +104,14 @@ def test_blend_needs_its_columns(spark, tmp_path):
     _write_csv(frame.withColumnRenamed("session_value", "other"), f"{tmp_path}/b.csv")
     with pytest.raises(ValueError, match="session_value"):
         jobs.blend_files(spark, f"{tmp_path}/a.csv", f"{tmp_path}/b.csv", f"{tmp_path}/out.csv")
+
+
+def test_ids_take_the_type_of_both_files(spark, tmp_path):
+    head = "event_type,product_id,category_id,user_id,user_session"
+    (tmp_path / "train.csv").write_text(f"{head},session_value\nVIEW,007,a1,5,s1,2.5\nBUY,,3,,s2,\n")
+    (tmp_path / "test.csv").write_text(f"{head}\nVIEW,8,4,6,s3\n")
+    (tmp_path / "t.csv").write_text("user_session,session_value\ns3,0\n")
+    src = csv_source(spark, *[str(tmp_path / f"{x}.csv") for x in ("train", "test", "t")])
+    assert {k: t for k, t in src.events.dtypes if k.endswith("_id")} == {"user_id": "bigint", "product_id": "bigint", "category_id": "string"}
+    got = sorted((r.user_session, r.product_id, r.category_id, r.user_id, r.row_no) for r in src.events.collect())
+    assert got == [("s1", 7, "a1", 5, 0), ("s2", None, "3", None, 1), ("s3", 8, "4", 6, 0)]
