@@ -1,100 +1,13 @@
-"""Target transforms: log / inverse, one- and two-sided winsorizing, exact quantiles.
-
-``exact_quantiles`` selects order statistics without gathering the column in one
-place: a Greenwald-Khanna sketch (``percentile_approx``) brackets each target rank,
-the rows inside the bracket are reduced to a (value, count) histogram (a hot value
-collapses to one row), and a window over that small band finds the exact order
-statistics. Linear interpolation between neighbours matches ``numpy.quantile``.
-"""
+"""Target transforms: log / inverse, one- and two-sided winsorizing at exact quantiles
+(``operators/quantiles``)."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickroll.functions.exprs import clip, expm1, log1p_clipped, log1p_plain
-
-# Sketch accuracy is chosen from the row count so that a bracket holds at most about
-# BAND_ROWS rows; bounded below / above to keep the sketch small (a summary holds
-# O(accuracy * log n) entries per task). Beyond ~2e10 rows the band grows past
-# BAND_ROWS, still as a histogram of distinct values ranked by one window per level.
-BAND_ROWS = 1_000_000
-MIN_ACCURACY, MAX_ACCURACY = 10_000, 100_000
-BRACKET = 5.0  # bracket half-width in units of the sketch's rank error 1/accuracy
-
-
-def exact_quantiles(df: DataFrame, col: str, probs) -> list[float | None]:
-    """[A11] Exact linear-interpolation quantiles of the non-null values of ``col``."""
-    probs = [float(p) for p in probs]
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = v.count()
-    if n == 0:
-        return [None for _ in probs]
-    acc = int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.ceil(BRACKET * 2 * n / BAND_ROWS))))
-    ranks = []
-    for p in probs:
-        h = (n - 1) * p
-        k0 = int(math.floor(h))
-        ranks.append((k0, min(k0 + 1, n - 1), h - k0))
-    eps = BRACKET / acc
-    for _ in range(8):
-        hits = _bracket_hits(v, n, ranks, eps, acc)
-        if hits is not None:
-            break
-        eps *= 4          # a bracket missed its rank: widen and retry
-    else:
-        hits = _bracket_hits(v, n, ranks, 2.0, acc)
-    out = []
-    for (k0, k1, frac), got in zip(ranks, hits):
-        x0, x1 = got[k0], got[k1]
-        out.append(x0 + frac * (x1 - x0))
-    return out
-
-
-def _bracket_hits(v: DataFrame, n: int, ranks, eps: float, acc: int):
-    """Values at the needed ranks, or None when a sketch bracket missed one."""
-    # bracket in rank space: a value of rank <= k0 below, of rank >= k1 above
-    lo_p = [min(1.0, max(0.0, (k0 - 1) / n - eps)) for k0, _, _ in ranks]
-    hi_p = [min(1.0, max(0.0, (k1 + 2) / n + eps)) for _, k1, _ in ranks]
-    b = v.agg(F.percentile_approx("v", lo_p + hi_p, acc).alias("b"), F.min("v").alias("mn"),
-              F.max("v").alias("mx")).first()
-    m = len(ranks)
-    los = [b["mn"] if p <= 0.0 else x for p, x in zip(lo_p, b["b"][:m])]
-    his = [b["mx"] if p >= 1.0 else x for p, x in zip(hi_p, b["b"][m:])]
-    # rows below each bracket, and the (value, count) histogram inside the brackets
-    below = v.agg(*[F.count_if(F.col("v") < F.lit(lo)).alias(f"b{i}") for i, lo in enumerate(los)]).first()
-    in_any = None
-    for lo, hi in zip(los, his):
-        c = F.col("v").between(F.lit(lo), F.lit(hi))
-        in_any = c if in_any is None else (in_any | c)
-    hist = v.where(in_any).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    tags = F.array(*[F.when(F.col("v").between(F.lit(lo), F.lit(hi)), F.lit(i))
-                     for i, (lo, hi) in enumerate(zip(los, his))])
-    band = hist.select("v", "c", F.explode(F.array_compact(tags)).alias("i"))
-    w = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    band = band.withColumn("cum", F.sum("c").over(w))
-    base = F.element_at(F.array(*[F.lit(int(below[f"b{i}"])) for i in range(m)]), F.col("i") + 1)
-    band = band.withColumn("start", base + F.col("cum") - F.col("c")).withColumn("end", base + F.col("cum"))
-    cond = None
-    for i, (k0, k1, _) in enumerate(ranks):
-        for k in {k0, k1}:
-            c = (F.col("i") == i) & (F.col("start") <= k) & (F.col("end") > k)
-            cond = c if cond is None else (cond | c)
-    rows = band.where(cond).select("i", "v", "start", "end").collect()   # at most 2 rows per p
-    found = []
-    for i, (k0, k1, _) in enumerate(ranks):
-        got = {}
-        for k in {k0, k1}:
-            for r in rows:
-                if r["i"] == i and r["start"] <= k < r["end"]:
-                    got[k] = r["v"]
-            if k not in got:
-                return None
-        found.append(got)
-    return found
-
+from clickroll.operators.quantiles import exact_quantiles
 
 def log_target(df: DataFrame, col: str = "session_value", out: str = "y",
                clip_negative: bool = True) -> DataFrame:
