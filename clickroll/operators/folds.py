@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickroll.session import materialize
 
@@ -95,75 +94,79 @@ def group_folds_by_seed(labels: DataFrame, group_col: str = "user_id", k: int =
     return labels.join(wide, labels[group_col].eqNullSafe(wide[group_col]), "left").drop(wide[group_col])
 
 
-#: a group is heavy if it has more than 1 / (k * HEAVY) of all rows; fewer than k * HEAVY can be
-HEAVY = 100
+#: groups of one size that are ranked in one window
+RANK_ROWS = 1 << 16
+#: size classes whose dealing table is sent to every task; more of them are joined by a shuffle
+BROADCAST_CLASSES = 50_000
 
 
-def _heavy_placement(heavy, loads: list[int]) -> list[tuple]:
-    """(group, fold) of (group, size) pairs, largest first, each on the lightest fold so far
-    (the lowest number of several); ``loads`` is brought up to date."""
-    placed = []
-    for group, size in heavy:
-        at = loads.index(min(loads))
-        loads[at] += size
-        placed.append((group, at + 1))
-    return placed
+def deal_classes(classes, k: int) -> list[tuple[int, list[int], list[list[int]]]]:
+    """Plain greedy dealing of groups, largest first and each to the lightest fold so far
+    (the lowest number of several), for whole classes of equal-sized groups at once.
 
+    ``classes``: (size, number of groups), by falling size. Adding groups of size s, a fold
+    of load L takes them at the loads L, L + s, L + 2s, ...; greedy dealing follows these
+    numbers in order over all folds, ties by fold. In terms of q, r = divmod(L, s) the m-th
+    group of a fold comes at (q + m, r, fold): round after round of all folds with q up to the
+    round's number, in the order of (r, fold). Rounds change members at most k times.
 
-def _room(loads: list[int], light: int) -> tuple[list[int], int]:
-    """(running room of the folds times ``j``, ``j``): what each fold may still take so that
-    all end at one level once ``light`` more rows are dealt. The level is (light + the j
-    smallest loads) / j for the j that makes it least; whole numbers keep it exact."""
-    low = sorted(loads)
-    num, j = light + low[0], 1
-    for i in range(2, len(low) + 1):
-        n = light + sum(low[:i])
-        if n * j < num * i:
-            num, j = n, i
-    total, ends = 0, []
-    for load in loads:
-        total += max(0, num - load * j)
-        ends.append(total)
-    return ends, j
+    Returns (size, starts, members): from the group of rank ``starts[i]`` on, ``members[i]`` are
+    dealt to in turn (folds from 1).
+    """
+    loads = [0] * k
+    out = []
+    for size, count in classes:
+        at = [divmod(load, size) for load in loads]
+        order = sorted(range(k), key=lambda f: (at[f][1], f))
+        rounds = sorted({q for q, _ in at})
+        starts, members, rank = [], [], 0
+        for q, following in zip(rounds, [*rounds[1:], None], strict=True):
+            if rank == count:
+                break
+            now = [f for f in order if at[f][0] <= q]
+            take = count - rank if following is None else min(count - rank, (following - q) * len(now))
+            starts.append(rank)
+            members.append([f + 1 for f in now])
+            for i, f in enumerate(now):
+                loads[f] += size * (take // len(now) + (i < take % len(now)))
+            rank += take
+        out.append((size, starts, members))
+    return out
 
 
 def balanced_group_folds(labels: DataFrame, group_col: str = "user_id", k: int = 10,
                          seed: int = 0) -> DataFrame:
-    """[V2] Size-balanced group K-fold. Heavy groups go largest first to the lightest fold;
-    the others, in hash order, fill the folds up to one common level: a group's fold is
-    the one whose room holds the middle of its rows in the running total of all light
-    rows. A fold ends within one light group, 1 / HEAVY of a mean fold, of that level.
-    Unseeded in the reference; ``seed`` orders equal-sized and light groups.
-
-    The heavy groups, fewer than ``k * HEAVY`` whatever the data, are placed on the
-    driver; the running total is taken inside ``2**BUCKET_BITS`` ranges of the hash and
-    offset by the ranges' sums, so no task meets all groups.
+    """[V2] Size-balanced group K-fold: groups by falling size, each to the lightest fold so far.
+    Unseeded in the reference; ``seed`` orders equal-sized groups (by hash, then value).
+
+    Groups of one size are interchangeable, so a size class is dealt in closed form
+    (``deal_classes``) from the histogram (size, number of groups): n rows have at most
+    sqrt(2 n) sizes. A group's fold follows from its rank in its class. Ranks are taken in
+    ranges of the hash of about RANK_ROWS groups, offset by the ranges' sums, so no task
+    meets all groups of a common size.
     """
-    sizes = materialize(labels.groupBy(F.col(group_col).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
-                        .withColumn("_h", seeded_hash(F.col("_g"), seed))
-                        .withColumn("_b", F.shiftright("_h", HASH_BITS - BUCKET_BITS)))
-    total = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first().n
-    is_heavy = F.col("_size") * F.lit(k * HEAVY) > F.lit(total)
-    heavy = sorted(sizes.where(is_heavy).select("_g", "_size", "_h").collect(),
-                   key=lambda r: (-r._size, r._h, str(r._g)))
-    loads = [0] * k
-    placed = _heavy_placement([(r._g, r._size) for r in heavy], loads)
-    ends, j = _room(loads, total - sum(loads))
-
-    light = sizes.where(~is_heavy)
-    starts = light.groupBy("_b").agg(F.sum("_size").alias("_bn"))
-    starts = starts.select("_b", F.coalesce(F.sum("_bn").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    upto = F.sum("_size").over(Window.partitionBy("_b").orderBy("_h", "_g"))
-    light = light.withColumn("_upto", upto).join(F.broadcast(starts), "_b")   # at most 2**BUCKET_BITS lines
-    middle = (F.lit(2) * (F.col("_off") + F.col("_upto")) - F.col("_size")) * F.lit(j)   # twice the middle, times j
-    fold = F.lit(k)
-    for f in range(k - 1, 0, -1):
-        fold = F.when(middle < F.lit(2 * ends[f - 1]), F.lit(f)).otherwise(fold)
-    light = light.select(F.col("_g").alias(group_col), fold.cast("bigint").alias("fold"))
     spark = labels.sparkSession
-    schema = T.StructType([T.StructField(group_col, sizes.schema["_g"].dataType), T.StructField("fold", T.LongType())])
-    g = light.unionByName(spark.createDataFrame(placed, schema))
+    sizes = materialize(labels.groupBy(F.col(group_col).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
+                        .withColumn("_h", seeded_hash(F.col("_g"), seed)))
+    histogram = [(r["_size"], r["count"]) for r in sizes.groupBy("_size").count().orderBy(F.desc("_size")).toLocalIterator()]
+    table = [(size, -(-count // RANK_ROWS), starts, members)
+             for (size, count), (_, starts, members) in zip(histogram, deal_classes(histogram, k), strict=True)]
+    deal = spark.createDataFrame(table, "_size long, _ranges long, _starts array<long>, _members array<array<long>>")
+    if len(table) <= BROADCAST_CLASSES:
+        deal = F.broadcast(deal)
+    step = F.ceil(F.lit(float(1 << HASH_BITS)) / F.col("_ranges")).cast("bigint")
+    ranged = sizes.join(deal, "_size").withColumn("_b", F.floor(F.col("_h") / step).cast("bigint"))
+    counts = ranged.groupBy("_size", "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    before = Window.partitionBy("_size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)   # one line a range
+    offsets = counts.select("_size", "_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"))
+    inner = Window.partitionBy("_size", "_b").orderBy("_h", "_g")
+    ranked = ranged.withColumn("_r", F.row_number().over(inner) - 1).join(offsets, ["_size", "_b"])
+    rank = F.col("_off") + F.col("_r")
+    piece = F.size(F.filter("_starts", lambda x: x <= F.col("_rank")))
+    ranked = ranked.withColumn("_rank", rank).withColumn("_piece", piece)
+    turn = F.element_at("_members", F.col("_piece"))
+    fold = F.element_at(turn, (F.pmod(F.col("_rank") - F.element_at("_starts", F.col("_piece")), F.size(turn)) + 1).cast("int"))
+    g = ranked.select(F.col("_g").alias(group_col), fold.alias("fold"))
     return labels.join(g, labels[group_col].eqNullSafe(g[group_col]), "left").drop(g[group_col])
 
 

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -59,34 +60,51 @@ def _sized_groups(spark, sizes):
     return spark.createDataFrame(rows, "user_session string, user_id long, session_value double")
 
 
-def test_balanced_folds_with_a_few_huge_groups(spark):
-    out = folds.balanced_group_folds(_sized_groups(spark, [1000, 400, 390, 380] + [1] * 3000), k=10)
-    load = sorted(Counter(r["fold"] for r in out.collect()).values())
-    assert load[-1] == 1000 and load[0] >= 462 and load[-2] <= 465
-
-
-def test_balanced_folds_equal_the_greedy_deal_when_all_groups_are_heavy(spark):
-    sizes = [13, 11, 9, 7, 6, 5, 3, 2, 1]           # all sizes differ: no ties to break
-    out = folds.balanced_group_folds(_sized_groups(spark, sizes), k=3)
-    got = {r["user_id"]: r["fold"] for r in out.collect()}
-    load, want = [0, 0, 0], {}
-    for g, n in enumerate(sizes):
-        want[g] = load.index(min(load)) + 1
-        load[want[g] - 1] += n
-    assert got == want
-
-
-@pytest.mark.parametrize("sizes", [[], [5], [1] * 1500 + [2] * 700 + [40, 90]])
-def test_balanced_folds_keep_groups_whole(spark, sizes):
+def _greedy(sizes, k):
+    """Loads and folds of a plain deal, one group at a time."""
+    loads, folds_ = [0] * k, []
+    for n in sizes:
+        f = loads.index(min(loads))
+        loads[f] += n
+        folds_.append(f + 1)
+    return loads, folds_
+
+
+def test_deal_by_classes_equals_a_plain_deal():
+    rnd = random.Random(1)
+    for _ in range(1500):
+        k = rnd.randint(1, 7)
+        sizes = sorted((rnd.choice([1, 1, 1, 2, 3, 7, rnd.randint(1, 300)]) for _ in range(rnd.randint(0, 60))), reverse=True)
+        classes = sorted(Counter(sizes).items(), reverse=True)
+        got = []
+        for (size, count), (same, starts, members) in zip(classes, folds.deal_classes(classes, k), strict=True):
+            assert same == size
+            for rank in range(count):
+                piece = sum(x <= rank for x in starts) - 1
+                got.append(members[piece][(rank - starts[piece]) % len(members[piece])])
+        assert got == _greedy(sizes, k)[1]
+
+
+@pytest.mark.parametrize("sizes, k", [([1000, 400, 390, 380] + [1] * 3000, 10), ([13, 11, 9, 7, 6, 5, 3, 2, 1], 3), ([], 4), ([5], 4), ([2, 2, 2], 2),
+                                      ([1] * 1500 + [2] * 700 + [40, 90], 4), ([100] + [3] * 90 + [2] * 50, 7)])
+def test_balanced_folds_equal_a_plain_deal(spark, sizes, k, monkeypatch):
+    monkeypatch.setattr(folds, "RANK_ROWS", 100)     # several ranges a size
     rows = _sized_groups(spark, sizes) if sizes else _sized_groups(spark, [1]).limit(0)
-    out = folds.balanced_group_folds(rows, k=4)
+    got = folds.balanced_group_folds(rows, k=k).collect()
     per = {}
-    for r in out.collect():
+    for r in got:
         per.setdefault(r["user_id"], set()).add(r["fold"])
     assert len(per) == len(sizes) and all(len(f) == 1 for f in per.values())
-    load = Counter(r["fold"] for r in out.collect())
-    if len(sizes) > 4:
-        assert max(load.values()) - min(load.values()) <= 4
+    load = Counter(r["fold"] for r in got)
+    want, _ = _greedy(sorted(sizes, reverse=True), k)
+    assert [load[f + 1] for f in range(k)] == want
+
+
+def test_balanced_folds_join_many_size_classes(spark, monkeypatch):
+    monkeypatch.setattr(folds, "BROADCAST_CLASSES", 0)
+    sizes = list(range(1, 40)) + [1] * 50
+    load = Counter(r["fold"] for r in folds.balanced_group_folds(_sized_groups(spark, sizes), k=5).collect())
+    assert [load[f + 1] for f in range(5)] == _greedy(sorted(sizes, reverse=True), 5)[0]
 
 
 def test_balanced_folds_null_group(spark):
