@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickroll.operators import encode, ensemble, folds, items, labels, predict, profile, target
+from clickroll.operators import boosting, encode, ensemble, folds, items, labels, predict, profile, quantiles, target
 from clickroll.operators import features as feat
 from clickroll.session import materialize, scratch_path
 from clickroll.sources import files
@@ -177,6 +177,75 @@ def q_scan_csv_dirty(spark, sf_dir):
 DIRTY_CELLS = ('a "quoted" ', "x,y ", " ", "n/a", " NA ", "<NA>", "1.#IND", '"')
 
 
+def _multiline_rows(spark, sf_dir):
+    n = F.col("event_id") % 8
+    cell = F.element_at(F.array(*[F.lit(v) for v in MULTILINE_CELLS]), n.cast("int") + 1)
+    return read_table(spark, sf_dir, "events").select(
+        "event_id", F.concat(cell, F.col("event_type")).alias("cell"), F.when(n != 5, F.col("user_id")).alias("maybe_id"))
+
+
+#: each goes before the event type
+MULTILINE_CELLS = ("two\nlines ", "crlf\r\nin it ", 'says "\n" ', ",\n,", "\n\n", "plain ", '""', "\r")
+
+
+def q_scan_csv_multiline(spark, sf_dir):
+    """One file with line breaks, quotes and commas in cells, read back with its positions and
+    inferred types (integers with a missing cell are doubles)."""
+    path = f"{scratch_path(spark, 'multiline')}/events.csv"
+    files.write_prediction_file(_multiline_rows(spark, sf_dir), path, "event_id", ("event_id", "cell", "maybe_id"))
+    return files.read_csv_inferred(spark, path)
+
+
+def q_csv_inferred_types(spark, sf_dir):
+    """The types that the columns of a written file get."""
+    n = F.col("event_id")
+    cols = {"whole": n, "leading_zeros": F.lpad(n.cast("string"), 9, "0"), "missing_some": F.when(n % 3 > 0, n), "mixed": F.when(n % 50 == 0, F.lit("x7")).otherwise(n.cast("string")),
+            "fraction": n / 4, "exponent": F.concat(n.cast("string"), F.lit("e-3")), "truth": F.when(n % 2 == 0, F.lit("True")).otherwise(F.lit("False")),
+            "truth_missing": F.when(n % 3 == 0, F.lit("true")).when(n % 3 == 1, F.lit("false")), "nothing": F.lit(None).cast("string"),
+            "unsigned": F.concat(F.lit("1800000000000000"), F.lpad((n % 10000).cast("string"), 4, "0")), "huge": F.concat(F.lit("9" * 25), (n % 10).cast("string")),
+            "time": F.col("ts").cast("string"), "text": F.col("event_type"), "infinite": F.when(n % 9 == 0, F.lit("-inf")).otherwise(n.cast("string"))}
+    path = f"{scratch_path(spark, 'types')}/events.csv"
+    rows = read_table(spark, sf_dir, "events").select("event_id", *[c.alias(k) for k, c in cols.items()])
+    files.write_prediction_file(rows, path, "event_id", tuple(cols))
+    got = files.read_csv_inferred(spark, path).drop("row_no").dtypes
+    return spark.createDataFrame(got, "name string, type string")
+
+
+def q_csv_bad_times(spark, sf_dir):
+    """A time column of the longer name list with values that are no time: parsed where possible."""
+    base = scratch_path(spark, "bad-times")
+    src = _src(spark, sf_dir)
+    text = F.when(F.col("row_no") % 7 == 0, F.lit("no time")).when(F.col("row_no") % 7 == 1, F.lit("2024-13-45 00:00:00"))
+    for name, rows in (("train", src.labeled), ("test", src.test)):
+        rows = rows.withColumn("event_timestamp", text.otherwise(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+        files.write_prediction_file(rows, f"{base}/{name}.csv", "row_no", (
+            "event_type", "product_id", "category_id", "user_id", "user_session", "event_timestamp", *(["session_value"] if name == "train" else [])))
+    files.write_prediction_file(src.template, f"{base}/template.csv")
+    return csv_source(spark, f"{base}/train.csv", f"{base}/test.csv", f"{base}/template.csv").events.select(
+        "split", "row_no", "user_id", "user_session", "product_id", "event_time")
+
+
+def q_prediction_file(spark, sf_dir):
+    """Filled template as one file in template order, read back with its positions."""
+    src = _src(spark, sf_dir)
+    _, te = _user_backoff_raw(src)
+    pred = te.select("user_session", F.col("user_backoff").alias("session_value"))
+    filled = report(predict.fill_template(src.template, pred, encode.global_mean(_money(_labels_a(src)), "session_value")))
+    path = f"{scratch_path(spark, 'predictions')}/out.csv"
+    return files.read_predictions_csv(spark, files.write_prediction_file(filled, path))
+
+
+def q_feature_csv_versions(spark, sf_dir):
+    """v1 features as CSV files, one a split, found by the versioned reader as no v2 is there."""
+    base = scratch_path(spark, "feature-csv")
+    rows = materialize(report(feat.tag_splits(feat.session_features_v1(_src(spark, sf_dir).events, with_split_flags=True))))
+    cols = tuple(c for c in rows.columns if c != "split")
+    for split in ("train", "test"):
+        files.write_prediction_file(rows.where(F.col("split") == split), f"{base}/session_features_v1_{split}.csv", "user_session", cols)
+    _, tr, te = files.read_features_versioned(spark, base)
+    return tr.withColumn("split", F.lit("train")).unionByName(te.withColumn("split", F.lit("test")))
+
+
 def q_feature_parquet_roundtrip(spark, sf_dir):
     src = _src(spark, sf_dir)
     path = scratch_path(spark, "features-v1")
@@ -320,6 +389,12 @@ def q_tail_counts(spark, sf_dir):
     return report(profile.tail_counts(_labels_a(_src(spark, sf_dir))))
 
 
+def q_user_quantiles(spark, sf_dir):
+    """Quartiles and 95 % quantile of the session values of every user."""
+    got = quantiles.quantiles_by(_labels_a(_src(spark, sf_dir)), "session_value", (0.25, 0.5, 0.75, 0.95), ["user_id"])
+    return report(got.select("user_id", F.col("n").alias("n_sessions"), *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate(("25", "50", "75", "95"))]))
+
+
 def q_heavy_users(spark, sf_dir):
     return profile.heavy_users(_labels_a(_src(spark, sf_dir)))
 
@@ -528,6 +603,27 @@ EDGE_QUERIES: dict[str, Callable[[EventSource], DataFrame]] = {
 }
 
 
+#: rate 1 gives the leaf values themselves
+FIRST_TREE = boosting.GBTParams(max_iter=1, step_size=1.0, max_depth=3, max_leaves=6, subsampling_rate=1.0, column_sample=1.0,
+                                min_instances_per_node=6, reg_lambda=1.2, reg_alpha=40.0)
+
+
+def q_gbt_first_tree(spark, sf_dir):
+    """Nodes of the first tree of the session-keyed frame on the raw two-decimal target: six leaves
+    at most, best first, both penalties. Node 1 is the root, 2i and 2i + 1 the children of i."""
+    from clickroll.plans import modeling
+    frame, cols, _ = modeling.base_feature_columns(report(_frame_session_key(_src(spark, sf_dir))))
+    cols = sorted(cols)
+    (model,) = boosting.fit(frame, [boosting.Plan(FIRST_TREE)], cols, label="session_value", find_edges=boosting.exact_edges)
+    t, out, todo = model.trees[0], [], [(0, 1)]
+    for at, name in todo:      # grows while it is walked
+        f = t.feature[at]
+        out.append((name, cols[f] if f >= 0 else None, float(model.edges[f][t.bin[at]]) if f >= 0 else None, t.value[at] if f < 0 else None))
+        if f >= 0:
+            todo += [(t.left[at], 2 * name), (t.left[at] + 1, 2 * name + 1)]
+    return report(spark.createDataFrame(out, "node long, feature string, threshold double, value double"))
+
+
 def _gbt_params(patience=None):
     from clickroll.plans.modeling import GBTParams
     return GBTParams(max_iter=20, max_depth=5, patience=patience)
@@ -581,6 +677,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_union_split": q_events_union_split,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "scan_csv_dirty": q_scan_csv_dirty,
+    "scan_csv_multiline": q_scan_csv_multiline,
+    "csv_inferred_types": q_csv_inferred_types,
+    "csv_bad_times": q_csv_bad_times,
+    "prediction_file": q_prediction_file,
+    "feature_csv_versions": q_feature_csv_versions,
     "last_items_row_text_time": q_last_items_row_text_time,
     "feature_parquet_roundtrip": q_feature_parquet_roundtrip,
     "session_features_v1": q_session_features_v1,
@@ -610,6 +711,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tail_stats": q_tail_stats,
     "tail_counts": q_tail_counts,
     "heavy_users": q_heavy_users,
+    "user_quantiles": q_user_quantiles,
     "session_user_counts": q_session_user_counts,
     "group_folds": q_group_folds,
     "balanced_group_folds": q_balanced_group_folds,
@@ -631,6 +733,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pooled_score": q_pooled_score,
     "assembled_features": q_assembled_features,
     **{f"edge_{name}": partial(q_edge, of=name) for name in EDGE_QUERIES},
+    "gbt_first_tree": q_gbt_first_tree,
     "gbt_fulltrain": q_gbt_fulltrain,
     "gbt_fulltrain_session_key": q_gbt_fulltrain_session_key,
     "gbt_group_cv": q_gbt_group_cv,

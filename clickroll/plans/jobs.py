@@ -15,7 +15,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickroll.functions.schema import require_columns
 from clickroll.operators import encode, ensemble, folds, labels, predict, profile
 from clickroll.operators import features as feat
 from clickroll.session import materialize
@@ -76,7 +75,7 @@ def run_baseline(src, out_dir: str, k: int = 5, seed: int = 42) -> DataFrame:
     lab = materialize(labels.require_non_empty(labels.labels_first_per_session(src.label_rows)))
     report, mean = baseline_metrics(lab, k, seed)
     sub = predict.constant_prediction(src.template, mean)
-    files.write_predictions_csv(sub, f"{out_dir.rstrip('/')}/baseline_mean")
+    files.write_prediction_file(sub, f"{out_dir.rstrip('/')}/baseline_mean.csv")
     return report
 
 
@@ -94,17 +93,15 @@ def profile_report(src) -> DataFrame:
 def blend_files(spark: SparkSession, path_a: str, path_b: str, out_path: str,
                 weights=(0.5, 0.5)) -> str:
     """Blend of two prediction files, in the order of the first."""
-    for p in (path_a, path_b):
-        require_columns(spark.read.option("header", True).csv(p), ("user_session", "session_value"))
     sets = [files.read_predictions_csv(spark, p) for p in (path_a, path_b)]
-    files.write_predictions_csv(predict.blend(sets, weights, order_col="row_no"), out_path)
+    files.write_prediction_file(predict.blend(sets, weights, order_col="row_no"), out_path)
     return out_path
 
 
 def run_fulltrain(src, out_dir: str, params=None, winsorize_p: float = 0.0, features=None) -> dict:
     from clickroll.plans import modeling
     out, info = modeling.fulltrain(src, params or modeling.GBTParams(), winsorize_p, features=features)
-    files.write_predictions_csv(out, f"{out_dir.rstrip('/')}/final_fulltrain_gbt")
+    files.write_prediction_file(out, f"{out_dir.rstrip('/')}/final_fulltrain_gbt.csv")
     return info
 
 
@@ -117,6 +114,6 @@ def run_cv_ensemble(src, out_dir: str, params=None, k: int = 10, seeds=(2025, 20
                             fold_method="balanced", features=features)
     pred = ensemble.test_average(sc, keys=("user_session",), space="log")
     default = encode.global_mean(labels.labels_first_per_user_session(src.label_rows), "session_value")
-    files.write_predictions_csv(predict.fill_template(src.template, pred, default),
-                                f"{out_dir.rstrip('/')}/gbt_cv{k}_seeds{len(seeds)}")
+    files.write_prediction_file(predict.fill_template(src.template, pred, default),
+                                f"{out_dir.rstrip('/')}/gbt_cv{k}_seeds{len(seeds)}.csv")
     return ensemble.fold_scores(sc)

@@ -1,32 +1,31 @@
-"""Boosted-tree regression on session features (Spark ML ``GBTRegressor``).
+"""Boosted-tree regression on session features (``operators/boosting``).
 
 Three protocols, as in the reference's trainers:
 
-* ``fulltrain``: in-sample encodings, a 10% group hold-out for early stopping, a refit
-  on all rows with the best number of trees, test scoring and template fill.
+* ``fulltrain``: in-sample encodings, a 10% group hold-out for early stopping, all rows with
+  the best number of trees, test scoring and template fill.
 * ``group_cv``: K group folds; encodings for all folds come from one aggregation; one
   model per fold; OOF and fold-averaged test scores.
 * ``seed_ensemble``: ``group_cv`` over several booster seeds, averaged in log space.
 
-Fold loops run over K x S model fits (bounded); each fit is a distributed job over
-the fold's rows. The fold-encoded frame is checkpointed to the shared checkpoint
-folder first, so lost executors recompute from it rather than from the raw events.
+All models of a protocol are fitted together, round by round: one job measures the open
+leaves of all of them. The compact frame (one row per session, encodings as per-fold
+arrays) is written first, so lost executors start from it rather than from the raw events.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import replace
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickroll.functions.schema import feature_columns, numeric_only
-from clickroll.operators import encode, folds, items, labels, predict, target
+from clickroll.operators import boosting, encode, folds, items, labels, predict, target
 from clickroll.operators import features as feat
-from clickroll.session import materialize, stable_layout
+from clickroll.operators.boosting import GBTParams, Plan, patience_best
+from clickroll.session import materialize
 
 KEY_COLUMNS = ("user_id", "user_session")
 NON_FEATURES = ("user_id", "user_session", "session_value", "y", "last_product_id", "last_category_id",
@@ -34,65 +33,18 @@ NON_FEATURES = ("user_id", "user_session", "session_value", "y", "last_product_i
 ENCODED = ("user_backoff_y", "te_last_prod_y", "te_last_cat_y")
 
 
-@dataclass(frozen=True)
-class GBTParams:
-    max_iter: int = 50
-    step_size: float = 0.05
-    max_depth: int = 6
-    subsampling_rate: float = 0.8
-    feature_subset_strategy: str = "0.7"
-    min_instances_per_node: int = 6
-    min_info_gain: float = 0.0
-    max_bins: int = 64
-    seed: int = 2025
-    validation_tol: float = 0.001
-    patience: int | None = None      # early stopping: rounds without improvement
-
-    def regressor(self, label: str = "y", validation_col: str | None = None) -> GBTRegressor:
-        kw = dict(featuresCol="features", labelCol=label, predictionCol="pred", lossType="squared",
-                  maxIter=self.max_iter, stepSize=self.step_size, maxDepth=self.max_depth,
-                  subsamplingRate=self.subsampling_rate,
-                  featureSubsetStrategy=self.feature_subset_strategy,
-                  minInstancesPerNode=self.min_instances_per_node, minInfoGain=self.min_info_gain,
-                  maxBins=self.max_bins, seed=self.seed, cacheNodeIds=True, checkpointInterval=10)
-        if validation_col:
-            kw.update(validationIndicatorCol=validation_col, validationTol=self.validation_tol)
-        return GBTRegressor(**kw)
-
-
-def patience_best(curve, patience: int | None) -> int:
-    """0-based best round under early stopping: training stops once ``patience`` rounds
-    pass without a new minimum of the validation error; None -> plain argmin."""
-    best = 0
-    for i, v in enumerate(curve):
-        if v < curve[best]:
-            best = i
-        elif patience is not None and i - best >= patience:
-            break
-    return best
-
-
-def fit_early_stopped(params: GBTParams, fit_df: DataFrame, val_df: DataFrame, label: str = "y",
-                      refit: bool = True):
-    """[M5 M6] Fit ``max_iter`` rounds, read the validation error after every round
-    (one distributed pass), pick the best round under the patience rule, and return a
-    model with exactly ``best + 1`` trees (refit with the same seed: a boosted
-    ensemble's first k trees do not depend on later rounds; ``refit=False`` when only
-    the count is needed). Returns (model, n_trees)."""
-    model = params.regressor(label).fit(fit_df)
-    curve = model.evaluateEachIteration(val_df, "squared")   # max_iter numbers
-    n = patience_best(curve, params.patience) + 1
-    if refit and n < model.getNumTrees:
-        model = replace(params, max_iter=n).regressor(label).fit(fit_df)
-    return model, n
-
-
 def assemble(df: DataFrame, cols) -> DataFrame:
     """[M1 P13] Missing feature values -> 0, then one vector column."""
     df = df.na.fill(0.0, subset=list(cols))
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(df)
 
 
+def _values(cols):
+    """The features as one array, missing ones 0."""
+    zero = F.lit(0.0)
+    return F.array(*[F.nanvl(F.coalesce(F.col(c).cast("double"), zero), zero) for c in cols])
+
+
 def _feature_tables(src, features):
     """(train, test) feature tables: given (read back from the feature job's output, the
     reference's file hand-over), or computed from the events."""
@@ -163,20 +115,17 @@ def fulltrain_session_key(src, params: GBTParams = GBTParams(), winsorize_p: flo
     tr = target.winsorize_upper(tr, "session_value", winsorize_p, out="_yw")
     tr = target.log_target(tr, "_yw", "y", clip_negative=True).drop("_yw")
     tr, cols, dropped = base_feature_columns(tr)
-    vec = materialize(stable_layout(assemble(tr, cols).select(*KEY_COLUMNS, "y", "features"),
-                                    list(KEY_COLUMNS)))
-    model = params.regressor("y").fit(vec)
-    scored = model.transform(assemble(te, cols).select("user_session", "features"))
-    pred = scored.select("user_session", F.expm1("pred").alias("session_value"))
+    (model,) = boosting.fit(tr, [Plan(params)], cols, label="y", key=KEY_COLUMNS)
+    pred = te.select("user_session", F.expm1(boosting.scored(_values(cols), model)).alias("session_value"))
     out = predict.fill_template(src.template, pred, encode.global_mean(tr, "session_value"))
-    return out, {"n_trees": model.getNumTrees, "n_features": len(cols), "dropped": dropped}
+    return out, {"n_trees": len(model.trees), "n_features": len(cols), "dropped": dropped}
 
 
 def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
               holdout: float = 0.1, holdout_seed: int = 2025, features=None):
     """[M3 M5 M6 M7 V3 V7] In-sample encodings (user back-off on the un-winsorized log
-    target, items on ``y``), a group hold-out for early stopping, a refit on all rows
-    with the best number of trees, test scoring and template fill.
+    target, items on ``y``), a group hold-out for early stopping, all rows with the
+    best number of trees, test scoring and template fill.
     Returns (template predictions [user_session, session_value, row_no], info dict)."""
     tr, te = model_frames(src, winsorize_p, features)
     # user back-off uses the un-winsorized log target; test default is the mean of ``y``
@@ -189,22 +138,22 @@ def fulltrain(src, params: GBTParams = GBTParams(), winsorize_p: float = 0.0,
     tr, te = encode.full_train_encodings(tr, te, item_specs, "y")
     tr, cols, dropped = base_feature_columns(tr)
     tr = folds.group_holdout(tr, "user_id", holdout, holdout_seed)
-    train_vec = assemble(tr, cols).withColumn("is_holdout", F.coalesce("is_holdout", F.lit(False)))
-    train_vec = materialize(stable_layout(
-        train_vec.select("user_id", "user_session", "y", "features", "is_holdout"), list(KEY_COLUMNS)))
-    _, best = fit_early_stopped(params, train_vec.where(~F.col("is_holdout")),
-                                train_vec.where(F.col("is_holdout")), refit=False)
-    final = replace(params, max_iter=best).regressor("y").fit(train_vec)   # refit on all rows
-    scored = final.transform(assemble(te, cols).select("user_session", "features"))
-    pred = scored.select("user_session", F.expm1("pred").alias("session_value"))
+    tr = tr.withColumn("_held", F.coalesce(F.col("is_holdout").cast("int"), F.lit(0)))
+    # the model of all rows grows beside the one that watches the hold-out, and is cut to the
+    # best number of trees: a boosted model's first trees do not depend on later ones
+    watched, final = boosting.fit(tr, [Plan(params, not_fold=1, val_fold=1), Plan(params, stops_with=0)],
+                                  cols, label="y", fold="_held", key=KEY_COLUMNS)
+    best = patience_best(watched.curve, params.patience) + 1
+    final = final.truncated(best)
+    pred = te.select("user_session", F.expm1(boosting.scored(_values(cols), final)).alias("session_value"))
     default = encode.global_mean(tr, "session_value")
     out = predict.fill_template(src.template, pred, default)
-    return out, {"best_iteration": best, "n_features": len(cols), "dropped": dropped}
+    return out, {"best_iteration": best, "fitted_rounds": watched.fitted, "n_features": len(cols), "dropped": dropped}
 
 
 def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
               fold_method: str = "group", fold_seed: int = 42, winsorize_p: float = 0.0,
-              parallelism: int = 8, protocol: str = "user_session_key", features=None) -> DataFrame:
+              protocol: str = "user_session_key", features=None) -> DataFrame:
     """[M2 M4 M7 V6] Long score frame over seeds x folds:
     (user_id, user_session, seed, fold, role, y, pred), scores on the log scale.
 
@@ -212,9 +161,7 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
     log-scale encodings. ``protocol="session_key"`` (5-fold trainer): labels variant A,
     last non-null items, raw-scale encodings, clipped log target.
     ``fold_method="group"``: seeded group K-fold; ``"balanced"``: size-balanced group
-    K-fold (same folds for every seed; seeds vary the booster only). Independent fold
-    models are fitted concurrently (``parallelism`` driver threads submitting jobs),
-    as Spark ML's cross-validator does.
+    K-fold (same folds for every seed; seeds vary the booster only).
     """
     if protocol == "session_key":
         tr, te = session_key_frames(src, features)
@@ -232,31 +179,19 @@ def cv_scores(src, k: int = 5, seeds=(2025,), params: GBTParams = GBTParams(),
         te = te.withColumn("y", F.lit(None).cast("double"))
         tr = tr.withColumn(enc_target, F.col(enc_target).cast("double"))
     wide, layout = encode.fold_encodings_wide(tr, te, specs, k, enc_target, "fold", keep=keep)
-    all_cols = [*cols, *encoded]
-    # the compact frame (one row per session, encodings as per-fold arrays) is what is
-    # checkpointed; each fold's frame is derived from it lazily
-    wide = materialize(stable_layout(wide, list(KEY_COLUMNS)))   # repeatable fits for a fixed seed
-
-    def fit_one(job):
-        s, f = job
-        p = layout.index(None, f)
-        part = wide.select(*KEY_COLUMNS, "y", encode.pair_role(layout, None, f).alias("role"), *cols,
-                           *[F.element_at(F.col(c), p).alias(c) for c in encoded])
-        part = assemble(part, all_cols).select(*KEY_COLUMNS, "y", "role", "features")
-        p_s = replace(params, seed=int(s))
-        fit_rows = part.where(F.col("role") == "fit")
-        if p_s.patience is not None:      # early stopping on the fold's validation rows
-            model, _ = fit_early_stopped(p_s, fit_rows, part.where(F.col("role") == "val"))
-        else:
-            model = p_s.regressor("y").fit(fit_rows)
-        sc = model.transform(part.where(F.col("role") != "fit"))
-        return sc.select(*KEY_COLUMNS, F.lit(int(s)).alias("seed"), F.lit(f).cast("bigint").alias("fold"),
-                         "role", "y", "pred")
-
-    jobs = [(s, f) for s in seeds for f in range(1, k + 1)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        outs = list(pool.map(fit_one, jobs))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
+    wide = materialize(wide)       # read by the fit and by the scoring
+    seen = [[F.element_at(F.col(c), layout.index(None, f)) for c in encoded] for f in range(1, k + 1)]
+    pairs = [(int(s), f) for s in seeds for f in range(1, k + 1)]
+    watch = params.patience is not None     # early stopping on the fold's validation rows
+    plans = [Plan(replace(params, seed=s), view=f - 1, not_fold=f, val_fold=f if watch else None) for s, f in pairs]
+    models = boosting.fit(wide.where(~F.col("_is_test")), plans, cols, seen, label="y", fold="fold", key=KEY_COLUMNS)
+    own = F.array(*[F.array(*[c.cast("double") for c in v]) for v in seen])
+    wanted = [F.col("_is_test") | (F.col("fold") == f) for _, f in pairs]
+    scores = boosting.scored_by_all(_values(cols), own, F.array(*wanted), models, [p.view for p in plans])
+    out = wide.select(*KEY_COLUMNS, "y", "_is_test", F.posexplode(scores).alias("_m", "pred")).where("pred IS NOT NULL")
+
+    def of_pair(i: int):
+        return F.element_at(F.array(*[F.lit(p[i]) for p in pairs]), F.col("_m") + 1).cast("bigint")
+    role = F.when(F.col("_is_test"), F.lit("test")).otherwise(F.lit("val"))
+    out = out.select(*KEY_COLUMNS, of_pair(0).alias("seed"), of_pair(1).alias("fold"), role.alias("role"), "y", "pred")
     return materialize(out)      # every model scores its rows once, however often the scores are read

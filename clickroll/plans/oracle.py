@@ -239,6 +239,48 @@ def _standin(seeds) -> list[str]:
     return ctes
 
 
+def _first_tree(frame: str) -> str:
+    """Every cut of every node of three levels, with its gain; then the greatest open gain five times."""
+    def worth(g, n):
+        t = f"(sign({g}) * greatest(abs({g}) - 40.0::DOUBLE, 0.0::DOUBLE))"
+        return f"(CASE WHEN {n} > 0 THEN {t} * {t} / ({n} + 1.2::DOUBLE) ELSE 0.0::DOUBLE END)"
+    ctes = [f"fr AS MATERIALIZED ({frame})", """
+gbase AS (SELECT CAST(sum(CAST(session_value * 100 AS BIGINT)) AS DOUBLE) / (100.0::DOUBLE * count(*)) AS base, count(*) AS n,
+         greatest(max(session_value) - min(session_value), 1e-9::DOUBLE) AS reach FROM fr),
+gscale AS (SELECT base, pow(2.0::DOUBLE, least(40, floor(52 - log2(2.0::DOUBLE * n * greatest(reach, reach * reach, 1.0::DOUBLE))))) AS s FROM gbase),
+grad AS MATERIALIZED (SELECT user_session, CAST((base - session_value) * s AS BIGINT) AS g, s FROM fr, gscale),
+flat AS MATERIALIZED (
+  UNPIVOT (SELECT user_session, COLUMNS(* EXCLUDE (user_session, user_id, session_value, last_product_id, last_category_id))::DOUBLE FROM fr)
+  ON COLUMNS(* EXCLUDE (user_session)) INTO NAME feature VALUE x),
+ranked AS (SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS r, count(*) OVER (PARTITION BY feature) AS n FROM flat),
+glevel AS (SELECT DISTINCT feature, x FROM ranked, range(0, 64) AS t(i) WHERE r = floor((n - 1) * (i / 63.0::DOUBLE))),
+edge AS MATERIALIZED (SELECT feature, x AS e FROM glevel QUALIFY x < max(x) OVER (PARTITION BY feature)),
+a0 AS (SELECT user_session, 1 AS node FROM fr)"""]
+    for d in range(3):
+        ctes.append(f"""
+t{d} AS MATERIALIZED (SELECT node, sum(g) AS g, count(*) AS n FROM a{d} JOIN grad USING (user_session) GROUP BY node),
+h{d} AS MATERIALIZED (SELECT node, feature, x, sum(g) AS g, count(*) AS n FROM a{d} JOIN grad USING (user_session) JOIN flat USING (user_session) GROUP BY ALL),
+c{d} AS (SELECT node, feature, e, sum(h.g) AS g, sum(h.n) AS n FROM h{d} h JOIN edge USING (feature) WHERE x <= e GROUP BY ALL),
+w{d} AS (SELECT node, feature, e, {worth("c.g / s", "c.n")} + {worth("(t.g - c.g) / s", "(t.n - c.n)")} - {worth("t.g / s", "t.n")} AS gain
+         FROM c{d} c JOIN t{d} t USING (node), gscale WHERE c.n >= 6 AND t.n - c.n >= 6),
+b{d} AS MATERIALIZED (SELECT * FROM w{d} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, e) = 1),
+a{d + 1} AS MATERIALIZED (SELECT a.user_session, 2 * node + CAST(x > e AS INT) AS node FROM a{d} a JOIN b{d} b USING (node)
+         JOIN flat f ON f.user_session = a.user_session AND f.feature = b.feature)""")
+    ctes.append("""
+t3 AS (SELECT node, sum(g) AS g, count(*) AS n FROM a3 JOIN grad USING (user_session) GROUP BY node),
+gbest AS MATERIALIZED (SELECT * FROM b0 UNION ALL SELECT * FROM b1 UNION ALL SELECT * FROM b2),
+gtotal AS MATERIALIZED (SELECT * FROM t0 UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3),
+p0 AS (SELECT CAST(NULL AS INT) AS node WHERE false)""")
+    for i in range(5):
+        ctes.append(f"""p{i + 1} AS MATERIALIZED (SELECT node FROM p{i} UNION ALL (SELECT node FROM gbest
+         WHERE (node = 1 OR node // 2 IN (SELECT node FROM p{i})) AND node NOT IN (SELECT node FROM p{i}) ORDER BY gain DESC LIMIT 1))""")
+    return ",\n".join(ctes) + """
+SELECT CAST(node AS BIGINT) AS node, feature, round(e, 6) AS threshold, CAST(NULL AS DOUBLE) AS value FROM gbest WHERE node IN (SELECT node FROM p5)
+UNION ALL
+SELECT CAST(node AS BIGINT), NULL, NULL, round(-(sign(g / s) * greatest(abs(g / s) - 40.0::DOUBLE, 0.0::DOUBLE)) / (n + 1.2::DOUBLE), 6)
+FROM gtotal, gscale WHERE node NOT IN (SELECT node FROM p5) AND (node = 1 OR node // 2 IN (SELECT node FROM p5))"""
+
+
 def _spark_round(sql: str) -> str:
     """Rewrite every ``round(x, 6)`` to round HALF_UP on the shortest decimal form of the
     double, which is how Spark rounds doubles; DuckDB's own double rounding can land on
@@ -288,6 +330,18 @@ SELECT row_no AS event_id, user_id, user_session, event_type, product_id, catego
     q["scan_csv_dirty"] = """
 SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'a "quoted" ' || event_type WHEN 1 THEN 'x,y ' || event_type
   WHEN 2 THEN ' ' || event_type WHEN 4 THEN ' NA ' WHEN 7 THEN '"' END AS cell FROM events"""
+    q["scan_csv_multiline"] = """
+SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_no, event_id, CASE event_id % 8 WHEN 0 THEN 'two' || chr(10) || 'lines '
+  WHEN 1 THEN 'crlf' || chr(13) || chr(10) || 'in it ' WHEN 2 THEN 'says "' || chr(10) || '" ' WHEN 3 THEN ',' || chr(10) || ','
+  WHEN 4 THEN chr(10) || chr(10) WHEN 5 THEN 'plain ' WHEN 6 THEN '""' ELSE chr(13) END || event_type AS cell,
+  CASE WHEN event_id % 8 <> 5 THEN CAST(user_id AS DOUBLE) END AS maybe_id FROM events"""
+    q["csv_inferred_types"] = """
+SELECT * FROM (VALUES ('whole', 'bigint'), ('leading_zeros', 'bigint'), ('missing_some', 'double'), ('mixed', 'string'), ('fraction', 'double'),
+  ('exponent', 'double'), ('truth', 'boolean'), ('truth_missing', 'string'), ('nothing', 'double'), ('unsigned', 'decimal(20,0)'), ('huge', 'string'),
+  ('time', 'string'), ('text', 'string'), ('infinite', 'double')) AS t(name, type)"""
+    q["csv_bad_times"] = _q("""
+SELECT split, row_number() OVER (PARTITION BY split ORDER BY row_no) - 1 AS row_no, user_id, user_session, product_id,
+       CASE WHEN row_no % 7 > 1 THEN event_time END AS event_time FROM ev""")
     q["session_features_v1"] = _q("""
 SELECT user_session, user_id, session_event_count, unique_product_count, unique_category_count,
   """ + ", ".join(f"event_type_count_{t}, event_type_ratio_{t}" for t in TYPES_A) + """
@@ -308,6 +362,7 @@ v1 AS (SELECT *, """ + ", ".join(f"round(event_type_count_{t} / session_event_co
         + ", ".join(f"event_type_count_{t}, event_type_ratio_{t}" for t in TYPES_A)
         + ", 'test' AS split FROM v1 WHERE in_test")
     q["streaming_session_features_v1"] = q["session_features_v1"]
+    q["feature_csv_versions"] = q["feature_parquet_roundtrip"]
     q["session_features_v2"] = _q("SELECT * FROM feat")
     q["session_features_v2_orders"] = f"WITH {EV_B},{_v2_ctes(TYPES_B)}\nSELECT * FROM feat"
     q["labels_first_per_user_session_orders"] = f"""WITH {EV_B}
@@ -342,6 +397,11 @@ SELECT l.user_session, l.user_id, round(l.session_value, 6) AS session_value, n.
        ftr.* EXCLUDE (user_session, user_id)
 FROM lab_a l LEFT JOIN lnn n USING (user_session)
 LEFT JOIN ftr ON ftr.user_session = l.user_session AND ftr.user_id = l.user_id""", _lnn("lnn", "train"))
+    frame = """SELECT l.user_session, l.user_id, round(l.session_value, 6) AS session_value, n.last_product_id, n.last_category_id,
+  """ + "COLUMNS(ftr.* EXCLUDE (user_session, user_id))" + """
+FROM lab_a l LEFT JOIN lnn n USING (user_session)
+LEFT JOIN ftr ON ftr.user_session = l.user_session AND ftr.user_id = l.user_id"""
+    q["gbt_first_tree"] = PRELUDE + ",\n" + _lnn("lnn", "train") + ",\n" + _first_tree(frame)
     q["training_frame_user_session_key"] = _q(
         "SELECT * REPLACE (round(session_value, 6) AS session_value) FROM frame_uk", FRAME_UK)
     q["target_log_clip"] = _q("SELECT user_session, round(ln(1 + greatest(session_value, 0)), 6) AS y FROM lab_a")
@@ -378,39 +438,27 @@ FROM lab_a""")
 SELECT CAST(count(*) FILTER (WHERE n >= 3 AND mu > p95 AND p95 <> 0) AS BIGINT) AS users_heavy_mu_gt_p95
 FROM (SELECT user_id, avg(session_value) AS mu, count(*) AS n FROM lab_a GROUP BY user_id),
      (SELECT quantile_cont(session_value, 0.95) AS p95 FROM lab_a)""")
+    q["user_quantiles"] = _q("""
+SELECT user_id, CAST(count(*) AS BIGINT) AS n_sessions, """ + ", ".join(
+        f"round(quantile_cont(session_value, 0.{p}), 6) AS q{p}" for p in ("25", "50", "75", "95")) + """
+FROM lab_a GROUP BY user_id""")
     q["session_user_counts"] = _q(
         "SELECT CAST(count(*) AS BIGINT) AS n_sessions, CAST(count(DISTINCT user_id) AS BIGINT) AS n_users FROM lab_a")
     q["group_folds"] = _q("""
 SELECT l.user_session, l.user_id, f.fold FROM lab_a l JOIN gf f ON l.user_id = f.g""",
                           _group_folds("gf", "lab_a"))
     q["balanced_group_folds"] = "WITH RECURSIVE " + ", ".join([EV, LABELED, LAB_B]) + """,
-sizes AS MATERIALIZED (
-  SELECT user_id AS g, count(*) AS size, """ + _hash("user_id", 0) + """ AS h FROM lab_b GROUP BY user_id),
-heavy AS MATERIALIZED (
-  SELECT g, size, row_number() OVER (ORDER BY size DESC, h, CAST(g AS VARCHAR)) AS step
-  FROM sizes WHERE size * 1000 > (SELECT sum(size) FROM sizes)),
+dealt AS MATERIALIZED (
+  SELECT g, size, row_number() OVER (ORDER BY size DESC, h, g) AS step
+  FROM (SELECT user_id AS g, count(*) AS size, """ + _hash("user_id", 0) + """ AS h FROM lab_b GROUP BY user_id)),
 walk(step, loads, g, fold) AS (
   SELECT CAST(0 AS BIGINT), [CAST(0 AS BIGINT) FOR x IN range(10)], CAST(NULL AS BIGINT), CAST(0 AS BIGINT)
   UNION ALL
-  SELECT h.step, [CASE WHEN i = list_position(w.loads, list_min(w.loads)) THEN w.loads[i] + h.size ELSE w.loads[i] END
+  SELECT d.step, [CASE WHEN i = list_position(w.loads, list_min(w.loads)) THEN w.loads[i] + d.size ELSE w.loads[i] END
                   FOR i IN range(1, 11)],
-         h.g, CAST(list_position(w.loads, list_min(w.loads)) AS BIGINT)
-  FROM walk w JOIN heavy h ON h.step = w.step + 1),
-loaded AS (
-  SELECT CAST(unnest(range(1, 11)) AS BIGINT) AS fold, unnest(loads) AS load FROM walk ORDER BY step DESC LIMIT 10),
-light AS (
-  SELECT g, size, sum(size) OVER (ORDER BY h, g) AS upto FROM sizes WHERE g NOT IN (SELECT g FROM heavy)),
-levels AS (
-  SELECT (SELECT coalesce(sum(size), 0) FROM light) + sum(load) OVER (ORDER BY load, fold) AS num,
-         row_number() OVER (ORDER BY load, fold) AS j FROM loaded),
-level AS (SELECT num, j FROM levels ORDER BY CAST(num AS DOUBLE) / j, j LIMIT 1),
-room AS (
-  SELECT fold, sum(greatest(0, num - load * j)) OVER (ORDER BY fold) AS room_end, j FROM loaded, level),
-placed AS (
-  SELECT g, fold FROM walk WHERE fold > 0
-  UNION ALL
-  SELECT l.g, coalesce(min(r.fold), 10) AS fold
-  FROM light l LEFT JOIN room r ON (2 * l.upto - l.size) * r.j < 2 * r.room_end GROUP BY l.g)
+         d.g, CAST(list_position(w.loads, list_min(w.loads)) AS BIGINT)
+  FROM walk w JOIN dealt d ON d.step = w.step + 1),
+placed AS (SELECT g, fold FROM walk WHERE fold > 0)
 SELECT b.user_id, b.user_session, p.fold, CAST(count(*) OVER (PARTITION BY p.fold) AS BIGINT) AS fold_rows
 FROM lab_b b JOIN placed p ON b.user_id = p.g"""
     q["group_holdout"] = _q("""
@@ -519,6 +567,7 @@ FROM (SELECT user_session, min(row_no) AS row_no FROM ev WHERE split = 'test' AN
       GROUP BY user_session) t
 LEFT JOIN (SELECT fte.user_session, coalesce(um.m, ga.g) AS v FROM fte LEFT JOIN um USING (user_id), ga) p
   USING (user_session), ga""", USER_MEAN_RAW)
+    q["prediction_file"] = q["fill_template"].replace("t.row_no\nFROM", "row_number() OVER (ORDER BY t.row_no) - 1 AS row_no\nFROM")
     q["blend_two"] = _q("""
 SELECT a.user_session, round(0.5 * a.v + 0.5 * b.v, 6) AS session_value
 FROM (SELECT fte.user_session, coalesce(um.m, ga.g) AS v FROM fte LEFT JOIN um USING (user_id), ga) a
