@@ -206,8 +206,9 @@ def nearest(texts: list[str | None], model: Model) -> list[tuple[str, float, boo
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
+    model = Model(*held.value)
     for b in batches:
-        got = nearest(b.column(1).to_pylist(), held.value)
+        got = nearest(b.column(1).to_pylist(), model)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
                                           pa.array([g[2] for g in got], pa.bool_())], names=["doc_id", "lang_pred", "score", "rejected"])
 
@@ -215,7 +216,8 @@ def _predicted(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBat
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, rejected) of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # plain parts: a broadcast names its classes, which workers may not be able to import
+    held = docs.sparkSession.sparkContext.broadcast((model.idf, model.languages, model.centroids, model.reach))
     return rows.mapInArrow(partial(_predicted, held=held), "doc_id long, lang_pred string, score double, rejected boolean")
 
 
