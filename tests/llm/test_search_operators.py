@@ -104,7 +104,7 @@ def test_runs_of_long_repeats_take_linear_time(words):
         began = time.process_time()
         assert len(periodic_runs.runs_of(*periodic_runs.numbered([words[:n]]))[0]) == 1
         return time.process_time() - began
-    seconds(1000)
+    seconds(20_000)
     assert seconds(len(words)) < 3 * seconds(len(words) // 2) + 0.5
 
 
@@ -227,7 +227,7 @@ def test_whole_nodes_are_assigned_by_their_sums(monkeypatch):
     met = []
     monkeypatch.setattr(np, "argmin", lambda x, *a, f=np.argmin, **k: (met.append(len(x)), f(x, *a, **k))[1])
     vector_codes.assign(points, vector_codes.grow(points, vector_codes.LEAF), np.ascontiguousarray(centres.transpose(1, 0, 2)))
-    assert sum(met) < 0.05 * points.shape[0] * 8
+    assert sum(met) < 0.1 * points.shape[0] * 8
 
 
 def test_codes_edge_cases(spark):
