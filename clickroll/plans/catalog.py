@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickroll.operators import boosting, encode, ensemble, folds, items, labels, predict, profile, quantiles, target
+from clickroll.operators import boosting, encode, ensemble, folds, hot_join, items, labels, predict, profile, quantiles, target
 from clickroll.operators import features as feat
 from clickroll.session import materialize, scratch_path
 from clickroll.sources import files
@@ -395,6 +395,16 @@ def q_user_quantiles(spark, sf_dir):
     return report(got.select("user_id", F.col("n").alias("n_sessions"), *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate(("25", "50", "75", "95"))]))
 
 
+def q_hot_key_join(spark, sf_dir):
+    """Every event with its product's mean value; a third of all events have one product, some none."""
+    raw = read_table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    key = F.when(n % 3 == 0, F.lit(1)).when(n % 20 != 1, F.get_json_object("props", "$.k").cast("bigint")).cast("bigint")
+    rows = raw.select("event_id", key.alias("product"), F.col("value").cast("decimal(18,2)").alias("value"))
+    means = materialize(rows.where("product IS NOT NULL").groupBy("product").agg(F.avg("value").cast("double").alias("product_mean")))
+    return report(hot_join.spread_join(rows.select("event_id", "product"), means, ["product"], ["event_id"]))
+
+
 def q_heavy_users(spark, sf_dir):
     return profile.heavy_users(_labels_a(_src(spark, sf_dir)))
 
@@ -711,6 +721,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tail_stats": q_tail_stats,
     "tail_counts": q_tail_counts,
     "heavy_users": q_heavy_users,
+    "hot_key_join": q_hot_key_join,
     "user_quantiles": q_user_quantiles,
     "session_user_counts": q_session_user_counts,
     "group_folds": q_group_folds,

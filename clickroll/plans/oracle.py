@@ -438,6 +438,11 @@ FROM lab_a""")
 SELECT CAST(count(*) FILTER (WHERE n >= 3 AND mu > p95 AND p95 <> 0) AS BIGINT) AS users_heavy_mu_gt_p95
 FROM (SELECT user_id, avg(session_value) AS mu, count(*) AS n FROM lab_a GROUP BY user_id),
      (SELECT quantile_cont(session_value, 0.95) AS p95 FROM lab_a)""")
+    q["hot_key_join"] = """
+WITH e AS (SELECT event_id, CAST(value AS DECIMAL(18,2)) AS value, CAST(CASE WHEN event_id % 3 = 0 THEN 1
+             WHEN event_id % 20 <> 1 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS BIGINT) AS product FROM events),
+m AS (SELECT product, round(avg(value), 6) AS product_mean FROM e WHERE product IS NOT NULL GROUP BY product)
+SELECT event_id, product, product_mean FROM e LEFT JOIN m USING (product)"""
     q["user_quantiles"] = _q("""
 SELECT user_id, CAST(count(*) AS BIGINT) AS n_sessions, """ + ", ".join(
         f"round(quantile_cont(session_value, 0.{p}), 6) AS q{p}" for p in ("25", "50", "75", "95")) + """
