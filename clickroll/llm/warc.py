@@ -98,11 +98,11 @@ def write(pages: DataFrame, folder: str | None = None, least_bytes: int = LEAST_
 def _member(f, at: int) -> tuple[bytes, int] | None:
     """The decoded WARC member at ``at`` and its end, or None if there is none."""
     f.seek(at)
-    unzip, parts, got, used = zlib.decompressobj(31), [], 0, at
+    unzip, parts, start, used = zlib.decompressobj(31), [], b"", at
     while not unzip.eof:
         chunk = f.read(CHUNK)
         if not chunk:
-            if got and b"".join(parts)[:5] == b"WARC/":
+            if start[:5] == b"WARC/":
                 raise ValueError(f"archive ends inside the record at byte {at}")
             return None
         used += len(chunk)
@@ -110,8 +110,8 @@ def _member(f, at: int) -> tuple[bytes, int] | None:
             parts.append(unzip.decompress(chunk))
         except zlib.error:
             return None
-        got += len(parts[-1])
-        if b"WARC/1."[:got] != (parts[0] if len(parts) == 1 else b"".join(parts))[:7][:got]:
+        start += parts[-1][:7 - len(start)]
+        if not b"WARC/1.".startswith(start):
             return None
     data = b"".join(parts)
     head, sep, rest = data.partition(b"\r\n\r\n")
