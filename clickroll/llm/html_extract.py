@@ -5,9 +5,11 @@ notices, adverts, forms, scripts, styles, hidden parts and reader comments are m
 tag, role or class words. Each other block is a paragraph that passes points (one, one a
 comma, up to three for length) to its container, half to the next ancestor, less beyond.
 An ancestor's score is its points and what its tag and class say, times one less its link
-density. The best container, or the article it stands in, is kept, with siblings that
-score a fifth of it or read like paragraphs. Blocks come in page order, one a line;
-character references are decoded and white space becomes one blank.
+density. The best container, or the article it stands in, is kept. Outside an article its
+siblings stay too, and those of its ancestors up to the main element or the body, unless
+half of their text is links: headings, leads, lists and short paragraphs beside the best
+container are the page's text as well. Blocks come in page order, one a line; character
+references are decoded and white space becomes one blank.
 
 Edge cases: missing or empty html: empty text. No markup: the whole is a block. No
 container scores: all blocks that are not marked. Equal scores: the first in page order.
@@ -17,6 +19,7 @@ Unclosed or crossed tags close as browsers close them. Repeated rows give equal
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
 from html import unescape
@@ -64,6 +67,8 @@ class _Tree:
         self.tags, self.parents, self.dropped, self.bonus, self.by_class = ["#"], [-1], [False], [0.0], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self.stack, self.words, self.linked, self.links = [0], [], 0, 0
+        # by depth: the element that owns text there, and the depth of the nearest block; by tag: depths of open ones
+        self.owners, self.nearest, self.open = [0], [0], defaultdict(list)
         at, n = 0, len(html)
         while at < n:
             m = _TOKEN.search(html, at)
@@ -100,31 +105,25 @@ class _Tree:
             self.words, self.linked = [], 0
 
     def _owner(self) -> int:
-        for i in reversed(self.stack):
-            if self.tags[i] in BLOCKS or self.dropped[i] or i == 0:
-                return i
-        return 0
+        return self.owners[-1]
 
     def _pop_to(self, depth: int) -> None:
         gone = self.stack[depth:]
         if any(self.tags[i] in BLOCKS or self.dropped[i] for i in gone):
             self._flush()
+        for i in gone:
+            self.open[self.tags[i]].pop()
         self.links -= sum(self.tags[i] == "a" for i in gone)
-        del self.stack[depth:]
+        del self.stack[depth:], self.owners[depth:], self.nearest[depth:]
 
     def _start(self, tag: str, attrs: str) -> None:
         if tag in ("br", "wbr"):
             self.words.append(" " if tag == "br" else "")
             return
         if tag in BLOCKS and tag not in ("html", "body"):
-            for depth in range(len(self.stack) - 1, 0, -1):
-                t = self.tags[self.stack[depth]]
-                if t == "p":
-                    self._pop_to(depth)
-                    break
-                if t in BLOCKS:
-                    break
-        for depth in range(len(self.stack) - 1, 0, -1) if tag in CLOSES else ():
+            if self.tags[self.stack[self.nearest[-1]]] == "p":
+                self._pop_to(self.nearest[-1])
+        for depth in range(len(self.stack) - 1, 0, -1) if any(self.open[t] for t in CLOSES.get(tag, ())) else ():
             t = self.tags[self.stack[depth]]
             if t in SCOPES[tag]:
                 break
@@ -142,24 +141,24 @@ class _Tree:
         self.bonus.append(bonus)
         self.by_class.append(by_class)
         if tag not in VOID:
+            depth = len(self.stack)
             self.stack.append(len(self.tags) - 1)
+            self.owners.append(self.stack[-1] if tag in BLOCKS or drop else self.owners[-1])
+            self.nearest.append(depth if tag in BLOCKS else self.nearest[-1])
+            self.open[tag].append(depth)
             self.links += tag == "a"
 
     def _end(self, tag: str) -> None:
         if tag == "br":
             self.words.append(" ")
             return
-        for depth in range(len(self.stack) - 1, 0, -1):
-            t = self.tags[self.stack[depth]]
-            if t == tag:
-                self._pop_to(depth)
-                return
-            if t in BLOCKS and tag not in BLOCKS:
-                return
+        # an inline element's end reaches no further than the nearest block
+        if self.open[tag] and (tag in BLOCKS or self.open[tag][-1] > self.nearest[-1]):
+            self._pop_to(self.open[tag][-1])
 
     def _marks(self, tag: str, attrs: str) -> tuple[bool, float, bool]:
         drop, bonus, by_class = tag in DROPPED, float(WEIGHT.get(tag, 0)), False
-        if tag == "header" and not any(self.tags[i] in ("article", "main") for i in self.stack):
+        if tag == "header" and not self.open["article"] and not self.open["main"]:
             drop = True
         if attrs.strip():
             got = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
@@ -216,18 +215,21 @@ def main_text(html: str) -> str:
             top = up
             break
         up = parents[up]
-    keep = {top}
-    for i in range(1, n):
-        if parents[i] == parents[top] and i != top and not dropped[i] and chars[i]:
-            density = linked[i] / chars[i]
-            if (i in candidates and tags[i] not in ("html", "body") and score(i) >= max(10.0, best / 5)) or (
-                    tags[i] == "p" and density < 0.25 and chars[i] > 80):
-                keep.add(i)
-    inside = [False] * n
+    if tags[top] == "article":
+        inside = [False] * n
+        for i in range(1, n):
+            inside[i] = i == top or inside[parents[i]]
+        return "\n".join(t for owner, t, _ in blocks if inside[owner])
+    path = {top}
+    up = top
+    while up > 0 and tags[up] not in ("main", "body"):
+        up = parents[up]
+        path.add(up)
+    # what hangs off the path, link lists left out; ``up`` is the main element, the body or the root
+    inside = [i == up for i in range(n)]
     for i in range(1, n):
-        inside[i] = i in keep or inside[parents[i]]
-    beside = {parents[top]} if tags[top] != "article" and len(keep) > 1 else set()
-    return "\n".join(t for owner, t, k in blocks if inside[owner] or (owner in beside and len(t) > 80 and k < len(t) / 4))
+        inside[i] = inside[i] or inside[parents[i]] and (parents[i] not in path or i in path or 2 * linked[i] < max(1, chars[i]))
+    return "\n".join(t for owner, t, k in blocks if inside[owner] and (owner not in path or 2 * k < len(t)))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:

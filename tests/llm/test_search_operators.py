@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check_oracle import TABLES, compare
-from clickroll.llm import language_id, periodic_runs, vector_codes
+from clickroll.llm import html_extract, language_id, periodic_runs, vector_codes
 
 from .brute import WORD, sha
 
@@ -350,3 +350,40 @@ def test_digest_of_entries(spark):
     frame = spark.createDataFrame([(i, [float(i)] * 8, 0) for i in range(3)], VECTORS)
     got = vector_codes.report(frame).first()
     assert got.codebooks_sha256 == hashlib.sha256(",".join(str(4096 * i) for _ in range(8) for i in range(3)).encode()).hexdigest()
+
+
+# ---- pages without an article element
+
+LONG_P = "<p>" + "A paragraph of the story, long enough to score, with commas, and more of them. " * 4 + "</p>"
+LONG_T = ("A paragraph of the story, long enough to score, with commas, and more of them. " * 4).strip()
+
+
+@pytest.mark.parametrize("page, want", [
+    # the body itself: heading, lead, quote, list and closing line stay
+    (f"<body><nav><a href=x>Home</a></nav><h1>Title</h1><p>Lead.</p>{LONG_P}{LONG_P}<blockquote>Said so, twice, and again.</blockquote>"
+     "<ul><li>one</li><li>two</li></ul>Bye.<footer>c</footer></body>",
+     ["Title", "Lead.", LONG_T, LONG_T, "Said so, twice, and again.", "one", "two", "Bye."]),
+    # two divs beside each other, each with a heading
+    (f"<body><h1>Title</h1><p>Lead.</p><div><h2>One</h2>{LONG_P}{LONG_P}</div><div><h2>Two</h2>{LONG_P}<p>Short.</p></div><p>End.</p></body>",
+     ["Title", "Lead.", "One", LONG_T, LONG_T, "Two", LONG_T, "Short.", "End."]),
+    # an unmarked list of links beside the text goes, a link in a sentence stays
+    (f"<body><div><div>{LONG_P}{LONG_P}</div><ul><li><a href=1>first link</a></li><li><a href=2>second link</a></li></ul></div>"
+     "<p>More at <a href=3>this place</a>, they say, and elsewhere.</p></body>",
+     [LONG_T, LONG_T, "More at this place, they say, and elsewhere."]),
+    # nothing outside the main element
+    (f"<body><div>Outside the main part.</div><main><h1>T</h1><section>{LONG_P}</section><p>Last.</p></main><div>After.</div></body>",
+     ["T", LONG_T, "Last."])])
+def test_pages_without_an_article(page, want):
+    assert html_extract.main_text(page) == "\n".join(want)
+
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<i>x" * n + "</b>" * n, lambda n: "<i>x" * n + "<hr>" * n, lambda n: "<div>" * n + "<header>y</header>" * n,
+    lambda n: "<b><div>" + "<i>" * n + "</b>" * n, lambda n: "<i>" * n + "<li>z" * n, lambda n: "<span>" * n + "t<p>u" * n])
+def test_extraction_time_is_linear(page):
+    def seconds(n):
+        began = time.process_time()
+        html_extract.main_text(page(n))
+        return time.process_time() - began
+    seconds(500)
+    assert seconds(40_000) < 3 * seconds(20_000) + 0.3
