@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickroll.operators.hot_join import spread_join
 from clickroll.session import materialize
 
 
@@ -60,9 +61,12 @@ def global_mean(frame: DataFrame, target: str, alias: str = "_default") -> DataF
 
 
 def apply_encoding(frame: DataFrame, enc: DataFrame, key: str, out: str,
-                   default: DataFrame | Column | float | None) -> DataFrame:
-    """[J7] ``frame[key] -> mean``; unseen or missing keys get ``default``."""
-    j = frame.join(enc.withColumnRenamed("_mean", out), key, "left")
+                   default: DataFrame | Column | float | None, spread=None) -> DataFrame:
+    """[J7] ``frame[key] -> mean``; unseen or missing keys get ``default``. ``spread``: columns that
+    differ between rows of one key; the join then finds hot keys itself and deals their
+    rows by these columns (otherwise adaptive execution splits them)."""
+    enc = enc.withColumnRenamed("_mean", out)
+    j = frame.join(enc, key, "left") if spread is None else spread_join(frame, enc, [key], spread)
     if default is None:
         return j
     if isinstance(default, DataFrame):

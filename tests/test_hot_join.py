@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickroll.operators import hot_join
+from clickroll.operators import encode, hot_join
 
 
 def test_merged_summaries_lose_little():
@@ -64,3 +64,11 @@ def test_two_keys_several_lines_and_empty_sides(spark, plain_shuffle):
     assert got.count() == 150 * 2 + 150 and got.where("v IS NULL").count() == 150
     assert hot_join.spread_join(left.limit(0), right, ["a", "b"], ["id"]).count() == 0
     assert hot_join.spread_join(left, right.limit(0), ["a", "b"], ["id"]).where("v IS NULL").count() == 300
+
+
+def test_encoding_of_a_hot_key(spark, plain_shuffle):
+    rows = _rows(spark, 6_000).withColumn("y", (F.col("id") % 10).cast("double"))
+    means = encode.mean_by_key(rows, "k", "y")
+    a = encode.apply_encoding(rows, means, "k", "m", 0.5, spread=["id"])
+    b = encode.apply_encoding(rows, means, "k", "m", 0.5)
+    assert sorted((r.id, r.m) for r in a.collect()) == sorted((r.id, r.m) for r in b.collect())
