@@ -40,6 +40,11 @@ def main(argv=None) -> None:
     ap.add_argument("--depth", type=int, default=6)
     ap.add_argument("--rate", type=float, default=0.05)
     ap.add_argument("--rows-share", type=float, default=0.8, help="share of rows a tree is fitted on")
+    ap.add_argument("--columns-share", type=float, default=0.7, help="share of features a tree sees")
+    ap.add_argument("--leaves", type=int, default=31, help="most leaves of a tree")
+    ap.add_argument("--least-rows", type=int, default=6, help="fewest rows of a leaf")
+    ap.add_argument("--l1", type=float, default=0.0, help="penalty alpha on leaf values")
+    ap.add_argument("--l2", type=float, default=0.0, help="penalty lambda on leaf values")
     ap.add_argument("--patience", type=int, default=300,
                     help="stop after this many rounds without a better validation error")
     ap.add_argument("--folds", type=int, default=10)
@@ -57,7 +62,8 @@ def main(argv=None) -> None:
     src = csv_source(spark, f"{raw}/train.csv", f"{raw}/test.csv", f"{raw}/sample_submission.csv")
     from clickroll.plans.modeling import GBTParams
     params = GBTParams(max_iter=args.trees, max_depth=args.depth, step_size=args.rate,
-                       subsampling_rate=args.rows_share, patience=args.patience)
+                       subsampling_rate=args.rows_share, column_sample=args.columns_share, max_leaves=args.leaves,
+                       min_instances_per_node=args.least_rows, reg_alpha=args.l1, reg_lambda=args.l2, patience=args.patience)
     features = None
     if args.features and args.command in ("fulltrain", "cv"):
         version, tr, te = jobs.read_features(spark, args.features)

@@ -73,6 +73,9 @@ def test_cli_features_and_baseline(spark, capsys):
         src.template.count()
     cli.main(["baseline", "--raw", raw, "--out", f"{d}/sub"])
     assert os.path.isfile(f"{d}/sub/baseline_mean.csv")
+    cli.main(["fulltrain", "--raw", raw, "--out", f"{d}/sub", "--trees", "2", "--leaves", "4", "--l2", "1.2", "--l1", "0.1", "--patience", "1"])
+    with open(f"{d}/sub/final_fulltrain_gbt.csv") as f:
+        assert len(f.readlines()) == 1 + src.template.count()
 
 
 def test_profile_report_rows(spark):
