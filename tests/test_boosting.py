@@ -220,3 +220,23 @@ def test_features_of_few_bins_are_counted_together(monkeypatch):
     g = np.rint((0.25 - y) * 2 ** 20)
     want = {1 + f * 64 + b: (2 * int(g[codes[f] == b].sum()), 2 * int((codes[f] == b).sum())) for f, s in enumerate(sizes) for b in range(s)}
     assert {r["slot"]: (r["g"], r["n"]) for r in got.to_pylist()} == want
+
+
+def test_exact_edges_of_whole_columns(spark, monkeypatch):
+    def spread(*_):
+        raise AssertionError("a row for every value")
+    monkeypatch.setattr(B.F, "posexplode", spread)
+    near = np.nextafter(1.0, 2.0)
+    rng = np.random.default_rng(8)
+    columns = [[float(v) for v in (1, near, np.nextafter(near, 2.0), -1, -near)] * 40,          # values that agree in all but the last bits
+               [0.0, -0.0, 5e-324, -5e-324, float("inf")] * 40,
+               [float(v) for v in np.concatenate([rng.normal(size=100), 1e6 + rng.integers(0, 3, 100)])],
+               [None, float("nan"), 2.0, 3.0, None] * 40,                       # missing values do not count
+               [None] * 200]
+    rows = spark.createDataFrame(list(zip(*columns, strict=True)), "a double, b double, c double, d double, e double").repartition(3)
+    for bins in (2, 7, 64):
+        got = B.exact_edges(rows, F.array("a", "b", "c", "d", "e"), 5, bins)
+        for column, edges in zip(columns, got, strict=True):
+            x = sorted(v for v in column if v is not None and v == v)
+            want = sorted({x[int((len(x) - 1) * (i / (bins - 1)))] for i in range(bins)}) if x else []
+            assert list(edges) == want[:-1]
